@@ -67,7 +67,54 @@ def event_schema_ddl() -> str:
     )
 
 
-XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+# Attribute values are kept as written; element text is stripped by text_leaf().
+XML_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_corrupt_record",
+    "ignoreSurroundingSpaces": "false",
+}
+
+# Fixed value: the characters Python's str.strip() removes (str.isspace()).
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def text_leaf(c: Column) -> Column:
+    """Element text as the XML-to-dict conventions give it: stripped, blank -> NULL."""
+    return F.nullif(F.btrim(c, F.lit(WHITESPACE)), F.lit(""))
+
+
+def _normalize_text(e: Column) -> Column:
+    """Strip every element-text leaf of the typed parse once (attributes stay as written)."""
+    def system(s: Column) -> Column:
+        out = s
+        for name, attrs, text in SYSTEM_ELEMENTS:
+            if not attrs:
+                out = out.withField(name, text_leaf(s[name]))
+            elif text:
+                out = out.withField(f"{name}._VALUE", text_leaf(s[name]["_VALUE"]))
+        return out
+
+    def data_item(d: Column) -> Column:
+        return d.withField("_VALUE", text_leaf(d["_VALUE"]))
+
+    def event_data(ed: Column) -> Column:
+        return (
+            ed.withField("_VALUE", text_leaf(ed["_VALUE"]))
+            .withField("Binary", text_leaf(ed["Binary"]))
+            .withField("ComplexData", text_leaf(ed["ComplexData"]))
+            .withField("Data", F.transform(ed["Data"], data_item))
+        )
+
+    return F.when(
+        e.isNotNull(),
+        e.withField("System", F.transform(e["System"], system)).withField(
+            "EventData", F.transform(e["EventData"], event_data)
+        ),
+    )
 
 # Fixed value: a record whose root element is Event, after an optional BOM,
 # XML declaration, processing instructions, comments or DOCTYPE.
@@ -77,7 +124,11 @@ ROOT_PATTERN = r"^\x{FEFF}?\s*(<[?!][^>]*>\s*)*<Event[\s/>]"
 def parse_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """Add the typed parse of ``xml_col`` as struct column ``_e`` (one ``from_xml`` in the plan)."""
     parsed = F.from_xml(F.col(xml_col), event_schema_ddl(), XML_OPTIONS)
-    return df.select("*", F.explode(F.array(parsed)).alias(PARSED))
+    raw = df.select("*", F.explode(F.array(parsed)).alias("_e_raw"))
+    # A second Generate: the text clean-up refers to the parse many times, and
+    # must only ever see a column reference, never the from_xml call itself.
+    clean = F.explode(F.array(_normalize_text(F.col("_e_raw")))).alias(PARSED)
+    return raw.select("*", clean).drop("_e_raw")
 
 
 def _size(c: Column) -> Column:

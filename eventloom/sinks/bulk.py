@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..operators.document import bulk_action_json, bulk_source_json
 from ..plans.load import EventLoad
@@ -60,7 +61,7 @@ def _input_columns(df: DataFrame) -> list[str]:
 
 
 @dataclass
-class BatchReport:
+class BatchReport(WriterCommitMessage):
     """Commit message of one task: sizes of the requests it sent."""
 
     sizes: list[int] = field(default_factory=list)
@@ -72,9 +73,12 @@ def push_bulk(
     batch_size: int = 500,
     on_commit: Callable[[list[int]], None] | None = None,
 ) -> None:
-    """K2 + K3 + K4: send loaded records in requests of ``batch_size`` through ``send``."""
-    from pyspark.sql.datasource import DataSource, DataSourceWriter
+    """K2 + K3 + K4: send loaded records in requests of ``batch_size`` through ``send``.
 
+    ``send`` runs in the tasks; ``on_commit(sizes)`` runs once, in the data source's
+    commit step (a Python process on the driver host, not the caller's process),
+    with the size of every request sent.
+    """
     size = batch_size
 
     class _Writer(DataSourceWriter):

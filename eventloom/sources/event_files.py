@@ -90,8 +90,8 @@ def _chunked_decoder(decode, header_bytes: int, run_bytes: int):
                 start = header_bytes + int(r) * run_bytes
                 size = min(run_bytes, int(length) - start)
                 with filesystem.open_input_file(inner) as f:
-                    header = f.read_at(header_bytes, 0).to_pybytes()
-                    body = f.read_at(size, start).to_pybytes()
+                    header = bytes(f.read_at(header_bytes, 0))
+                    body = bytes(f.read_at(size, start))
                 for xml in decode(header, body):
                     rows.append((p, xml))
                     if len(rows) >= _BATCH:

@@ -1,0 +1,101 @@
+"""Sinks and batches: K1-K7."""
+
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from helpers import event
+
+from eventloom import load_events
+from eventloom.plans.batches import assign_batches, load_report
+from eventloom.sinks import append_events, clear_event_table, push_bulk, write_bulk_files
+
+GOOD = event('<EventData><Data Name="a">1</Data><Data Name="b">2</Data></EventData>')
+
+
+def _source(spark, n_good: int, n_bad: int = 0):
+    rows = [(i, GOOD) for i in range(n_good)] + [(n_good + i, "<Event>") for i in range(n_bad)]
+    return spark.createDataFrame(rows, "rid long, xml string")
+
+
+@pytest.mark.parametrize(
+    "n,size,expected",
+    [(0, 500, []), (499, 500, [499]), (500, 500, [500]), (501, 500, [500, 1]), (10, 1, [1] * 10),
+     (10, 0, [10]), (10, -1, [10])],
+)
+def test_batch_sizes(spark, n, size, expected):
+    load = load_events(spark, _source(spark, n).repartition(3))
+    batched = assign_batches(load.accepted.select("rid"), size, order_by="rid")
+    report = sorted((r["batch"], r["n"]) for r in load_report(batched).collect())
+    assert [c for _, c in report] == expected
+    assert [b for b, _ in report] == list(range(len(expected)))
+
+
+def test_bulk_files_one_request_per_file(spark, tmp_path):
+    load = load_events(spark, _source(spark, 23, 2).coalesce(1))
+    out = str(tmp_path / "bulk")
+    write_bulk_files(load, out, batch_size=10)
+    loaded = sorted(os.listdir(os.path.join(out, "status=loaded")))
+    files = [f for f in loaded if f.endswith(".txt")]
+    sizes = []
+    for f in files:
+        lines = open(os.path.join(out, "status=loaded", f), encoding="utf-8").read().splitlines()
+        assert len(lines) % 2 == 0
+        for action, source in zip(lines[::2], lines[1::2]):
+            assert json.loads(action) == {"index": {"_index": "hostlogs", "_type": "hostlogs"}}
+            doc = json.loads(source)
+            assert "_index" not in doc and doc["meta"] == {}
+        sizes.append(len(lines) // 2)
+    assert sorted(sizes) == [3, 10, 10]
+    rej = [f for f in os.listdir(os.path.join(out, "status=rejected")) if f.endswith(".txt")]
+    rows = [json.loads(x) for f in rej for x in open(os.path.join(out, "status=rejected", f)).read().splitlines()]
+    assert sorted(r["rid"] for r in rows) == [23, 24] and {r["reason"] for r in rows} == {"xml"}
+
+
+def test_push_bulk_sends_batches_and_reports(spark, tmp_path):
+    sent_dir = tmp_path / "sent"
+    sent_dir.mkdir()
+    target = str(sent_dir)
+    report_file = str(tmp_path / "report.json")
+
+    def on_commit(sizes):
+        with open(report_file, "w") as f:
+            f.write(json.dumps(sizes))
+
+    def send(lines):
+        import uuid
+
+        with open(os.path.join(target, uuid.uuid4().hex), "w") as f:
+            f.write(json.dumps(lines))
+
+    load = load_events(spark, _source(spark, 12, 1).repartition(2))
+    push_bulk(load, send, batch_size=5, on_commit=on_commit)
+    batches = [json.loads(open(os.path.join(target, f)).read()) for f in os.listdir(target)]
+    assert sum(len(b) for b in batches) == 12
+    assert all(len(b) <= 5 for b in batches)
+    assert sorted(json.loads(open(report_file).read())) == sorted(len(b) for b in batches)
+
+
+def test_push_bulk_failure_fails_the_load(spark):
+    def send(lines):
+        raise ConnectionError("destination refused the request")
+
+    load = load_events(spark, _source(spark, 3))
+    with pytest.raises(Exception, match="destination refused"):
+        push_bulk(load, send, batch_size=2)
+
+
+def test_table_append_twice_doubles_and_clear(spark, tmp_path):
+    name = "eventloom_test_events"
+    clear_event_table(spark, name)
+    load = load_events(spark, _source(spark, 4, 1), metadata={"run": 1})
+    append_events(load, name)
+    append_events(load, name)  # K7: no key, a re-run stores the records again
+    t = spark.table(name)
+    assert t.count() == 8
+    types = dict(t.dtypes)
+    assert types["event_time"] == "timestamp_ntz" and types["event_date"] == "date"
+    clear_event_table(spark, name)
+    assert not spark.catalog.tableExists(name)
