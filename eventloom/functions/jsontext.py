@@ -42,11 +42,33 @@ def _lower_unicode_escapes(j: Column) -> Column:
     return F.replace(F.array_join(fixed, "\\u"), F.lit(_MASK), F.lit("\\\\"))
 
 
+# Fixed value: printable ASCII other than '"' and '\\' needs no escape in JSON text.
+_PLAIN = r"^[\x20\x21\x23-\x5b\x5d-\x7f]*$"
+
+
+def json_text(c: Column) -> Column:
+    """JSON string text of a column; NULL becomes ``null``.
+
+    Non-ASCII characters are written as ``\\uXXXX`` (upper-case hex, as Spark
+    writes them): the same JSON value as ``json.dumps`` gives.  Use
+    :func:`dumps_compatible` on a finished text that is *stored* as a string and
+    must equal ``json.dumps`` byte for byte.
+    """
+    s = c.cast("string")
+    arr = F.to_json(F.array(s), _ASCII_ESCAPES)
+    escaped = F.substring(arr, 2, F.length(arr) - 2)
+    # Fast path: most values are plain ASCII and only need quotes.
+    return F.when(s.isNull(), F.lit("null")).when(s.rlike(_PLAIN), F.concat(F.lit('"'), s, F.lit('"'))).otherwise(escaped)
+
+
+def dumps_compatible(json_text_col: Column) -> Column:
+    """Lower-case the hex digits of every ``\\u`` escape of a JSON text (``json.dumps`` form)."""
+    return F.when(F.instr(json_text_col, "\\u") > 0, _lower_unicode_escapes(json_text_col)).otherwise(json_text_col)
+
+
 def json_str(c: Column) -> Column:
-    """JSON text of a string column as ``json.dumps`` writes it; NULL becomes ``null``."""
-    arr = F.to_json(F.array(c.cast("string")), _ASCII_ESCAPES)
-    inner = F.regexp_extract(arr, r"(?s)^\[(.*)\]$", 1)
-    return F.when(F.instr(inner, "\\u") > 0, _lower_unicode_escapes(inner)).otherwise(inner)
+    """JSON string text exactly as ``json.dumps`` writes it (see :func:`dumps_compatible`)."""
+    return dumps_compatible(json_text(c))
 
 
 def pair(key: str, value_json: Column) -> Column:
@@ -76,12 +98,12 @@ def attrs_and_text(attrs: dict[str, Column], text: Column | None) -> Column:
     any_attr = None
     for c in attrs.values():
         any_attr = c.isNotNull() if any_attr is None else (any_attr | c.isNotNull())
-    text_json = json_str(text) if text is not None else F.lit("null")
+    text_json = json_text(text) if text is not None else F.lit("null")
     if any_attr is None:
         return text_json
-    frags = [F.when(c.isNotNull(), pair("@" + name, json_str(c))) for name, c in attrs.items()]
+    frags = [F.when(c.isNotNull(), pair("@" + name, json_text(c))) for name, c in attrs.items()]
     if text is not None:
-        frags.append(F.when(text.isNotNull(), pair("#text", json_str(text))))
+        frags.append(F.when(text.isNotNull(), pair("#text", json_text(text))))
     return F.when(any_attr, obj(frags)).otherwise(text_json)
 
 

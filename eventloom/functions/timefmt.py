@@ -22,21 +22,22 @@ from pyspark.sql import functions as F
 TIME_PATTERN = r"^(\d{4})-(\d{1,2})-(\d{1,2}| \d)\s+(\d{1,2}):(\d{1,2}):(\d{1,2})(?:[.](\d{1,6}))?$"
 
 
-def parse_event_time(text: Column) -> Column:
-    """``TIMESTAMP_NTZ`` from the event time text, NULL when it is not an accepted form."""
-    g = [F.regexp_extract(text, TIME_PATTERN, i) for i in range(1, 8)]
-    y, mo, d, h, mi, s, frac = g
-    yi = y.try_cast("int")
-    moi = mo.try_cast("int")
-    di = F.trim(d).try_cast("int")
-    hi = h.try_cast("int")
-    mii = mi.try_cast("int")
-    si = s.try_cast("int")
+def time_parts(text: Column) -> Column:
+    """Digit runs of an accepted time text (y, M, d, H, m, s[, fraction]); NULL otherwise."""
+    return F.when(text.rlike(TIME_PATTERN), F.regexp_extract_all(text, F.lit(r"(\d+)"), 1))
+
+
+def time_from_parts(parts: Column) -> Column:
+    """``TIMESTAMP_NTZ`` from :func:`time_parts` output; NULL when the parts are no real time.
+
+    Pass a column reference: the parts are read many times.
+    """
+    yi, moi, di, hi, mii, si = (parts[i].try_cast("int") for i in range(6))
+    frac = F.when(F.size(parts) == 7, parts[6]).otherwise(F.lit(""))
     # seconds with the fraction padded to microseconds, e.g. "7.5" -> 7.500000
-    seconds = F.concat(s, F.lit("."), F.rpad(frac, 6, "0")).try_cast("decimal(8,6)")
+    seconds = F.concat(parts[5], F.lit("."), F.rpad(frac, 6, "0")).try_cast("decimal(8,6)")
     valid = (
-        text.rlike(TIME_PATTERN)
-        & yi.between(1, 9999)
+        yi.between(1, 9999)
         & moi.between(1, 12)
         & di.between(1, 31)
         & hi.between(0, 23)
@@ -45,7 +46,16 @@ def parse_event_time(text: Column) -> Column:
     )
     # try_make_timestamp_ntz returns NULL for 30 February; it is only reached for
     # in-range parts (it raises on year 0 and rolls second 60 over).
-    return F.when(valid, F.try_make_timestamp_ntz(yi, moi, di, hi, mii, seconds))
+    return F.when(parts.isNotNull() & valid, F.try_make_timestamp_ntz(yi, moi, di, hi, mii, seconds))
+
+
+def parse_event_time(text: Column) -> Column:
+    """``TIMESTAMP_NTZ`` from the event time text, NULL when it is not an accepted form.
+
+    For plans, prefer staging :func:`time_parts` as a column and applying
+    :func:`time_from_parts` to it (this one-expression form repeats the split).
+    """
+    return time_from_parts(time_parts(text))
 
 
 def iso_text(t: Column) -> Column:

@@ -3,8 +3,10 @@
 ``document`` is the JSON text of the record as the destination stores it: the
 ``Event`` object and ``@timestamp`` (or, for promoted records, the content of
 ``Event`` at the root), then ``_index``, ``_type`` and ``meta``.  It is built from
-column expressions (see :mod:`eventloom.functions.jsontext`) in ``json.dumps``
-text form; open subtrees come in as ready JSON fragments.
+column expressions (see :mod:`eventloom.functions.jsontext`) with ``json.dumps``
+separators; non-ASCII text is escaped with upper-case hex, which is the same JSON
+value.  The raw-text fields inside it are exact ``json.dumps`` text.  Open
+subtrees come in as ready JSON fragments.
 """
 
 from __future__ import annotations
@@ -33,14 +35,14 @@ def normalize_metadata(metadata: Any) -> str:
 
 
 def _eventdata_json(ed: Column, shape: Column) -> Column:
-    common_head = [F.when(ed["_Name"].isNotNull(), J.pair("@Name", J.json_str(ed["_Name"])))]
+    common_head = [F.when(ed["_Name"].isNotNull(), J.pair("@Name", J.json_text(ed["_Name"])))]
     tail = [
-        F.when(ed["ComplexData"].isNotNull(), J.pair("ComplexData", J.json_str(ed["ComplexData"]))),
-        F.when(ed["Binary"].isNotNull(), J.pair("Binary", J.json_str(ed["Binary"]))),
-        F.when(ed["_VALUE"].isNotNull(), J.pair("#text", J.json_str(ed["_VALUE"]))),
+        F.when(ed["ComplexData"].isNotNull(), J.pair("ComplexData", J.json_text(ed["ComplexData"]))),
+        F.when(ed["Binary"].isNotNull(), J.pair("Binary", J.json_text(ed["Binary"]))),
+        F.when(ed["_VALUE"].isNotNull(), J.pair("#text", J.json_text(ed["_VALUE"]))),
     ]
     list_obj = J.obj(common_head + [J.pair("Data", map_json(F.col("event_data")))] + tail)
-    single_obj = J.obj(common_head + tail + [J.pair("RawData", J.json_str(F.col("eventdata_raw")))])
+    single_obj = J.obj(common_head + tail + [J.pair("RawData", J.json_text(F.col("eventdata_raw")))])
     return F.when(shape == "list", list_obj).when(shape == "single", single_obj)
 
 
@@ -49,7 +51,7 @@ def document_body(df: DataFrame) -> DataFrame:
     e = F.col(PARSED)
     shape = F.col("shape")
     ed = e["EventData"][0]
-    xmlns = F.when(e["_xmlns"].isNotNull(), J.pair("@xmlns", J.json_str(e["_xmlns"])))
+    xmlns = F.when(e["_xmlns"].isNotNull(), J.pair("@xmlns", J.json_text(e["_xmlns"])))
     system = J.pair("System", F.col("_doc_system"))
     others = F.col("other_json")
     event_obj = J.obj(
@@ -58,11 +60,11 @@ def document_body(df: DataFrame) -> DataFrame:
             system,
             F.when(shape.isin("list", "single"), J.pair("EventData", _eventdata_json(ed, shape))),
             others,
-            F.when(shape == "nodata", J.pair("RawData", J.json_str(F.col("event_raw")))),
+            F.when(shape == "nodata", J.pair("RawData", J.json_text(F.col("event_raw")))),
         ]
     )
     event_body = F.concat_ws(
-        J.ITEM_SEP, J.pair("Event", event_obj), J.pair("@timestamp", J.json_str(F.col("@timestamp")))
+        J.ITEM_SEP, J.pair("Event", event_obj), J.pair("@timestamp", J.json_text(F.col("@timestamp")))
     )
     promoted_body = F.concat_ws(
         J.ITEM_SEP,
@@ -96,8 +98,8 @@ def document_json(df: DataFrame) -> DataFrame:
         F.concat_ws(
             J.ITEM_SEP,
             F.col("_doc_body"),
-            J.pair("_index", J.json_str(F.col("_index"))),
-            J.pair("_type", J.json_str(F.col("_type"))),
+            J.pair("_index", J.json_text(F.col("_index"))),
+            J.pair("_type", J.json_text(F.col("_type"))),
             J.pair("meta", F.col("_meta_json")),
         ),
         F.lit("}"),
@@ -117,5 +119,5 @@ def bulk_source_json() -> Column:
 
 def bulk_action_json() -> Column:
     """Bulk action line naming the destination (no ``_id``: a re-run adds the records again, K7)."""
-    inner = J.obj([J.pair("_index", J.json_str(F.col("_index"))), J.pair("_type", J.json_str(F.col("_type")))])
+    inner = J.obj([J.pair("_index", J.json_text(F.col("_index"))), J.pair("_type", J.json_text(F.col("_type")))])
     return J.obj([J.pair("index", inner)])

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import parse_event_time
+from ..functions.timefmt import time_from_parts, time_parts
 
 PARSED = "_e"
 
@@ -157,7 +157,6 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     system = e["System"][0]
     tc_n = _size(system["TimeCreated"])
     time_text = F.when((system_n == 1) & (tc_n == 1), system["TimeCreated"][0]["_SystemTime"])
-    event_time = parse_event_time(time_text)
 
     ed_n = _size(e["EventData"])
     ed = e["EventData"][0]
@@ -167,19 +166,26 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     n = _size(ed["Data"])
     d0 = ed["Data"][0]
 
+    # Staged projections: each expensive value is computed once and referred to
+    # by name afterwards (Catalyst does not merge projections that would repeat it).
+    staged = (
+        df.withColumn("_time_text", time_text)
+        .withColumn("_time_parts", time_parts(F.col("_time_text")))
+        .withColumn("event_time", time_from_parts(F.col("_time_parts")))
+        .drop("_time_parts")
+    )
     reason = (
         F.when(e.isNull() | e["_corrupt_record"].isNotNull(), F.lit("xml"))
         .when(~F.col(xml_col).rlike(ROOT_PATTERN), F.lit("root"))
-        .when(event_time.isNull(), F.lit("timestamp"))
+        .when(F.col("event_time").isNull(), F.lit("timestamp"))
         .when((ed_n > 1) | ((ed_n == 1) & ed_text_only), F.lit("shape"))
     )
+    staged = staged.withColumn("reason", reason)
     shape = (
-        F.when(reason.isNotNull(), F.lit(None).cast("string"))
+        F.when(F.col("reason").isNotNull(), F.lit(None).cast("string"))
         .when((ed_n == 0) | ed_empty, F.lit("promote"))
         .when(n >= 2, F.lit("list"))
         .when((n == 1) & ~_all_null([d0["_Name"], d0["_VALUE"], d0["xs_any"]]), F.lit("single"))
         .otherwise(F.lit("nodata"))
     )
-    return df.withColumns(
-        {"_time_text": time_text, "event_time": event_time, "reason": reason, "shape": shape}
-    )
+    return staged.withColumn("shape", shape)

@@ -33,17 +33,25 @@ from .parse import OTHER_EVENT_ELEMENTS, PARSED, SYSTEM_ELEMENTS
 MISSING_TEXT = "None"
 
 
-def eventdata_map(data_items: Column) -> Column:
-    """``MAP<STRING,STRING>`` of named ``Data`` items (E6 skip, T14 ``None``, last text wins)."""
+def data_entries(data_items: Column) -> Column:
+    """Named ``Data`` items as ``(k, v, i)``: name, text (``None`` when missing, T14), position.
+
+    Items without a name are skipped (E6): an unnamed, empty or plain-text item."""
     named = F.filter(data_items, lambda x: x["_Name"].isNotNull())
-    entries = F.transform(
+    return F.transform(
         named,
         lambda x, i: F.struct(
             x["_Name"].alias("k"), F.coalesce(x["_VALUE"], F.lit(MISSING_TEXT)).alias("v"), i.alias("i")
         ),
     )
-    # Expression-level dedup (no session-wide mapKeyDedupPolicy): keep the first
-    # position of each name with the text of its last occurrence.
+
+
+def entries_map(entries: Column) -> Column:
+    """``MAP<STRING,STRING>`` from :func:`data_entries` output (pass a column reference).
+
+    A repeated name keeps its first position and the text of its last occurrence,
+    decided per record by expressions (no session-wide ``mapKeyDedupPolicy``).
+    """
     firsts = F.filter(entries, lambda e: ~F.exists(entries, lambda o: (o["k"] == e["k"]) & (o["i"] < e["i"])))
     deduped = F.transform(
         firsts,
@@ -58,9 +66,16 @@ def eventdata_map(data_items: Column) -> Column:
     return F.map_from_entries(F.when(has_dup, deduped).otherwise(plain))
 
 
+def eventdata_map(data_items: Column) -> Column:
+    """T8 as one expression (convenience; plans stage :func:`data_entries` first)."""
+    return entries_map(data_entries(data_items))
+
+
 def map_json(m: Column) -> Column:
     """JSON object text of a string map, entries in map order."""
-    frags = F.transform(F.map_entries(m), lambda e: F.concat(J.json_str(e["key"]), F.lit(J.KEY_SEP), J.json_str(e["value"])))
+    frags = F.transform(
+        F.map_entries(m), lambda e: F.concat(J.json_text(e["key"]), F.lit(J.KEY_SEP), J.json_text(e["value"]))
+    )
     return F.concat(F.lit("{"), F.array_join(frags, J.ITEM_SEP), F.lit("}"))
 
 
@@ -68,11 +83,27 @@ def single_raw_native(d0: Column) -> Column:
     """T10 for an item the typed parse reads fully: text, or ``{"@Name": ..., "#text": ...}``."""
     as_json = J.obj(
         [
-            J.pair("@Name", J.json_str(d0["_Name"])),
-            F.when(d0["_VALUE"].isNotNull(), J.pair("#text", J.json_str(d0["_VALUE"]))),
+            J.pair("@Name", J.json_text(d0["_Name"])),
+            F.when(d0["_VALUE"].isNotNull(), J.pair("#text", J.json_text(d0["_VALUE"]))),
         ]
     )
-    return F.when(d0["_Name"].isNull(), d0["_VALUE"]).otherwise(as_json)
+    return F.when(d0["_Name"].isNull(), d0["_VALUE"]).otherwise(J.dumps_compatible(as_json))
+
+
+def nodata_raw_native(ed: Column, n: Column) -> Column:
+    """T11 for an ``EventData`` the typed parse reads fully: attribute, then its one
+    child (``Data`` always null here, ``ComplexData`` or ``Binary``), then text."""
+    return J.dumps_compatible(
+        J.obj(
+            [
+                F.when(ed["_Name"].isNotNull(), J.pair("@Name", J.json_text(ed["_Name"]))),
+                F.when(n == 1, F.lit('"Data": null')),
+                F.when(ed["ComplexData"].isNotNull(), J.pair("ComplexData", J.json_text(ed["ComplexData"]))),
+                F.when(ed["Binary"].isNotNull(), J.pair("Binary", J.json_text(ed["Binary"]))),
+                F.when(ed["_VALUE"].isNotNull(), J.pair("#text", J.json_text(ed["_VALUE"]))),
+            ]
+        )
+    )
 
 
 def _system_struct(system: Column, iso: Column) -> Column:
@@ -98,10 +129,10 @@ def _system_json(system: Column, iso: Column) -> Column:
     for name, attrs, text in SYSTEM_ELEMENTS:
         src = system[name]
         if name == "TimeCreated":
-            value = J.obj([J.pair("@SystemTime", J.json_str(iso))])
+            value = J.obj([J.pair("@SystemTime", J.json_text(iso))])
             frags.append(J.pair(name, value))
         elif not attrs:
-            frags.append(F.when(src.isNotNull(), J.pair(name, J.json_str(src))))
+            frags.append(F.when(src.isNotNull(), J.pair(name, J.json_text(src))))
         else:
             frags.append(F.when(src.isNotNull(), J.pair(name, J.struct_element(src, attrs, text))))
     return J.obj(frags)
@@ -121,35 +152,54 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     system = e["System"][0]
     ed = e["EventData"][0]
     d0 = ed["Data"][0]
-    iso = iso_text(F.col("event_time"))
-
     has_others = ~_all_null([e[n] for n in OTHER_EVENT_ELEMENTS] + [e["xs_any"]])
     single_complex = (shape == "single") & d0["xs_any"].isNotNull()
+    n = F.when(ed["Data"].isNull(), F.lit(0)).otherwise(F.size(ed["Data"]))
+    # Native only when the child order cannot matter: at most one kind of known child.
+    n_kinds = (
+        F.when(n > 0, 1).otherwise(0)
+        + F.when(ed["ComplexData"].isNotNull(), 1).otherwise(0)
+        + F.when(ed["Binary"].isNotNull(), 1).otherwise(0)
+    )
+    nodata_native = (shape == "nodata") & ed["xs_any"].isNull() & (n_kinds <= 1)
     want = (
-        F.when(shape == "nodata", F.lit(WANT_EVENTDATA)).otherwise(F.lit(0))
+        F.when((shape == "nodata") & ~nodata_native, F.lit(WANT_EVENTDATA)).otherwise(F.lit(0))
         + F.when(single_complex, F.lit(WANT_DATA)).otherwise(F.lit(0))
         + F.when(shape.isNotNull() & has_others, F.lit(WANT_OTHERS)).otherwise(F.lit(0))
     )
-    staged = df.withColumn("_want", want)
+    # Few, wide steps: every DataFrame step re-analyses the whole plan.
+    staged = df.withColumns(
+        {
+            "_iso": iso_text(F.col("event_time")),
+            "_want": want,
+            "_nodata_native": F.when(nodata_native, nodata_raw_native(ed, n)),
+            "_entries": F.when(shape == "list", data_entries(ed["Data"])),
+        }
+    )
     # NULL input for rows that need nothing: they cost no Python parse.
     py_in = F.when(F.col("_want") > 0, F.col(xml_col))
     staged = staged.withColumn("_py", F.when(F.col("_want") > 0, event_subtrees(py_in, F.col("_want"))))
     py = F.col("_py")
 
     reason = F.coalesce(F.col("reason"), F.when(py["error"].isNotNull(), F.lit("xml")))
-    staged = staged.withColumn("reason", reason).withColumn(
-        "shape", F.when(F.col("reason").isNull(), F.col("shape"))
-    )
-    shape = F.col("shape")
-
-    data_map = F.when(shape == "list", eventdata_map(ed["Data"]))
-    eventdata_raw = F.when(shape == "single", F.coalesce(py["data"], single_raw_native(d0)))
-    event_raw = F.when(shape == "nodata", py["eventdata"])
-    other_json = F.when(shape.isNotNull(), py["others"])
+    staged = staged.withColumns({"reason": reason, "shape": F.when(reason.isNull(), F.col("shape"))})
 
+    iso = F.col("_iso")
+    accepted = shape.isNotNull()
+    staged = staged.withColumns(
+        {
+            "@timestamp": F.when(accepted & (shape != "promote"), iso),
+            "event_data": F.when(shape == "list", entries_map(F.col("_entries"))),
+            "eventdata_raw": F.when(shape == "single", F.coalesce(py["data"], single_raw_native(d0))),
+            "event_raw": F.when(shape == "nodata", F.coalesce(F.col("_nodata_native"), py["eventdata"])),
+            "other_json": F.when(accepted, py["others"]),
+            "System": F.when(accepted, _system_struct(system, iso)),
+            "_doc_system": F.when(accepted, _system_json(system, iso)),
+        }
+    )
     ed_struct = F.struct(
         ed["_Name"].alias("@Name"),
-        F.when(shape == "list", F.col("event_data")).alias("Data"),
+        F.col("event_data").alias("Data"),
         ed["ComplexData"].alias("ComplexData"),
         ed["Binary"].alias("Binary"),
         ed["_VALUE"].alias("#text"),
@@ -163,19 +213,11 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
     out = staged.withColumns(
         {
-            "@timestamp": F.when(shape.isNotNull() & (shape != "promote"), iso),
-            "event_data": data_map,
-            "eventdata_raw": eventdata_raw,
-            "event_raw": event_raw,
-            "other_json": other_json,
-            "System": F.when(shape.isNotNull(), _system_struct(system, iso)),
-            "_doc_system": F.when(shape.isNotNull(), _system_json(system, iso)),
+            "Event": F.when(accepted & (shape != "promote"), event_struct),
+            "System": F.when(shape == "promote", F.col("System")),
         }
     )
-    out = out.withColumn("Event", F.when(shape.isNotNull() & (shape != "promote"), event_struct)).withColumn(
-        "System", F.when(shape == "promote", F.col("System"))
-    )
-    return out
+    return out.drop("_entries", "_nodata_native")
 
 
 def _all_null(cols: list[Column]) -> Column:

@@ -32,6 +32,9 @@ def row_index(df: DataFrame, order_by: list[str] | str | None = None, name: str
     ensure_checkpoint_dir(spark)
     if order_by:
         keys = [order_by] if isinstance(order_by, str) else list(order_by)
+        # The range sort samples its input and then shuffles it: cut the input's
+        # lineage first so the upstream work (e.g. the whole load) runs once.
+        df = df.checkpoint(eager=True)
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     frozen = df.checkpoint(eager=True)
     pid = F.spark_partition_id().cast("long")

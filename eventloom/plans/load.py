@@ -22,7 +22,17 @@ from ..operators.shape import reshape_events
 # Fixed value: the reference's default number of records per bulk request.
 DEFAULT_BATCH_SIZE = 500
 
-INTERNAL = [PARSED, "_py", "_want", "_doc_system"]
+INTERNAL = [PARSED, "_py", "_want", "_doc_system", "_iso"]
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give an input with fewer splits than cores one round-robin shuffle so every core parses.
+
+    Large inputs already have many more splits than cores; they pass unchanged
+    (the check looks only at the planned partition count, it runs no job).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def prepare_events(
@@ -30,6 +40,7 @@ def prepare_events(
     xml_col: str = "xml",
     index: str = DEFAULT_INDEX,
     metadata: Any = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """All records with their outcome: the input columns plus
 
@@ -40,13 +51,29 @@ def prepare_events(
     ``_doc_body`` / ``_meta_json`` used by the sinks.
     """
     normalize_metadata(metadata)  # malformed metadata fails here, before any job
-    out = parse_events(df, xml_col)
+    out = parse_events(spread(df, min_partitions), xml_col)
     out = classify_events(out, xml_col)
     out = reshape_events(out, xml_col)
     out = document_body(out)
     out = stamp_destination(out, index, metadata)
     out = document_json(out)
-    return out.withColumnRenamed("_time_text", "time_text").drop(*INTERNAL)
+    out = out.withColumnRenamed("_time_text", "time_text").drop(*INTERNAL)
+    computed = [c for c in out.columns if c not in df.columns]
+    return _behind_generate(out, computed)
+
+
+def _behind_generate(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Expose ``cols`` through a Generate so that later filters on them (``reason IS NULL``,
+    a user's predicate on ``event_time``) stay above it.
+
+    Catalyst pushes a filter through projections by copying the expressions it
+    names into the filter; for these columns that copies the time parse many times
+    over and runs the Arrow function a second time.  Generate is not crossed.
+    """
+    keep = [c for c in df.columns if c not in cols]
+    packed = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])
+    wrapped = df.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array(packed)).alias("_out"))
+    return wrapped.select(*[F.col(f"`{c}`") for c in keep], *[F.col("_out")[c].alias(c) for c in cols])
 
 
 @dataclass
