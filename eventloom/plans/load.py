@@ -31,6 +31,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Large inputs already have many more splits than cores; they pass unchanged
     (the check looks only at the planned partition count, it runs no job).
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
@@ -98,6 +100,7 @@ def load_events(
     metadata: Any = None,
     sink: Any = None,
     xml_col: str = "xml",
+    min_partitions: int | None = None,
 ) -> EventLoad:
     """Load event records.
 
@@ -111,7 +114,7 @@ def load_events(
         from ..sources.xml_records import scan_event_xml
 
         source = scan_event_xml(spark, source)
-    load = EventLoad(prepare_events(source, xml_col, index, metadata))
+    load = EventLoad(prepare_events(source, xml_col, index, metadata, min_partitions))
     if sink is not None:
         sink(load, batch_size)
     return load

@@ -33,8 +33,21 @@ def test_batch_sizes(spark, n, size, expected):
     assert [b for b, _ in report] == list(range(len(expected)))
 
 
+def _request_sizes(out):
+    files = [f for f in os.listdir(os.path.join(out, "status=loaded")) if f.endswith(".txt")]
+    return [len(open(os.path.join(out, "status=loaded", f)).read().splitlines()) // 2 for f in files]
+
+
+def test_bulk_files_requests_cut_per_task(spark, tmp_path):
+    load = load_events(spark, _source(spark, 23, 2), min_partitions=4)
+    out = str(tmp_path / "bulk4")
+    write_bulk_files(load, out, batch_size=10)
+    sizes = _request_sizes(out)
+    assert sum(sizes) == 23 and max(sizes) <= 10
+
+
 def test_bulk_files_one_request_per_file(spark, tmp_path):
-    load = load_events(spark, _source(spark, 23, 2).coalesce(1))
+    load = load_events(spark, _source(spark, 23, 2).coalesce(1), min_partitions=1)
     out = str(tmp_path / "bulk")
     write_bulk_files(load, out, batch_size=10)
     loaded = sorted(os.listdir(os.path.join(out, "status=loaded")))
