@@ -28,12 +28,14 @@ from pyspark.sql import types as T
 WANT_EVENTDATA = 1  # JSON of Event.EventData (shape nodata -> Event.RawData)
 WANT_DATA = 2  # JSON of Event.EventData.Data (shape single, complex item -> EventData.RawData)
 WANT_OTHERS = 4  # "key": value fragments of Event children other than System / EventData
+WANT_SHAPE = 8  # shape and raw texts decided on the full tree (attributes the typed parse cannot see)
 
 SUBTREE_SCHEMA = T.StructType(
     [
         T.StructField("eventdata", T.StringType()),
         T.StructField("data", T.StringType()),
         T.StructField("others", T.StringType()),
+        T.StructField("shape", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -88,20 +90,40 @@ def xml_to_tree(text: str):
     return root[0]
 
 
+def _shape(event: dict) -> str:
+    """Shape of a parsed record (``reject`` for a plain-text or repeated EventData)."""
+    ed = event.get("EventData")
+    if ed is None:
+        return "promote"
+    if not isinstance(ed, dict):
+        return "reject"
+    data = ed.get("Data")
+    if data is None:
+        return "nodata"
+    return "list" if isinstance(data, list) else "single"
+
+
 def _parts(xml: str, want: int) -> tuple:
     try:
         tree = xml_to_tree(xml)
     except expat.ExpatError as exc:
-        return None, None, None, f"xml: {exc}"
+        return None, None, None, None, f"xml: {exc}"
     event = tree.get("Event") if isinstance(tree, dict) else None
     if not isinstance(event, dict):
-        return None, None, None, "root"
-    eventdata = data = others = None
+        return None, None, None, None, "root"
+    eventdata = data = others = shape = None
+    if want & WANT_SHAPE:
+        shape = _shape(event)
+        if shape == "nodata":
+            want |= WANT_EVENTDATA
+        elif shape == "single":
+            want |= WANT_DATA
     if want & WANT_EVENTDATA:
         eventdata = json.dumps(event.get("EventData"))
     if want & WANT_DATA:
         ed = event.get("EventData")
-        data = json.dumps(ed.get("Data")) if isinstance(ed, dict) else None
+        item = ed.get("Data") if isinstance(ed, dict) else None
+        data = json.dumps(item) if isinstance(item, dict) else item
     if want & WANT_OTHERS:
         frags = [
             json.dumps(k) + ": " + json.dumps(v)
@@ -109,11 +131,11 @@ def _parts(xml: str, want: int) -> tuple:
             if not k.startswith("@") and k not in ("System", "EventData")
         ]
         others = ", ".join(frags) if frags else None
-    return eventdata, data, others, None
+    return eventdata, data, others, shape, None
 
 
 @F.pandas_udf(SUBTREE_SCHEMA)
 def event_subtrees(xml: pd.Series, want: pd.Series) -> pd.DataFrame:
     """Arrow-batched: JSON parts of the open subtrees a row asks for (NULL xml -> all NULL)."""
-    rows = [(None, None, None, None) if x is None else _parts(x, int(w)) for x, w in zip(xml, want)]
-    return pd.DataFrame(rows, columns=["eventdata", "data", "others", "error"])
+    rows = [(None, None, None, None, None) if x is None else _parts(x, int(w)) for x, w in zip(xml, want)]
+    return pd.DataFrame(rows, columns=["eventdata", "data", "others", "shape", "error"])

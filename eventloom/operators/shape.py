@@ -26,12 +26,17 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
 from ..functions.timefmt import iso_text
-from ..functions.xmltree import WANT_DATA, WANT_EVENTDATA, WANT_OTHERS, event_subtrees
+from ..functions.xmltree import WANT_DATA, WANT_EVENTDATA, WANT_OTHERS, WANT_SHAPE, event_subtrees
 from .parse import OTHER_EVENT_ELEMENTS, PARSED, SYSTEM_ELEMENTS
 
 # Fixed value: text written for a named Data item without text (str(None)).
 MISSING_TEXT = "None"
 
+# Fixed value: a Data or EventData start tag with attributes other than one Name
+# (SURVEY 7.5 L-a): the typed parse cannot see them, so such records take their
+# shape and raw texts from the full-tree function.
+UNKNOWN_ATTRIBUTE = r"""<(?:Event)?Data\s+(?!Name\s*=\s*(?:"[^"]*"|'[^']*')\s*/?>)"""
+
 
 def data_entries(data_items: Column) -> Column:
     """Named ``Data`` items as ``(k, v, i)``: name, text (``None`` when missing, T14), position.
@@ -162,10 +167,13 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
         + F.when(ed["Binary"].isNotNull(), 1).otherwise(0)
     )
     nodata_native = (shape == "nodata") & ed["xs_any"].isNull() & (n_kinds <= 1)
+    reason0 = F.col("reason")
+    full_tree = (reason0.isNull() | (reason0 == "shape")) & F.col(xml_col).rlike(UNKNOWN_ATTRIBUTE)
     want = (
         F.when((shape == "nodata") & ~nodata_native, F.lit(WANT_EVENTDATA)).otherwise(F.lit(0))
         + F.when(single_complex, F.lit(WANT_DATA)).otherwise(F.lit(0))
-        + F.when(shape.isNotNull() & has_others, F.lit(WANT_OTHERS)).otherwise(F.lit(0))
+        + F.when((shape.isNotNull() | full_tree) & has_others, F.lit(WANT_OTHERS)).otherwise(F.lit(0))
+        + F.when(full_tree, F.lit(WANT_SHAPE)).otherwise(F.lit(0))
     )
     # Few, wide steps: every DataFrame step re-analyses the whole plan.
     staged = df.withColumns(
@@ -181,8 +189,13 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     staged = staged.withColumn("_py", F.when(F.col("_want") > 0, event_subtrees(py_in, F.col("_want"))))
     py = F.col("_py")
 
-    reason = F.coalesce(F.col("reason"), F.when(py["error"].isNotNull(), F.lit("xml")))
-    staged = staged.withColumns({"reason": reason, "shape": F.when(reason.isNull(), F.col("shape"))})
+    py_shape = py["shape"]
+    reason = F.when(py_shape.isNotNull(), F.when(py_shape == "reject", F.lit("shape"))).otherwise(
+        F.coalesce(F.col("reason"), F.when(py["error"].isNotNull(), F.lit("xml")))
+    )
+    staged = staged.withColumns(
+        {"reason": reason, "shape": F.when(reason.isNull(), F.coalesce(py_shape, F.col("shape")))}
+    )
 
     iso = F.col("_iso")
     accepted = shape.isNotNull()
@@ -191,7 +204,7 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
             "@timestamp": F.when(accepted & (shape != "promote"), iso),
             "event_data": F.when(shape == "list", entries_map(F.col("_entries"))),
             "eventdata_raw": F.when(shape == "single", F.coalesce(py["data"], single_raw_native(d0))),
-            "event_raw": F.when(shape == "nodata", F.coalesce(F.col("_nodata_native"), py["eventdata"])),
+            "event_raw": F.when(shape == "nodata", F.coalesce(py["eventdata"], F.col("_nodata_native"))),
             "other_json": F.when(accepted, py["others"]),
             "System": F.when(accepted, _system_struct(system, iso)),
             "_doc_system": F.when(accepted, _system_json(system, iso)),

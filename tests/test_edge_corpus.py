@@ -170,10 +170,31 @@ def test_first_record_malformed_run_goes_on(spark):
     assert [r["reason"] for r in rows] == ["xml", None]
 
 
-@pytest.mark.xfail(strict=True, reason="SURVEY 7.5 L-a: attributes outside the typed schema are not seen")
-def test_unknown_attribute_on_single_data(spark):
-    (row,) = load_rows(spark, [ed('<Data Type="t">v</Data>')])
-    assert row["eventdata_raw"] == '{"@Type": "t", "#text": "v"}'
+def test_unknown_attributes_follow_the_full_tree(spark):
+    """SURVEY 7.5 L-a: attributes outside the typed schema decide shape and raw text as in the reference."""
+    rows = load_rows(
+        spark,
+        [
+            ed('<Data Type="t">v</Data>'),  # X10c
+            ed('<Data Type="t"/>'),  # X10d
+            ed('<Data Name="a" Type="t">v</Data>'),
+            event('<EventData Foo="n"/>'),
+            event('<EventData Foo="x">text</EventData>'),
+            event('<EventData Foo="x"><Data/></EventData>'),
+            ed('<Data Name="a" Type="t">1</Data><Data Name="b">2</Data>'),
+        ],
+    )
+    got = [(r["reason"], r["shape"], r["eventdata_raw"], r["event_raw"]) for r in rows]
+    assert got == [
+        (None, "single", '{"@Type": "t", "#text": "v"}', None),
+        (None, "single", '{"@Type": "t"}', None),
+        (None, "single", '{"@Name": "a", "@Type": "t", "#text": "v"}', None),
+        (None, "nodata", None, '{"@Foo": "n"}'),
+        (None, "nodata", None, '{"@Foo": "x", "#text": "text"}'),
+        (None, "nodata", None, '{"@Foo": "x", "Data": null}'),
+        (None, "list", None, None),
+    ]
+    assert rows[6]["event_data"] == {"a": "1", "b": "2"}
 
 
 @pytest.mark.xfail(strict=True, reason="SURVEY 7.5 L-b: text after the root is not reported by from_xml")

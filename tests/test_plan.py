@@ -53,3 +53,15 @@ def test_python_only_for_open_subtrees(spark):
     df = spark.createDataFrame([(0, records[0])], "rid long, xml string")
     out = prepare_events(df).select("reason", "shape", "other_json", "event_raw").collect()[0]
     assert out["shape"] == "list" and out["other_json"] is None and out["event_raw"] is None
+
+
+def test_filter_on_outputs_does_not_copy_work(spark):
+    """A predicate on computed columns stays above the output Generate: one time parse, one Arrow eval."""
+    from eventloom.operators.quarantine import reject_summary
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    df = reject_summary(prepare_events(events_as_xml(ev)))
+    plan = _plan(df)
+    assert plan.count("regexp_extract_all") == 1
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.count("from_xml") == 1
