@@ -121,6 +121,12 @@ def _normalize_text(e: Column) -> Column:
 ROOT_PATTERN = r"^\x{FEFF}?\s*(<[?!][^>]*>\s*)*<Event[\s/>]"
 
 
+# Fixed value: a well-formed record ends with the root's end tag, followed only by
+# blanks, comments or processing instructions (SURVEY 7.5 L-b: from_xml ignores
+# anything after the root, an XML parser rejects it).
+END_PATTERN = r"(?s)</Event\s*>\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
+
+
 def parse_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """Add the typed parse of ``xml_col`` as struct column ``_e`` (one ``from_xml`` in the plan)."""
     parsed = F.from_xml(F.col(xml_col), event_schema_ddl(), XML_OPTIONS)
@@ -149,6 +155,7 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     Adds ``_time_text`` (T2), ``event_time`` (T3), ``reason`` and ``shape``; ``shape``
     is NULL for rejected records and ``reason`` NULL for accepted ones.  Reasons,
     first match wins: ``xml`` (malformed), ``root`` (root is not ``Event``),
+    ``xml`` (text after the root element),
     ``timestamp`` (``System`` / ``TimeCreated`` missing or repeated, time text not
     accepted), ``shape`` (``EventData`` repeated, or plain text).
     """
@@ -177,6 +184,7 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     reason = (
         F.when(e.isNull() | e["_corrupt_record"].isNotNull(), F.lit("xml"))
         .when(~F.col(xml_col).rlike(ROOT_PATTERN), F.lit("root"))
+        .when(~F.col(xml_col).rlike(END_PATTERN), F.lit("xml"))
         .when(F.col("event_time").isNull(), F.lit("timestamp"))
         .when((ed_n > 1) | ((ed_n == 1) & ed_text_only), F.lit("shape"))
     )
