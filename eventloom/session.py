@@ -7,7 +7,6 @@ missing (local tests), never in place of a cluster's own setting.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,7 +52,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     # setCheckpointDir may have appended a per-application sub folder; use the configured root.
     return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path and os.path.isabs(path)
