@@ -248,6 +248,19 @@ def q_document_payload(spark, sf_dir):
     )
 
 
+try:  # the training-data operators are a part of their own that may be absent
+    import corpus_pipeline as _pipeline
+    from eventloom.llm.queries import ORACLE_SQL as _LLM_SQL
+    from eventloom.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "eventloom.llm", "eventloom.llm.queries"):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": _pipeline.run}
+    if _pipeline.ORACLE_SQL is not None:
+        _LLM_SQL = {**_LLM_SQL, "pipeline": _pipeline.ORACLE_SQL}
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_event_xml": q_scan_event_xml,
     "parse_event_fields": q_parse_event_fields,
@@ -284,7 +297,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -430,4 +443,4 @@ SELECT doc_id, 'list' AS shape, text, CAST(length(text) AS BIGINT) AS n_chars FR
 def oracle_sql() -> dict[str, str]:
     out = {name: _BASE + tail for name, tail in _ORACLE_TAILS.items()}
     out["document_payload"] = _DOCUMENT_PAYLOAD
-    return out
+    return {**out, **_LLM_SQL}
