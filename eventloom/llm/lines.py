@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, column, fresh
+from .common import BLANKS, LOWER, UPPER, column, fresh, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -38,7 +38,8 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
         "r1", "r2", "doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), F.col("key")).alias("h2")
     )
     counts = lines.groupBy("h1", "h2").agg(F.countDistinct("doc").alias("n_docs"), F.max("doc").alias("keeper"))
-    return lines, counts.where(F.col("n_docs") >= min_docs)
+    # Written, so that the join with it can be split where a line is hot, or broadcast while Spark finds it small.
+    return lines, written(counts.where(F.col("n_docs") >= min_docs), "frequent-lines")
 
 
 def _reassembled(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int):

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .lines import line_dedup
+from .packing import pack_documents
 from .sharding import shard_documents
 from .stream_dedup import stream_dedup
+from .token_files import id_checksums, read_token_files, write_token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +28,23 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(_documents(spark, sf_dir), path)
+    files = read_token_files(spark, path).withColumnRenamed("doc", "doc_id")
+    return files.mapInArrow(id_checksums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
 def op8_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stream_dedup(spark, f"{sf_dir}/documents.parquet")
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_feistel_shards, op5_line_dedup, op8_stream_dedup)}
+QUERIES = {f.__name__: f for f in (op4_feistel_shards, op5_line_dedup, op6_best_fit_packing, op7_token_files, op8_stream_dedup)}
 
 # Fixed values of the rules, as SQL text.
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import column
+from .common import column, written
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -87,11 +87,13 @@ def stream_dedup(
     seen = rows.drop("text").join(state, ["digest", "bytes"])
 
     # Full bytes on hits: the text at the locator against the text of every other row of the key.
+    # Only rows of such keys are written; the texts of all others move once and are read no more.
     hits = state.where(F.col("group_size") > 1).select("digest", "bytes", "last")
+    held = written(rows.join(hits, ["digest", "bytes"]), "hits")
     at = (F.col("file") == F.col("last.file")) & (F.col("row") == F.col("last.row"))
-    held = rows.join(hits, ["digest", "bytes"])
     first = held.where(at).select("digest", "bytes", F.col("text").alias("held_text"))
-    other = held.where(~at).drop("last").join(first, ["digest", "bytes"]).where(F.col("text") != F.col("held_text")).drop("held_text")
+    differs = F.col("text") != F.col("held_text")
+    other = written(held.where(~at).drop("last").join(first, ["digest", "bytes"]).where(differs).drop("held_text"), "differing")
     regrouped = other.groupBy("digest", "bytes", "text").agg(
         F.max(F.struct("doc", "file", "row")).alias("own_last"), F.count(F.lit(1)).alias("own_size")
     )

@@ -1,0 +1,44 @@
+"""Small tables with the awkward cases, and words for brute-force versions."""
+
+import re
+import zlib
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, kept string, `text.x` string, component_id long"
+
+LINE = "this very line is long enough to be counted as shared text"
+EDGE_TEXTS = [
+    None, "", " ", "\n", "\n\n", "one", "one two three", "One TWO three", "a b c d e", "a b c d e f g", "a b c d e f g",
+    "a b c d e f g\t", LINE, f"{LINE}\nother", f"  {LINE.upper()} \r\nother", f"x\n{LINE}\n{LINE}", f"{LINE}\n", f"y\n{LINE}",
+    "été à Noël ß ẞ İ", "\x00\x1c\x85 ", "日本語 テキスト", "😀 😀 😀 😀 😀 😀", "<|endoftext|> is text", "tab\tand\x0bvt\x0cff",
+    " ".join(f"w{i % 97}" for i in range(30_000)),
+] + ["the same text for a third of the rows, again and again and again"] * 13
+
+
+def edge_rows():
+    rows = [(i, t, [None, "en", "fr"][i % 3], [None, "s1", "s1", "s2"][i % 4], None, 7, "mine", "dot", 3) for i, t in enumerate(EDGE_TEXTS)]
+    return rows + [rows[5], rows[12], (None, LINE, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None)]
+
+
+def edge_docs(spark, parts=5):
+    return spark.createDataFrame(edge_rows(), SCHEMA).repartition(parts)
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def read_documents(sf_dir):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{sf_dir}/documents.parquet").to_pylist()
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+
+
+def crc(text):
+    return zlib.crc32(str(text).encode())
+
+
+BLANK_BYTES = b" \t\n\x0b\x0c\r"

@@ -1,0 +1,265 @@
+"""Sharding, line dedup, exact dedup, token files and packing against brute-force versions."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from eventloom.llm import lines, packing, queries, sharding, stream_dedup, token_files
+from eventloom.llm.tokens import Encoder, default_vocabulary
+
+from .edge import BLANK_BYTES, edge_docs, edge_rows, no_docs, read_documents
+
+
+def plain_ids(texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(default_vocabulary())
+    t.encode_special_tokens = True
+    return [np.array(t.encode(x or "", add_special_tokens=False).ids + [0], "<u4") for x in texts]
+
+
+# ---------------------------------------------------------------- sharding
+
+
+def test_shards_are_even_gapless_and_stable(spark):
+    a = sharding.shard_documents(edge_docs(spark, 5), shards=7).collect()
+    b = sharding.shard_documents(edge_docs(spark, 2), shards=7).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) == len(edge_rows())
+    slots = defaultdict(list)
+    for r in a:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(slots[k]) for k in range(7)]
+    assert max(sizes) - min(sizes) <= 1
+    by_id = {(r["doc_id"], r["size"], r["text_crc32"]) for r in a}
+    want = {(d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t, *_ in edge_rows()}
+    assert by_id == want
+    assert sharding.shard_documents(no_docs(spark)).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 1000, 4097])
+def test_feistel_is_a_permutation(spark, n):
+    p = spark.range(n).select(sharding.permuted(F.col("id"), n, 3).alias("p"))
+    assert sorted(r["p"] for r in p.collect()) == list(range(n))
+
+
+def test_shard_query(spark):
+    rows = queries.op4_feistel_shards(spark, SF_SMALL).collect()
+    docs = {d["doc_id"]: d["text"] or "" for d in read_documents(SF_SMALL)}
+    assert {r["doc_id"] for r in rows} == set(docs) and {r["law"] for r in rows} == {"rows"}
+    assert all(r["size"] == len(docs[r["doc_id"]].encode()) + 16 and r["text_crc32"] == zlib.crc32(docs[r["doc_id"]].encode()) for r in rows)
+    sizes = Counter(r["shard"] for r in rows)
+    assert set(sizes) == set(range(40)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, k) for s in range(40) for k in range(sizes[s])]
+
+
+# ---------------------------------------------------------------- lines
+
+
+def brute_lines(rows, min_chars=40, min_docs=5):
+    keys = defaultdict(set)
+    key = lambda line: line.encode().strip(BLANK_BYTES).lower().decode()
+    for d, t, *_ in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                keys[key(line)].add(d)
+    keeper = {k: max(d - {None}) for k, d in keys.items() if len(d - {None}) >= min_docs}
+    out = []
+    for d, t, *_ in rows:
+        all_ = (t or "").split("\n")
+        stay = [x for x in all_ if key(x) not in keeper or keeper[key(x)] == d]
+        out.append((d, "\n".join(stay), len(all_), len(all_) - len(stay)))
+    return sorted(out, key=str)
+
+
+def test_lines_match_brute_force(spark):
+    got = lines.line_dedup(edge_docs(spark)).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    assert sorted(map(tuple, got), key=str) == brute_lines(edge_rows())
+    assert lines.line_dedup(no_docs(spark)).collect() == []
+
+
+def test_lines_keep_other_columns(spark):
+    docs = edge_docs(spark).withColumn("gone", F.lit("g")).withColumn("R1", F.lit("r"))
+    out = lines.without_shared_lines(docs)
+    assert out.columns == docs.columns
+    assert {(r["gone"], r["R1"]) for r in out.collect()} == {("g", "r")}
+
+
+# ---------------------------------------------------------------- exact dedup
+
+
+def saved(docs, tmp_path, name="documents.parquet"):
+    docs.write.parquet(str(tmp_path / name))
+    return str(tmp_path / name)
+
+
+@pytest.mark.parametrize("digest", [stream_dedup.text_digest, lambda text: F.lit(b"same")])
+def test_stream_dedup_matches_brute_force(spark, tmp_path, digest):
+    """Also with a digest that all texts of a length share, so that only the bytes tell them apart."""
+    got = stream_dedup.stream_dedup(spark, saved(edge_docs(spark, 4), tmp_path), digest=digest).collect()
+    groups = defaultdict(list)
+    for d, t, *_ in edge_rows():
+        groups[t or ""].append(d)
+    want = Counter()
+    for ids in groups.values():
+        keep = max((i for i in ids if i is not None), default=None)
+        want.update((d, keep, len(ids)) for d in ids)
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == want
+    kept = [r for r in got if r["kept"]]
+    assert len(kept) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in kept)
+
+
+def test_stream_dedup_empty(spark, tmp_path):
+    assert stream_dedup.stream_dedup(spark, saved(no_docs(spark), tmp_path)).collect() == []
+
+
+def test_stream_state_goes_on(spark, tmp_path):
+    """Files that come later meet the retained keys."""
+    path, ckpt = saved(edge_docs(spark, 2), tmp_path), str(tmp_path / "ckpt")
+    first = stream_dedup.stream_dedup(spark, path, checkpoint=ckpt).count()
+    spark.createDataFrame([(900, "one")], "doc_id long, text string").write.mode("append").parquet(path)
+    rows = stream_dedup.stream_dedup(spark, path, checkpoint=ckpt).where("keep_id = 900").collect()
+    assert first == len(edge_rows()) and {r["doc_id"] for r in rows} == {5, 900} and {r["group_size"] for r in rows} == {3}
+
+
+# ---------------------------------------------------------------- tokens
+
+
+ALPHABET = st.sampled_from(list("aB9 \n\t.,'!|?é×日²\x1c\x85\xa0 　​\r") + ["  ", "\n\n", "'s", "'ll", "😀", "<|endoftext|>"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(ALPHABET, max_size=14).map("".join), max_size=5))
+def test_encoder_equals_library(texts):
+    ids, ends = ENCODER.encode(texts)
+    got = [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
+    assert got == [x[:-1].tolist() for x in plain_ids(texts)]
+
+
+ENCODER = Encoder()
+
+
+def test_encoder_on_documents_and_long_text():
+    texts = [d["text"] for d in read_documents(SF_SMALL)]
+    texts.append(" ".join(t or "" for t in texts) * 3)
+    ids, ends = Encoder().encode([t or "" for t in texts])
+    for got, want in zip(np.split(ids, ends[:-1]), plain_ids(texts)):
+        assert np.array_equal(got, want[:-1])
+
+
+def brute_files(rows):
+    out, start = [], 0
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    for (d, t, *_), ids in zip(rows, plain_ids([r[1] for r in rows])):
+        out.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_files_query(spark):
+    got = queries.op7_token_files(spark, SF_SMALL).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == brute_files([(d["doc_id"], d["text"]) for d in read_documents(SF_SMALL)])
+
+
+def test_token_files_edge(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    token_files.write_token_files(edge_docs(spark), path)
+    files = token_files.read_token_files(spark, path)
+    got = files.mapInArrow(token_files.id_checksums, "doc long, start long, n_tokens long, ids_crc32 long").collect()
+    want = brute_files(edge_rows())
+    assert Counter((r[0], r[2], r[3]) for r in got) == Counter((r[0], r[2], r[3]) for r in want)
+    assert sorted(r[1] for r in got) == list(np.cumsum([0] + [r[2] for r in sorted(got, key=lambda r: r[1])])[:-1])
+    token_files.write_token_files(no_docs(spark), path + "0")
+    assert token_files.read_token_files(spark, path + "0").collect() == []
+
+
+def test_token_files_layout(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "ids")
+    token_files.write_token_files(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), path)
+    meta = pq.ParquetFile(sorted(glob.glob(path + "/*.parquet"))[0]).metadata.row_group(0)
+    cols = {meta.column(i).path_in_schema.split(".")[0]: meta.column(i) for i in range(meta.num_columns)}
+    assert any("DICT" in e for e in cols["ids"].encodings) and "DELTA_BINARY_PACKED" in cols["doc"].encodings
+    assert cols["doc"].has_offset_index and cols["doc"].has_column_index
+    plan = token_files.read_token_files(spark, path).where("doc = 7").select("doc", "n_tokens")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(doc), EqualTo(doc,7)" in plan and "ReadSchema: struct<doc:bigint,part:int,n_tokens:bigint>" in plan
+
+
+# ---------------------------------------------------------------- packing
+
+
+def brute_best_fit(lengths, window):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - n)
+        else:
+            rooms.append(window - n)
+    return sorted(rooms)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 32), max_size=120))
+def test_plan_equals_best_fit_decreasing(lengths):
+    plan = packing.best_fit_plan(Counter(lengths), 32)
+    fill, placed = defaultdict(list), Counter()
+    for length, lo, hi, first, per, at in plan:
+        for rank in range(lo, hi):
+            fill[first + (rank - lo) // per].append((at + (rank - lo) % per * length, length))
+            placed[length] += 1
+    assert placed == Counter(lengths) and sorted(fill) == list(range(len(fill)))
+    for pieces in fill.values():
+        pieces.sort()
+        assert [a for a, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))]
+    assert sorted(32 - sum(n for _, n in p) for p in fill.values()) == brute_best_fit(lengths, 32)
+
+
+def check_packing(got, rows):
+    """Every id in one piece, checksums right, windows gapless and as full as best fit makes them."""
+    texts = Counter()
+    for (d, *_), ids in zip(rows, plain_ids([r[1] for r in rows])):
+        texts.update((d, i, len(ids[i : i + 1024]), zlib.crc32(ids[i : i + 1024].tobytes()), len(ids)) for i in range(0, len(ids), 1024))
+    assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == texts
+    fill = defaultdict(list)
+    for r in got:
+        fill[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(fill) == list(range(len(fill)))
+    for pieces in fill.values():
+        pieces.sort()
+        assert [a for a, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))]
+    assert sorted(1024 - sum(n for _, n in p) for p in fill.values()) == brute_best_fit([r["length"] for r in got], 1024)
+
+
+def test_packing_query(spark):
+    check_packing(queries.op6_best_fit_packing(spark, SF_SMALL).collect(), [(d["doc_id"], d["text"]) for d in read_documents(SF_SMALL)])
+
+
+def test_packing_edge(spark):
+    check_packing(packing.pack_documents(edge_docs(spark)).collect(), edge_rows())
+    assert packing.pack_documents(no_docs(spark)).collect() == []
+
+
+def test_sequences_hold_the_ids(spark):
+    pieces = packing.pack_documents(edge_docs(spark), with_ids=True)
+    seqs = packing.sequences(pieces).collect()
+    ids = np.concatenate([np.frombuffer(r["ids"], "<u4")[: r["n_tokens"]] for r in seqs])
+    assert all(len(r["ids"]) == 4096 for r in seqs)
+    assert Counter(ids.tolist()) == Counter(np.concatenate(plain_ids([r[1] for r in edge_rows()])).tolist())
+
+
+def test_kept_text_digest(spark):
+    got = queries.op5_line_dedup(spark, SF_SMALL).collect()
+    want = brute_lines([(d["doc_id"], d["text"]) for d in read_documents(SF_SMALL)])
+    assert sorted((r["doc_id"], r["kept_sha256"]) for r in got) == sorted((d, hashlib.sha256(t.encode()).hexdigest()) for d, t, *_ in want)
