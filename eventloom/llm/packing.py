@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import column, text_slices, written
-from .tokens import END_ID, Encoder
+from .tokens import END_ID, worker_encoder
 
 WINDOW = 1024
 
@@ -106,7 +106,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, window: int, vocabul
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seen = Encoder(vocabulary), TaskContext.get().partitionId(), [0] * (window + 1)
+        encoder, part, seen = worker_encoder(vocabulary), TaskContext.get().partitionId(), [0] * (window + 1)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):

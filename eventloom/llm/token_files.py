@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, text_slices
-from .tokens import END_ID, Encoder
+from .common import column, text_slices, written
+from .tokens import END_ID, worker_encoder
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -30,13 +30,14 @@ PAGE_ROWS = 2000
 def token_rows(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | None, end_id: int) -> DataFrame:
     """Documents in ascending order of their ids as rows of the file format.
 
-    The texts are dealt out in ranges of (id, hash of the text), so that rows without an id, or with
-    the same one, don't all meet in one task; the ids are made after the shuffle, which moves texts.
+    The texts are dealt out in ranges of (id, hash of the place in the scan), so that rows without an
+    id, or with the same one, don't all meet in one task, and the sample of the ranges reads no text.
+    The ids are made after the shuffle, which moves texts.
     """
     id_type = docs.schema[id_col].dataType
     ordered = docs.select(column(id_col).alias("doc"), column(text_col).alias("text"))
-    ordered = ordered.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc", "tie")
-    ordered = ordered.sortWithinPartitions("doc", "tie", "text").drop("tie")
+    ordered = ordered.withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = ordered.repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie").drop("tie")
     schema = T.StructType([
         T.StructField("doc", id_type), T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
@@ -45,7 +46,7 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | No
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, before = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, before = worker_encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
                 ids, ends = encoder.encode(texts)
@@ -93,7 +94,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.parquet(path)
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # Written, so that Spark knows its size and, while small, brings it to the ids instead of moving them.
+    parts = written(sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "part-starts")
     return files.join(parts, "part").select("doc", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids")
 
 

@@ -4,14 +4,17 @@ The library's byte-level pattern always starts a new word at a blank or line bre
 character that is not white space.  Texts are cut there, each distinct piece is encoded once and
 remembered, and a text's ids are the ids of its pieces in order: the same ids as from encoding the
 text in one go (tests hold the two against each other), at several times the speed.  The memory is
-bounded and starts afresh when full.
+bounded: when it is full, the pieces met least often are forgotten.  A reused Python worker keeps its
+encoder from task to task.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
 from itertools import islice
+from types import ModuleType
 
 import numpy as np
 
@@ -53,11 +56,17 @@ class Encoder:
         vocab = self._tokenizer.get_vocab(with_added_tokens=True)
         self._n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         self._n_bytes[list(vocab.values())] = [len(t) for t in vocab]
-        self._forget()
+        self._numbers, self._ids = _Numbered(), np.zeros(0, np.uint32)
+        self._starts = self._lengths = self._met = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
-        self._numbers, self._ids = _Numbered(), np.zeros(0, np.uint32)
-        self._starts = self._lengths = np.zeros(0, np.int64)
+        """Keep the more often met half of what may be remembered."""
+        keep = np.sort(np.argsort(-self._met, kind="stable")[: _REMEMBERED // 2])
+        pieces, lengths = list(self._numbers), self._lengths[keep]
+        self._numbers = _Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
+        after = np.cumsum(lengths)
+        self._ids = self._ids[np.repeat(self._starts[keep] - (after - lengths), lengths) + np.arange(after[-1])]
+        self._starts, self._lengths, self._met = after - lengths, lengths, self._met[keep] // 2
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
@@ -73,6 +82,7 @@ class Encoder:
         if len(self._numbers) > known:
             self._learn(list(islice(self._numbers, known, None)))
         flat = np.concatenate(codes)
+        self._met += np.bincount(flat, minlength=len(self._met))
         lengths = self._lengths[flat]
         after = np.cumsum(lengths)
         ids = self._ids[np.repeat(self._starts[flat] - (after - lengths), lengths) + np.arange(after[-1] if len(after) else 0)]
@@ -98,6 +108,7 @@ class Encoder:
         self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(new) - new])
         self._lengths = np.concatenate([self._lengths, new])
         self._ids = np.concatenate([self._ids, *ids])
+        self._met = np.concatenate([self._met, np.zeros(len(new), np.int64)])
 
     def _encode_run(self, run: list[str], lengths: list, ids: list) -> None:
         if run:
@@ -108,6 +119,14 @@ class Encoder:
             ids.append(got)
 
 
+def worker_encoder(vocabulary: str | None) -> Encoder:
+    """This Python process's encoder; it outlives the task, as functions shipped with a task don't."""
+    held = sys.modules.setdefault("_eventloom_worker", ModuleType("_eventloom_worker")).__dict__
+    if vocabulary not in held:
+        held[vocabulary] = Encoder(vocabulary)
+    return held[vocabulary]
+
+
 def _segments(text: str) -> list[str]:
     """Runs of about a million characters, so that one very long text is not cut into pieces all at once."""
     if len(text) <= _SEGMENT:
