@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +43,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut a batch into runs of rows with at most ``max_bytes`` of text (one longer text makes a run of its own).
-
-    Yields the rows and their texts, null as the empty text.
-    """
-    col = batch.column(batch.schema.get_field_index(text))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows with at most ``max_bytes`` of text (one longer text makes a run of its own)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
     lo = total = 0
     for i, n in enumerate(sizes):
         if i > lo and total + n > max_bytes:
-            yield batch.slice(lo, i - lo), [t or "" for t in col.slice(lo, i - lo).to_pylist()]
+            yield batch.slice(lo, i - lo)
             lo, total = i, 0
         total += n
     if len(sizes) > lo:
-        yield batch.slice(lo), [t or "" for t in col.slice(lo).to_pylist()]
+        yield batch.slice(lo)

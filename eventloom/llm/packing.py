@@ -109,8 +109,8 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, window: int, vocabul
         encoder, part, seen = worker_encoder(vocabulary), TaskContext.get().partitionId(), [0] * (window + 1)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
-                ids, ends = encoder.encode(texts)
+            for rows in text_slices(batch, "text"):
+                ids, ends = encoder.encode(rows.column(1).fill_null("").to_pylist())
                 raw, lo, out = ids.astype("<u4").tobytes(), 0, []
                 row_of = []
                 for i, hi in enumerate((4 * ends).tolist()):

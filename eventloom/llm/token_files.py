@@ -48,8 +48,8 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | No
 
         encoder, part, before = worker_encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
-                ids, ends = encoder.encode(texts)
+            for rows in text_slices(batch, "text"):
+                ids, ends = encoder.encode(rows.column(1).fill_null("").to_pylist())
                 n = np.diff(ends, prepend=0) + 1
                 after = np.cumsum(n)
                 full = np.full(after[-1], end_id, np.int32)

@@ -13,7 +13,8 @@ from __future__ import annotations
 import os
 import re
 import sys
-from itertools import islice
+from collections.abc import Iterator
+from itertools import chain, islice
 from types import ModuleType
 
 import numpy as np
@@ -43,6 +44,13 @@ class _Numbered(dict):
         return n
 
 
+def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ids[starts : starts + lengths] of ``which``, one after the other, and where each ends."""
+    n = lengths[which]
+    after = np.cumsum(n)
+    return ids[np.repeat(starts[which] - (after - n), n) + np.arange(after[-1] if len(after) else 0)], after
+
+
 class Encoder:
     """Encodes texts to unsigned 32-bit ids."""
 
@@ -62,31 +70,32 @@ class Encoder:
     def _forget(self) -> None:
         """Keep the more often met half of what may be remembered."""
         keep = np.sort(np.argsort(-self._met, kind="stable")[: _REMEMBERED // 2])
-        pieces, lengths = list(self._numbers), self._lengths[keep]
+        pieces = list(self._numbers)
         self._numbers = _Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
-        after = np.cumsum(lengths)
-        self._ids = self._ids[np.repeat(self._starts[keep] - (after - lengths), lengths) + np.arange(after[-1])]
-        self._starts, self._lengths, self._met = after - lengths, lengths, self._met[keep] // 2
+        self._ids, after = _gathered(self._ids, self._starts, self._lengths, keep)
+        self._lengths, self._met = self._lengths[keep], self._met[keep] // 2
+        self._starts = after - self._lengths
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
         if len(self._numbers) > _REMEMBERED:
             self._forget()
         known, number = len(self._numbers), self._numbers.__getitem__
-        codes, ends = [np.zeros(0, np.int64)], []
-        for text in texts:
-            for part in _segments(text):
-                pieces = _PIECE.findall(part)
-                codes.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
-            ends.append(len(codes))
+        parts, n_parts = texts, np.ones(len(texts), np.int64)
+        if max(map(len, texts), default=0) > _SEGMENT:
+            cut = list(map(_segments, texts))
+            parts, n_parts = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
+        codes, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        for block in _blocks(parts):
+            pieces = list(map(_PIECE.findall, block))
+            counts.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            codes.append(np.fromiter(map(number, chain.from_iterable(pieces)), np.int64, counts[-1].sum()))
         if len(self._numbers) > known:
             self._learn(list(islice(self._numbers, known, None)))
         flat = np.concatenate(codes)
         self._met += np.bincount(flat, minlength=len(self._met))
-        lengths = self._lengths[flat]
-        after = np.cumsum(lengths)
-        ids = self._ids[np.repeat(self._starts[flat] - (after - lengths), lengths) + np.arange(after[-1] if len(after) else 0)]
-        upto = np.cumsum([0, *map(len, codes[1:])])[np.array(ends, np.int64) - 1]
+        ids, after = _gathered(self._ids, self._starts, self._lengths, flat)
+        upto = np.cumsum(np.concatenate(counts))[np.cumsum(n_parts)]
         return ids, np.concatenate([[0], after])[upto]
 
     def _plain(self, text: str) -> np.ndarray:
@@ -127,6 +136,15 @@ def worker_encoder(vocabulary: str | None) -> Encoder:
     return held[vocabulary]
 
 
+def _blocks(parts: list[str]) -> Iterator[list[str]]:
+    """Runs of parts with about eight million characters, whose pieces are held at once."""
+    if parts:
+        run = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // (8 * _SEGMENT)
+        cuts = (np.flatnonzero(np.diff(run)) + 1).tolist()
+        for lo, hi in zip([0, *cuts], [*cuts, len(parts)]):
+            yield parts[lo:hi]
+
+
 def _segments(text: str) -> list[str]:
     """Runs of about a million characters, so that one very long text is not cut into pieces all at once."""
     if len(text) <= _SEGMENT:

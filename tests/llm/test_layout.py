@@ -143,6 +143,8 @@ def test_encoder_equals_library(texts):
     assert got == [x[:-1].tolist() for x in plain_ids(texts)]
 
 
+
+
 ENCODER = Encoder()
 
 
@@ -154,6 +156,15 @@ def test_encoder_on_documents_and_long_text():
         assert np.array_equal(got, want[:-1])
 
 
+def test_encoder_forgets_rare_pieces(monkeypatch):
+    monkeypatch.setitem(Encoder.encode.__globals__, "_REMEMBERED", 500)
+    encoder, texts = Encoder(), [d["text"] or "" for d in read_documents(SF_SMALL)]
+    for lo in range(0, len(texts), 10):
+        ids, ends = encoder.encode(texts[lo : lo + 10])
+        for got, want in zip(np.split(ids, ends[:-1]), plain_ids(texts[lo : lo + 10])):
+            assert np.array_equal(got, want[:-1])
+
+
 def brute_files(rows):
     out, start = [], 0
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
