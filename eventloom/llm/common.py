@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -54,3 +56,8 @@ def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20) -> I
         total += n
     if len(sizes) > lo:
         yield batch.slice(lo)
+
+
+def worker_store() -> dict:
+    """What this Python worker keeps from task to task; functions shipped with a task start anew each time."""
+    return sys.modules.setdefault("_eventloom_worker", ModuleType("_eventloom_worker")).__dict__

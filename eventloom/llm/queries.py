@@ -6,17 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .langid import identify_languages
 from .lines import line_dedup
+from .minhash import near_duplicates
+from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_documents
 from .stream_dedup import stream_dedup
 from .token_files import id_checksums, read_token_files, write_token_files
+from .topk import top_k
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir))
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_documents(spark, sf_dir))
+
+
 def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(_documents(spark, sf_dir))
     law = F.lit("rows").alias("law")
@@ -44,13 +61,56 @@ def op8_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_feistel_shards, op5_line_dedup, op6_best_fit_packing, op7_token_files, op8_stream_dedup)}
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_minhash_dedup, op2_exact_topk, op3_language_id, op4_feistel_shards, op5_line_dedup, op6_best_fit_packing,
+        op7_token_files, op8_stream_dedup, op10_temperature_mixing,
+    )
+}
 
 # Fixed values of the rules, as SQL text.
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op1_minhash_dedup": rf"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS t FROM documents
+        ), s AS (
+          SELECT doc_id, unnest(list_distinct(CASE
+            WHEN len(t) = 0 THEN [] WHEN len(t) < 5 THEN [array_to_string(t, ' ')]
+            ELSE list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' ')) END)) AS g
+          FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), e AS (
+          SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * both >= 85 * (nx.n + ny.n - both)
+        ), r AS (
+          SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached
+        ), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)""",
+    "op2_exact_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+            CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5""",
     "op5_line_dedup": f"""
         WITH l AS (
           SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos

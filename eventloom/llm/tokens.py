@@ -12,13 +12,13 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from collections.abc import Iterator
 from itertools import chain, islice
-from types import ModuleType
 
 import numpy as np
 
+from .common import worker_store
+
 END_ID = 0
 _REMEMBERED = 500_000
 _SEGMENT = 1 << 20
@@ -83,7 +83,7 @@ class Encoder:
         known, number = len(self._numbers), self._numbers.__getitem__
         parts, n_parts = texts, np.ones(len(texts), np.int64)
         if max(map(len, texts), default=0) > _SEGMENT:
-            cut = list(map(_segments, texts))
+            cut = list(map(segments, texts))
             parts, n_parts = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
         codes, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
         for block in _blocks(parts):
@@ -129,11 +129,11 @@ class Encoder:
 
 
 def worker_encoder(vocabulary: str | None) -> Encoder:
-    """This Python process's encoder; it outlives the task, as functions shipped with a task don't."""
-    held = sys.modules.setdefault("_eventloom_worker", ModuleType("_eventloom_worker")).__dict__
-    if vocabulary not in held:
-        held[vocabulary] = Encoder(vocabulary)
-    return held[vocabulary]
+    """This Python worker's encoder."""
+    encoders = worker_store().setdefault("encoders", {})
+    if vocabulary not in encoders:
+        encoders[vocabulary] = Encoder(vocabulary)
+    return encoders[vocabulary]
 
 
 def _blocks(parts: list[str]) -> Iterator[list[str]]:
@@ -145,7 +145,7 @@ def _blocks(parts: list[str]) -> Iterator[list[str]]:
             yield parts[lo:hi]
 
 
-def _segments(text: str) -> list[str]:
+def segments(text: str) -> list[str]:
     """Runs of about a million characters, so that one very long text is not cut into pieces all at once."""
     if len(text) <= _SEGMENT:
         return [text]
