@@ -6,9 +6,10 @@
    Nodes that share a band meet in a bucket.
 3. Buckets are cut into blocks of bounded size, so that no bucket has to fit one task.  Inside a block, and
    then between the blocks of a bucket whose nodes are not yet one component, every pair that is not yet
-   connected is compared: sizes first, then signatures, then the full sets, which decide.  A pair that
-   shares several bands is compared in the first only.  What leaves a block are links that join parts of
-   it (fewer than nodes), not the pairs.
+   connected is compared.  Sizes and signatures come first and leave the nodes that have a possible
+   partner; only those fetch their full sets, which decide.  A pair that shares several bands is compared
+   in the first only.  What leaves a block are nodes, and links that join parts of it (fewer than nodes),
+   never the pairs.
 4. Links become components by alternating large-star and small-star steps until nothing changes.
 
 Only components are computed, so a link between nodes that are connected already is not looked for;
@@ -143,85 +144,120 @@ class _Parts:
         self.part[self.part == b] = a
 
 
-def unit_links(nodes, sizes, labels, sigs, sets, sides, band, rows, similarity) -> list[tuple[int, int]]:
-    """Links that join parts of one unit, every unconnected pair of its two sides compared (one side: all pairs).
+class Unit:
+    """The nodes of one block of a bucket, or of two blocks: which pairs are left to compare.
 
-    ``sigs`` is (nodes, minima); ``sides`` tells the block of each node; pairs of one block are left out
-    where there are two.
+    ``sigs`` is (nodes, minima).  With two blocks, pairs of one block are left out.  A pair that shares an
+    earlier band is compared there.
     """
-    k, (width, found) = len(nodes), (sigs.shape[1], [])
-    parts, two = _Parts(labels), len(np.unique(sides)) > 1
-    flat, ends = np.concatenate(sets), np.cumsum([len(s) for s in sets])
-    starts = ends - sizes
-    codes = None
-    for i in range(k - 1):
-        later = np.arange(i + 1, k)
-        keep = parts.part[later] != parts.part[i]
-        if two:
-            keep &= sides[later] != sides[i]
-        later = later[keep]
-        # 100 * min >= s * max is needed: an intersection is at most the smaller set.
-        later = later[100 * np.minimum(sizes[later], sizes[i]) >= similarity * np.maximum(sizes[later], sizes[i])]
-        if not len(later):
-            continue
-        agree = sigs[later] == sigs[i]
-        later, agree = (x[agree.sum(1) >= AGREE * width] for x in (later, agree))
-        if band and len(later):  # a pair that meets in an earlier band was compared there
-            before = agree[:, : band * rows].reshape(len(later), band, rows).all(2).any(1)
-            later = later[~before]
-        if not len(later):
+
+    def __init__(self, sizes, labels, sides, sigs, band: int, rows: int, similarity: int):
+        self.sizes, self.sides, self.sigs, self.band, self.rows, self.similarity = sizes, sides, sigs, band, rows, similarity
+        self.parts, self.two = _Parts(labels), len(np.unique(sides)) > 1
+
+    def partners(self, i: int) -> np.ndarray:
+        """Later nodes, not connected with node ``i`` so far, whose sizes and signatures allow a link."""
+        j = np.arange(i + 1, len(self.sizes))
+        keep = self.parts.part[j] != self.parts.part[i]
+        if self.two:
+            keep &= self.sides[j] != self.sides[i]
+        # An intersection is at most the smaller set, a union at least the larger.
+        keep &= 100 * np.minimum(self.sizes[j], self.sizes[i]) >= self.similarity * np.maximum(self.sizes[j], self.sizes[i])
+        j = j[keep]
+        agree = self.sigs[j] == self.sigs[i]
+        enough = agree.sum(1) >= AGREE * self.sigs.shape[1]
+        if self.band:
+            enough &= ~agree[:, : self.band * self.rows].reshape(len(j), self.band, self.rows).all(2).any(1)
+        return j[enough]
+
+
+def unit_candidates(unit: Unit) -> np.ndarray:
+    """Which nodes have a partner."""
+    has = np.zeros(len(unit.sizes), bool)
+    for i in range(len(has) - 1):
+        j = unit.partners(i)
+        if len(j):
+            has[i] = has[j] = True
+    return has
+
+
+def unit_links(unit: Unit, nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join parts of the unit, every pair that is not connected yet decided on its full sets."""
+    found, ends = [], np.cumsum(unit.sizes)
+    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.zeros(len(distinct), bool)
+    for i in range(len(nodes) - 1):
+        partners = unit.partners(i)
+        if not len(partners):
             continue
-        if codes is None:
-            distinct, codes = np.unique(flat, return_inverse=True)
-            member = np.zeros(len(distinct), bool)
         member[:] = False
-        member[codes[starts[i] : ends[i]]] = True
-        for j in later.tolist():
-            if parts.part[i] == parts.part[j]:
+        member[codes[ends[i] - unit.sizes[i] : ends[i]]] = True
+        for j in partners.tolist():
+            if unit.parts.part[i] == unit.parts.part[j]:
                 continue
-            both = int(np.count_nonzero(member[codes[starts[j] : ends[j]]]))
-            if 100 * both >= similarity * (int(sizes[i]) + int(sizes[j]) - both):
-                parts.join(i, j)
-                found.append((int(nodes[i]), int(nodes[j])))
+            both = int(np.count_nonzero(member[codes[ends[j] - unit.sizes[j] : ends[j]]]))
+            if 100 * both >= unit.similarity * int(unit.sizes[i] + unit.sizes[j] - both):
+                unit.parts.join(i, j)
+                found.append((nodes[i], nodes[j]))
     return found
 
 
-def _compare(rows_per_band: int, similarity: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by unit; a unit is held until its last row."""
-        unit, held = None, []
+KEY = ["b1", "b2", "lo", "hi", "band"]
 
-        def links():
-            if len(held) < 2:
-                return None
-            cols = list(zip(*held))
-            sets = [np.frombuffer(s, np.uint64) for s in cols[4]]
-            found = unit_links(
-                np.array(cols[0]), np.array([len(s) for s in sets]), np.array(cols[1]),
-                np.frombuffer(b"".join(cols[3]), np.uint32).reshape(len(held), -1), sets, np.array(cols[2]), unit[4], rows_per_band, similarity,
-            )
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["u", "v"]) if found else None
 
-        for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for *key, node, label, side, sig, members in zip(*cols):
-                if key != unit:
-                    if (out := links()) is not None:
-                        yield out
-                    unit, held = key, []
-                held.append((node, label, side, sig, members))
-        if (out := links()) is not None:
-            yield out
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[tuple]]]:
+    """(key, rows of columns) of each unit with two nodes or more; rows come sorted by unit and one is held at a time."""
+    unit, held = None, []
+    for batch in batches:
+        cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+        for row in zip(*cols):
+            if list(row[:5]) != unit:
+                if len(held) > 1:
+                    yield unit, list(zip(*held))
+                unit, held = list(row[:5]), []
+            held.append(row[5:])
+    if len(held) > 1:
+        yield unit, list(zip(*held))
+
+
+def _signatures(raw: tuple) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), -1)
+
 
-    return run
+def _dealt(rows: DataFrame, *cols: str) -> DataFrame:
+    return rows.select(*KEY, "node", "label", "side", *cols).repartition(*KEY[:4]).sortWithinPartitions(*KEY[:4])
 
 
-def _units(cells: DataFrame, sets: DataFrame, rows: int, similarity: int) -> DataFrame:
-    """Links found in units of (b1, b2, first block, second block)."""
-    full = cells.join(sets, "node")
-    key = ["b1", "b2", "lo", "hi"]
-    dealt = full.select(*key, "band", "node", "label", "side", "sig", "set").repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(_compare(rows, similarity), "u long, v long")
+def unit_members(cells: DataFrame, nodes: DataFrame, rows: int, similarity: int) -> DataFrame:
+    """Signature verification: the cells whose node has, in its unit, a partner that may be linked with it."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, (node, label, side, sig, n) in _by_unit(batches):
+            unit = Unit(np.array(n), np.array(label), np.array(side), _signatures(sig), key[4], rows, similarity)
+            at = np.flatnonzero(unit_candidates(unit)).tolist()
+            if at:
+                cells = [*[[k] * len(at) for k in key], *[[c[i] for i in at] for c in (node, label, side)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names=[*KEY, "node", "label", "side"])
+
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    schema = "b1 long, b2 long, lo int, hi int, band int, node long, label long, side int"
+    full = cells.join(nodes.select("node", "sig", "n_shingles"), "node")
+    return _dealt(full, "sig", "n_shingles").mapInArrow(verify, schema)
+
+
+def links_of_units(cells: DataFrame, sets: DataFrame, rows: int, similarity: int) -> DataFrame:
+    """``u``, ``v``: links that join parts of a unit, confirmed on full sets."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, (node, label, side, sig, raw) in _by_unit(batches):
+            found = [np.frombuffer(s, np.uint64) for s in raw]
+            sizes = np.array([len(s) for s in found])
+            unit = Unit(sizes, np.array(label), np.array(side), _signatures(sig), key[4], rows, similarity)
+            out = unit_links(unit, list(node), found)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["u", "v"])
+
+    return _dealt(cells.join(sets, "node"), "sig", "set").mapInArrow(compare, "u long, v long")
 
 
 def _mark(edges: DataFrame):
@@ -277,14 +313,18 @@ def near_duplicates(
     shared = keys.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).where(F.col("n") > 1)
     shared = written(shared.select("b1", "b2", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("n_blocks")), "buckets")
     members = written(keys.join(shared, ["b1", "b2"]).select("b1", "b2", "band", "node", "n_blocks"), "members")
-    # A node is the smallest id of its set; should that id occur in rows with other texts, it has their sets too.
-    sets = written(_full_sets(docs, members.select("node").distinct(), id_col, text_col, words, bands * rows, seed), "full-sets")
-    side = F.pmod(F.xxhash64("node", "b1"), F.col("n_blocks")).cast("int")
-    members = members.withColumn("side", side)
+    members = members.withColumn("side", F.pmod(F.xxhash64("node", "b1"), F.col("n_blocks")).cast("int"))
+
+    def links(cells: DataFrame, name: str) -> DataFrame:
+        cells = written(unit_members(cells, alike, rows, similarity), f"cells-{name}")
+        # A node is the smallest id of its set; should that id have rows with other texts, it has their sets too.
+        sets = written(_full_sets(docs, cells.select("node").distinct(), id_col, text_col, words, bands * rows, seed), f"sets-{name}")
+        return written(links_of_units(cells, sets, rows, similarity), f"links-{name}")
 
-    inside = members.select("b1", "b2", "band", "node", "side", F.col("side").alias("lo"), F.col("side").alias("hi"), F.col("node").alias("label"))
-    links = written(_units(inside, sets, rows, similarity), "links-inside")
-    labels = written(connected_components(links.union(copies)), "labels")
+    cell = ["b1", "b2", "band", "node", "side"]
+    inside = members.select(*cell, F.col("side").alias("lo"), F.col("side").alias("hi"), F.col("node").alias("label"))
+    found_links = links(inside, "inside")
+    labels = written(connected_components(found_links.union(copies)), "labels")
 
     # Between the blocks of a bucket, as long as its nodes are not one component.
     large = members.where(F.col("n_blocks") > 1).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -293,8 +333,8 @@ def near_duplicates(
         split = large.groupBy("b1", "b2").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("b1", "b2")
         other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
         across = large.join(split, ["b1", "b2"], "left_semi").select("*", other).where("other != side")
-        across = across.select("b1", "b2", "band", "node", "side", "label", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-        more = written(_units(across, sets, rows, similarity), "links-across")
+        across = across.select(*cell, "label", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+        more = links(across, "across")
         old = labels.where("node != label").select(F.col("node").alias("u"), F.col("label").alias("v"))
         labels = written(connected_components(more.union(old)), "labels")
 

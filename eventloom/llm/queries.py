@@ -88,10 +88,10 @@ ORACLE_SQL = {
           FROM w
         ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         p AS (
-          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
         ), e AS (
           SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
-          WHERE 100 * both >= 85 * (nx.n + ny.n - both)
+          WHERE 100 * common >= 85 * (nx.n + ny.n - common)
         ), r AS (
           SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached
         ), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
