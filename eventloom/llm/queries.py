@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .class_lm import score_documents
 from .langid import identify_languages
 from .lines import line_dedup
 from .minhash import near_duplicates
@@ -61,6 +62,10 @@ def op8_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_documents(spark, sf_dir))
+
+
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
@@ -69,7 +74,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_dedup, op2_exact_topk, op3_language_id, op4_feistel_shards, op5_line_dedup, op6_best_fit_packing,
-        op7_token_files, op8_stream_dedup, op10_temperature_mixing,
+        op7_token_files, op8_stream_dedup, op9_class_lm, op10_temperature_mixing,
     )
 }
 

@@ -20,7 +20,7 @@ import numpy as np
 from .common import worker_store
 
 END_ID = 0
-_REMEMBERED = 500_000
+_REMEMBERED = 1_000_000
 _SEGMENT = 1 << 20
 # A piece: leading white space, then up to the next blank or line break that follows other than white
 # space.  Only these two split: both sides agree on what they are, whatever their Unicode tables.  A
@@ -36,7 +36,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Numbered(dict):
+class Numbered(dict):
     """Numbers its keys from 0 as they are first asked for."""
 
     def __missing__(self, key):
@@ -64,14 +64,14 @@ class Encoder:
         vocab = self._tokenizer.get_vocab(with_added_tokens=True)
         self._n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         self._n_bytes[list(vocab.values())] = [len(t) for t in vocab]
-        self._numbers, self._ids = _Numbered(), np.zeros(0, np.uint32)
+        self._numbers, self._ids = Numbered(), np.zeros(0, np.uint32)
         self._starts = self._lengths = self._met = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
         """Keep the more often met half of what may be remembered."""
         keep = np.sort(np.argsort(-self._met, kind="stable")[: _REMEMBERED // 2])
         pieces = list(self._numbers)
-        self._numbers = _Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
+        self._numbers = Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
         self._ids, after = _gathered(self._ids, self._starts, self._lengths, keep)
         self._lengths, self._met = self._lengths[keep], self._met[keep] // 2
         self._starts = after - self._lengths
