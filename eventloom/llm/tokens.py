@@ -71,6 +71,7 @@ class Encoder:
         """Keep the more often met half of what may be remembered."""
         keep = np.sort(np.argsort(-self._met, kind="stable")[: _REMEMBERED // 2])
         pieces = list(self._numbers)
+        self._numbers.clear()
         self._numbers = Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
         self._ids, after = _gathered(self._ids, self._starts, self._lengths, keep)
         self._lengths, self._met = self._lengths[keep], self._met[keep] // 2
@@ -137,9 +138,9 @@ def worker_encoder(vocabulary: str | None) -> Encoder:
 
 
 def _blocks(parts: list[str]) -> Iterator[list[str]]:
-    """Runs of parts with about eight million characters, whose pieces are held at once."""
+    """Runs of parts with about two million characters, whose pieces are held at once."""
     if parts:
-        run = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // (8 * _SEGMENT)
+        run = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // (2 * _SEGMENT)
         cuts = (np.flatnonzero(np.diff(run)) + 1).tolist()
         for lo, hi in zip([0, *cuts], [*cuts, len(parts)]):
             yield parts[lo:hi]
