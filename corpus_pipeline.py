@@ -1,20 +1,58 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
+
+Language ID rejects texts without letters, and texts that share next to nothing with any language of the
+corpus; line dedup takes lines that many documents share out of the texts; near-dedup keeps one document of
+each group; mixing repeats documents so that small sources weigh more (none is left out); packing cuts and
+packs the token ids of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.llm.common import written
+from eventloom.llm.langid import UNKNOWN, language_column, learn_profiles
 from eventloom.llm.lines import without_shared_lines
+from eventloom.llm.minhash import one_of_each
+from eventloom.llm.mixing import mixed_documents
+from eventloom.llm.packing import pack_documents
+
+# A text below this score has hardly an n-gram in common with the language nearest to it.
+MIN_LANGUAGE_SCORE = 0.1
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled ones are written in."""
+    found = language_column(learn_profiles(docs), F.col("text"))
+    named = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    rest = named.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
+    return rest.select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that five or more share; the one of the largest id keeps them."""
+    return without_shared_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target weight asks for, once at least."""
+    return mixed_documents(docs)
 
 
-def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_shared_lines(docs)
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in the packed sequences."""
+    return pack_documents(docs)
 
 
-STAGES = [("line_dedup", line_dedup_stage)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
-# Profiles, signatures and token ids are beyond SQL; tests/llm holds the pipeline against a brute-force version.
+# Profiles, signatures and token ids are beyond SQL; tests/llm holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 
