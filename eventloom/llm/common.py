@@ -45,7 +45,7 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``max_bytes`` of text (one longer text makes a run of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
     lo = total = 0

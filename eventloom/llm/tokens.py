@@ -20,7 +20,7 @@ import numpy as np
 from .common import worker_store
 
 END_ID = 0
-_REMEMBERED = 1_000_000
+_REMEMBERED = 750_000
 _SEGMENT = 1 << 20
 # A piece: leading white space, then up to the next blank or line break that follows other than white
 # space.  Only these two split: both sides agree on what they are, whatever their Unicode tables.  A
@@ -91,6 +91,7 @@ class Encoder:
             pieces = list(map(_PIECE.findall, block))
             counts.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
             codes.append(np.fromiter(map(number, chain.from_iterable(pieces)), np.int64, counts[-1].sum()))
+            del pieces  # before new ones are learned
         if len(self._numbers) > known:
             self._learn(list(islice(self._numbers, known, None)))
         flat = np.concatenate(codes)
