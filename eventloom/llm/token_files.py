@@ -103,7 +103,7 @@ def id_checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces ``ids`` by their CRC-32 as little-endian unsigned 32-bit numbers."""
     for batch in batches:
         lists = batch.column(batch.schema.get_field_index("ids"))
-        values = memoryview(lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
+        values = memoryview(lists.flatten().to_numpy(zero_copy_only=False)).cast("B")
         ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
         crc = [zlib.crc32(values[4 * lo : 4 * hi]) for lo, hi in zip([0, *ends], ends)]
         keep = [i for i, n in enumerate(batch.schema.names) if n != "ids"]

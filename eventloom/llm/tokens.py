@@ -20,7 +20,7 @@ import numpy as np
 from .common import worker_store
 
 END_ID = 0
-_REMEMBERED = 750_000
+_REMEMBERED = 1_000_000
 _SEGMENT = 1 << 20
 # A piece: leading white space, then up to the next blank or line break that follows other than white
 # space.  Only these two split: both sides agree on what they are, whatever their Unicode tables.  A
@@ -47,7 +47,7 @@ class Numbered(dict):
 def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs ids[starts : starts + lengths] of ``which``, one after the other, and where each ends."""
     n = lengths[which]
-    after = np.cumsum(n)
+    after = np.cumsum(n, dtype=np.int64)
     return ids[np.repeat(starts[which] - (after - n), n) + np.arange(after[-1] if len(after) else 0)], after
 
 
@@ -65,7 +65,7 @@ class Encoder:
         self._n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         self._n_bytes[list(vocab.values())] = [len(t) for t in vocab]
         self._numbers, self._ids = Numbered(), np.zeros(0, np.uint32)
-        self._starts = self._lengths = self._met = np.zeros(0, np.int64)
+        self._starts = self._lengths = self._met = np.zeros(0, np.int32)
 
     def _forget(self) -> None:
         """Keep the more often met half of what may be remembered."""
@@ -75,7 +75,7 @@ class Encoder:
         self._numbers = Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
         self._ids, after = _gathered(self._ids, self._starts, self._lengths, keep)
         self._lengths, self._met = self._lengths[keep], self._met[keep] // 2
-        self._starts = after - self._lengths
+        self._starts = (after - self._lengths).astype(np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
@@ -95,7 +95,8 @@ class Encoder:
         if len(self._numbers) > known:
             self._learn(list(islice(self._numbers, known, None)))
         flat = np.concatenate(codes)
-        self._met += np.bincount(flat, minlength=len(self._met))
+        seen = np.bincount(flat)
+        self._met[: len(seen)] += seen.astype(np.int32)
         ids, after = _gathered(self._ids, self._starts, self._lengths, flat)
         upto = np.cumsum(np.concatenate(counts))[np.cumsum(n_parts)]
         return ids, np.concatenate([[0], after])[upto]
@@ -115,11 +116,11 @@ class Encoder:
             ids.append(self._plain(p))
             lengths.append(np.array([len(ids[-1])]))
         self._encode_run(run, lengths, ids)
-        new = np.concatenate(lengths)
-        self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(new) - new])
+        new = np.concatenate(lengths).astype(np.int32)
+        self._starts = np.concatenate([self._starts, (len(self._ids) + np.cumsum(new) - new).astype(np.int32)])
         self._lengths = np.concatenate([self._lengths, new])
         self._ids = np.concatenate([self._ids, *ids])
-        self._met = np.concatenate([self._met, np.zeros(len(new), np.int64)])
+        self._met = np.concatenate([self._met, np.zeros(len(new), np.int32)])
 
     def _encode_run(self, run: list[str], lengths: list, ids: list) -> None:
         if run:
