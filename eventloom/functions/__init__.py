@@ -2,6 +2,6 @@
 
 from .jsontext import json_str
 from .timefmt import iso_text, parse_event_time
-from .xmltree import event_subtrees, xml_to_tree
+from .xmltree import full_records, xml_to_tree
 
-__all__ = ["event_subtrees", "iso_text", "json_str", "parse_event_time", "xml_to_tree"]
+__all__ = ["full_records", "iso_text", "json_str", "parse_event_time", "xml_to_tree"]

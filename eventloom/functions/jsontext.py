@@ -43,7 +43,7 @@ def _lower_unicode_escapes(j: Column) -> Column:
 
 
 # Fixed value: printable ASCII other than '"' and '\\' needs no escape in JSON text.
-_PLAIN = r"^[\x20\x21\x23-\x5b\x5d-\x7f]*$"
+_PLAIN = r"\A[\x20\x21\x23-\x5b\x5d-\x7e]*\z"
 
 
 def json_text(c: Column) -> Column:
@@ -56,7 +56,8 @@ def json_text(c: Column) -> Column:
     """
     s = c.cast("string")
     arr = F.to_json(F.array(s), _ASCII_ESCAPES)
-    escaped = F.substring(arr, 2, F.length(arr) - 2)
+    # to_json leaves DEL as it is; json.dumps escapes it.
+    escaped = F.replace(F.substring(arr, 2, F.length(arr) - 2), F.lit("\x7f"), F.lit("\\u007f"))
     # Fast path: most values are plain ASCII and only need quotes.
     return F.when(s.isNull(), F.lit("null")).when(s.rlike(_PLAIN), F.concat(F.lit('"'), s, F.lit('"'))).otherwise(escaped)
 

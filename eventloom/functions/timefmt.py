@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the shape of an accepted time text (groups: y, M, d, H, m, s, fraction).
-TIME_PATTERN = r"^(\d{4})-(\d{1,2})-(\d{1,2}| \d)\s+(\d{1,2}):(\d{1,2}):(\d{1,2})(?:[.](\d{1,6}))?$"
+TIME_PATTERN = r"\A(\d{4})-(\d{1,2})-(\d{1,2}| \d)\s+(\d{1,2}):(\d{1,2}):(\d{1,2})(?:[.](\d{1,6}))?\z"
 
 
 def time_parts(text: Column) -> Column:

@@ -1,141 +1,117 @@
-"""Open XML subtrees as JSON text (op T11): one Arrow-batched Python function.
+"""Whole records through the standard-library XML parser: one Arrow-batched Python function.
 
-The typed ``from_xml`` schema cannot name the children of open elements
-(``UserData``, an ``EventData`` without ``Data``, a ``Data`` item holding child
-elements), and the exact text of their JSON is stored as a field.  For those
-rows only, the original record text is parsed again with the standard-library
-expat parser into the usual XML-to-dict tree:
+The typed ``from_xml`` parse sees a fixed set of elements and attributes.  A record that holds anything
+else (an open subtree, an unknown or repeated or empty element, a comment, mixed text, another letter
+case) is parsed again here, into the usual XML-to-dict tree, and takes everything from it: reason, shape,
+time text, map, raw texts and document.
 
 * attributes become ``@name`` keys, text becomes ``#text``, in document order;
 * an element with neither attributes nor children gives its text, or ``None``
   when it is empty; text is stripped of surrounding blanks (blank text is none);
 * a repeated child becomes a list; text parts around child elements are joined.
 
-The JSON text is ``json.dumps`` with its default arguments.  Rows that do not
-need it get a NULL input, so they cost no second parse.
+The JSON text is ``json.dumps`` with its default arguments.  Records that the typed parse saw completely
+get a NULL input, so they cost no second parse.
 """
 
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bit flags for the parts a row asks for.
-WANT_EVENTDATA = 1  # JSON of Event.EventData (shape nodata -> Event.RawData)
-WANT_DATA = 2  # JSON of Event.EventData.Data (shape single, complex item -> EventData.RawData)
-WANT_OTHERS = 4  # "key": value fragments of Event children other than System / EventData
-WANT_SHAPE = 8  # shape and raw texts decided on the full tree (attributes the typed parse cannot see)
-
-SUBTREE_SCHEMA = T.StructType(
-    [
-        T.StructField("eventdata", T.StringType()),
-        T.StructField("data", T.StringType()),
-        T.StructField("others", T.StringType()),
-        T.StructField("shape", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
-
-
-def _add(item, key, value):
-    if item is None:
-        item = {}
-    if key in item:
-        prev = item[key]
-        if isinstance(prev, list):
-            prev.append(value)
-        else:
-            item[key] = [prev, value]
-    else:
-        item[key] = value
-    return item
+RECORD_FIELDS = ["reason", "shape", "time_text", "entries", "eventdata_raw", "event_raw", "others", "body"]
+RECORD_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in RECORD_FIELDS])
 
 
 def xml_to_tree(text: str):
     """Parse one XML document into nested dicts / lists / strings (see module doc)."""
     parser = expat.ParserCreate()
     parser.buffer_text = True
-    stack: list[list] = []  # per open element: [name, item, text parts]
-    root: list = [None]
+    # Per open element: its attributes, its children's values by name in order of first sight, its text.
+    top: tuple = ({}, {}, [])
+    open_elements = [top]
 
     def start(name, attrs):
-        item = {"@" + k: v for k, v in attrs.items()} or None
-        stack.append([name, item, []])
-
-    def chars(data):
-        stack[-1][2].append(data)
+        open_elements.append(({"@" + k: v for k, v in attrs.items()}, {}, []))
 
     def end(name):
-        _, item, parts = stack.pop()
-        data = "".join(parts).strip() or None
-        if item is not None:
-            if data is not None:
-                item = _add(item, "#text", data)
-            value = item
-        else:
-            value = data
-        if stack:
-            stack[-1][1] = _add(stack[-1][1], name, value)
-        else:
-            root[0] = {name: value}
+        attrs, children, text_parts = open_elements.pop()
+        own_text = "".join(text_parts).strip()
+        value = dict(attrs)
+        for child, values in children.items():
+            value[child] = values if len(values) > 1 else values[0]
+        if own_text and value:
+            value["#text"] = own_text
+        open_elements[-1][1].setdefault(name, []).append(value or own_text or None)
 
     parser.StartElementHandler = start
     parser.EndElementHandler = end
-    parser.CharacterDataHandler = chars
+    parser.CharacterDataHandler = lambda data: open_elements[-1][2].append(data)
     parser.Parse(text, True)
-    return root[0]
+    return {name: values[0] for name, values in top[1].items()}
 
 
-def _shape(event: dict) -> str:
-    """Shape of a parsed record (``reject`` for a plain-text or repeated EventData)."""
-    ed = event.get("EventData")
-    if ed is None:
-        return "promote"
-    if not isinstance(ed, dict):
-        return "reject"
-    data = ed.get("Data")
-    if data is None:
-        return "nodata"
-    return "list" if isinstance(data, list) else "single"
+def _iso(text) -> str | None:
+    """ISO text of an accepted time text, else None."""
+    for form in ("%Y-%m-%d %H:%M:%S.%f",) if "." in text else ("%Y-%m-%d %H:%M:%S",):
+        try:
+            return datetime.strptime(text, form).isoformat()
+        except ValueError:
+            return None
+
+
+def _inner(value: dict) -> str:
+    """JSON text of an object without its braces."""
+    return json.dumps(value)[1:-1]
 
 
-def _parts(xml: str, want: int) -> tuple:
+def full_record(xml: str) -> dict:
+    """Everything a record's tree decides (keys: RECORD_FIELDS; absent is NULL)."""
     try:
         tree = xml_to_tree(xml)
-    except expat.ExpatError as exc:
-        return None, None, None, None, f"xml: {exc}"
-    event = tree.get("Event") if isinstance(tree, dict) else None
-    if not isinstance(event, dict):
-        return None, None, None, None, "root"
-    eventdata = data = others = shape = None
-    if want & WANT_SHAPE:
-        shape = _shape(event)
-        if shape == "nodata":
-            want |= WANT_EVENTDATA
-        elif shape == "single":
-            want |= WANT_DATA
-    if want & WANT_EVENTDATA:
-        eventdata = json.dumps(event.get("EventData"))
-    if want & WANT_DATA:
-        ed = event.get("EventData")
-        item = ed.get("Data") if isinstance(ed, dict) else None
-        data = json.dumps(item) if isinstance(item, dict) else item
-    if want & WANT_OTHERS:
-        frags = [
-            json.dumps(k) + ": " + json.dumps(v)
-            for k, v in event.items()
-            if not k.startswith("@") and k not in ("System", "EventData")
-        ]
-        others = ", ".join(frags) if frags else None
-    return eventdata, data, others, shape, None
-
-
-@F.pandas_udf(SUBTREE_SCHEMA)
-def event_subtrees(xml: pd.Series, want: pd.Series) -> pd.DataFrame:
-    """Arrow-batched: JSON parts of the open subtrees a row asks for (NULL xml -> all NULL)."""
-    rows = [(None, None, None, None, None) if x is None else _parts(x, int(w)) for x, w in zip(xml, want)]
-    return pd.DataFrame(rows, columns=["eventdata", "data", "others", "shape", "error"])
+    except expat.ExpatError:
+        return {"reason": "xml"}
+    if "Event" not in tree:
+        return {"reason": "root"}
+    event = tree["Event"]
+    system = event.get("System") if isinstance(event, dict) else None
+    created = system.get("TimeCreated") if isinstance(system, dict) else None
+    time_text = created.get("@SystemTime") if isinstance(created, dict) else None
+    iso = _iso(time_text) if time_text else None
+    if iso is None:
+        return {"reason": "timestamp", "time_text": time_text}
+    out = {"time_text": time_text}
+    created["@SystemTime"] = iso
+    payload = event.get("EventData")
+    others = {k: v for k, v in event.items() if k[0] != "@" and k not in ("System", "EventData", "#text")}
+    out["others"] = _inner(others) or None
+    if payload is None:
+        return out | {"shape": "promote", "body": _inner(event)}
+    if not isinstance(payload, dict):
+        return {"reason": "shape", "time_text": time_text}
+    data = payload.get("Data")
+    if data is None:
+        out |= {"shape": "nodata", "event_raw": json.dumps(payload)}
+        event["RawData"] = out["event_raw"]
+        del event["EventData"]
+    elif isinstance(data, list):
+        named = {i["@Name"]: str(i.get("#text")) for i in data if isinstance(i, dict) and "@Name" in i}
+        out |= {"shape": "list", "entries": json.dumps(named)}
+        payload["Data"] = named
+    else:
+        out |= {"shape": "single", "eventdata_raw": json.dumps(data) if isinstance(data, dict) else data}
+        payload["RawData"] = out["eventdata_raw"]
+        del payload["Data"]
+    return out | {"body": _inner({"Event": event, "@timestamp": iso})}
+
+
+@F.pandas_udf(RECORD_SCHEMA)
+def full_records(xml: pd.Series) -> pd.DataFrame:
+    """Arrow-batched :func:`full_record` (NULL xml -> all NULL)."""
+    rows = [{} if x is None else full_record(x) for x in xml]
+    return pd.DataFrame([[r.get(n) for n in RECORD_FIELDS] for r in rows], columns=RECORD_FIELDS, dtype=object)

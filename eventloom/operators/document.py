@@ -74,7 +74,8 @@ def document_body(df: DataFrame) -> DataFrame:
         F.when(e["EventData"].isNotNull(), F.lit('"EventData": null')),
         others,
     )
-    body = F.when(shape == "promote", promoted_body).when(shape.isNotNull(), event_body)
+    full = F.when(shape.isNotNull(), F.col("_py")["body"])
+    body = F.when(full.isNotNull(), full).when(shape == "promote", promoted_body).when(shape.isNotNull(), event_body)
     return df.withColumn("_doc_body", body)
 
 

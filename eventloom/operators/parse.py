@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import time_from_parts, time_parts
+from ..functions.xmltree import full_records
 
 PARSED = "_e"
 
@@ -116,15 +117,62 @@ def _normalize_text(e: Column) -> Column:
         ),
     )
 
-# Fixed value: a record whose root element is Event, after an optional BOM,
-# XML declaration, processing instructions, comments or DOCTYPE.
-ROOT_PATTERN = r"^\x{FEFF}?\s*(<[?!][^>]*>\s*)*<Event[\s/>]"
 
 
-# Fixed value: a well-formed record ends with the root's end tag, followed only by
-# blanks, comments or processing instructions (SURVEY 7.5 L-b: from_xml ignores
-# anything after the root, an XML parser rejects it).
-END_PATTERN = r"(?s)</Event\s*>\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
+# The element and attribute names the typed parse reads.
+_TAGS = "|".join(["Event", "System", *[n for n, _, _ in SYSTEM_ELEMENTS], "EventData", "Data", "ComplexData", "Binary"])
+_ATTRIBUTES = "|".join(sorted({"xmlns", "Name", *[a for _, attrs, _ in SYSTEM_ELEMENTS for a in attrs]}))
+
+# A plain record: an optional XML declaration, the Event element, blanks.
+PLAIN_PATTERN = r"(?s)\A\x{FEFF}?\s*(?:<\?xml\s[^>]*\?>\s*)?<Event[\s>].*</Event\s*>\s*\z"
+
+# What the typed parse does not see: a comment, CDATA or instruction; an element or attribute of another
+# name or letter case; text beside child elements.
+UNSEEN_PATTERN = (
+    rf"<(?!/?(?:{_TAGS})[\s/>]|\?xml\s)"
+    rf"|<[^<>?]*?\s(?!(?:{_ATTRIBUTES})\s*=)[^\s=<>\"'/]+\s*="
+    r"|>[^<]*[^<\s][^<]*<[^/]"
+    r"|(?:</[^<>]*|/)>\s*[^<\s]"
+)
+
+
+def _seen(e: Column) -> tuple[Column, Column]:
+    """How many elements and attributes the typed parse holds (a lost or repeated one makes the text hold more)."""
+    one = lambda c: F.when(c.isNotNull(), 1).otherwise(0)
+
+    def total(counts: list[Column]) -> Column:
+        out = F.lit(0)
+        for c in counts:
+            out = out + c
+        return out
+
+    system, ed = e["System"][0], e["EventData"][0]
+    elements = [F.lit(1), _size(e["System"]), _size(e["EventData"]), _size(ed["Data"]), one(ed["Binary"]), one(ed["ComplexData"])]
+    attributes = [one(e["_xmlns"]), one(ed["_Name"]), _size(F.filter(ed["Data"], lambda d: d["_Name"].isNotNull()))]
+    for name, attrs, _ in SYSTEM_ELEMENTS:
+        if name == "TimeCreated":
+            elements.append(_size(system[name]))
+            attributes.append(one(system[name][0]["_SystemTime"]))
+        else:
+            elements.append(one(system[name]))
+            attributes += [one(system[name][f"_{a}"]) for a in attrs]
+    return total(elements), total(attributes)
+
+
+def seen_completely(e: Column, xml: Column) -> Column:
+    """True only when the typed parse ``e`` holds all there is in ``xml``.
+
+    The text never has fewer elements and attributes than the parse, so equal counts leave none unseen;
+    an attribute-like run inside a text only sends the record to the full tree.
+    """
+    elements, attributes = _seen(e)
+    return F.coalesce(
+        xml.rlike(PLAIN_PATTERN)
+        & ~xml.rlike(UNSEEN_PATTERN)
+        & (F.regexp_count(xml, F.lit(r"<[A-Za-z]")) == elements)
+        & (F.regexp_count(xml, F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]")) == attributes + F.when(xml.rlike(r"<\?xml\s"), F.regexp_count(F.regexp_extract(xml, r"<\?xml\s[^>]*\?>", 0), F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]"))).otherwise(0)),
+        F.lit(False),
+    )
 
 
 def parse_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
@@ -152,6 +200,8 @@ def _all_null(cols: list[Column]) -> Column:
 def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """Time (T2, T3), quarantine reason (E2-E5) and shape (T7) of parsed records.
 
+    A record that the typed parse did not see completely takes all of this from its full tree (``_py``).
+
     Adds ``_time_text`` (T2), ``event_time`` (T3), ``reason`` and ``shape``; ``shape``
     is NULL for rejected records and ``reason`` NULL for accepted ones.  Reasons,
     first match wins: ``xml`` (malformed), ``root`` (root is not ``Event``),
@@ -175,22 +225,28 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
 
     # Staged projections: each expensive value is computed once and referred to
     # by name afterwards (Catalyst does not merge projections that would repeat it).
+    malformed = e.isNull() | e["_corrupt_record"].isNotNull()
+    staged = df.withColumn("_tree_xml", F.when(~malformed & ~seen_completely(e, F.col(xml_col)), F.col(xml_col)))
+    # NULL input for records that were seen completely: they cost no Python parse.
+    staged = staged.withColumn("_py", F.when(F.col("_tree_xml").isNotNull(), full_records(F.col("_tree_xml")))).drop("_tree_xml")
+    py = F.col("_py")
     staged = (
-        df.withColumn("_time_text", time_text)
+        staged.withColumn("_time_text", F.when(py.isNotNull(), py["time_text"]).otherwise(time_text))
         .withColumn("_time_parts", time_parts(F.col("_time_text")))
         .withColumn("event_time", time_from_parts(F.col("_time_parts")))
         .drop("_time_parts")
     )
+    own = F.when((ed_n > 1) | ((ed_n == 1) & ed_text_only), F.lit("shape"))
     reason = (
-        F.when(e.isNull() | e["_corrupt_record"].isNotNull(), F.lit("xml"))
-        .when(~F.col(xml_col).rlike(ROOT_PATTERN), F.lit("root"))
-        .when(~F.col(xml_col).rlike(END_PATTERN), F.lit("xml"))
+        F.when(malformed, F.lit("xml"))
+        .when(py["reason"].isin("xml", "root"), py["reason"])
         .when(F.col("event_time").isNull(), F.lit("timestamp"))
-        .when((ed_n > 1) | ((ed_n == 1) & ed_text_only), F.lit("shape"))
+        .otherwise(F.when(py.isNotNull(), py["reason"]).otherwise(own))
     )
     staged = staged.withColumn("reason", reason)
     shape = (
         F.when(F.col("reason").isNotNull(), F.lit(None).cast("string"))
+        .when(py.isNotNull(), py["shape"])
         .when((ed_n == 0) | ed_empty, F.lit("promote"))
         .when(n >= 2, F.lit("list"))
         .when((n == 1) & ~_all_null([d0["_Name"], d0["_VALUE"], d0["xs_any"]]), F.lit("single"))

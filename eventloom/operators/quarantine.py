@@ -13,9 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Quarantine reasons, in the order they are tested.
-REASONS = ["xml", "root", "timestamp", "shape"]
-
 
 def accepted_events(df: DataFrame) -> DataFrame:
     """Records that load."""

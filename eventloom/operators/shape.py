@@ -14,9 +14,9 @@ Per shape (decided by :func:`classify_events`):
 ``promote`` the content of ``Event`` becomes the document root (``System`` and
             any ``UserData`` move up) and the document has no ``@timestamp``.
 
-JSON text is exact ``json.dumps`` text.  Items the typed parse can read completely
-are done with column expressions; open subtrees go through the one Arrow function
-in :mod:`eventloom.functions.xmltree`, and only for the rows that need it.
+JSON text is exact ``json.dumps`` text.  Records that the typed parse saw completely
+are done with column expressions; all others take every part from their full tree
+(:mod:`eventloom.functions.xmltree`).
 """
 
 from __future__ import annotations
@@ -26,18 +26,11 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
 from ..functions.timefmt import iso_text
-from ..functions.xmltree import WANT_DATA, WANT_EVENTDATA, WANT_OTHERS, WANT_SHAPE, event_subtrees
-from .parse import OTHER_EVENT_ELEMENTS, PARSED, SYSTEM_ELEMENTS
+from .parse import PARSED, SYSTEM_ELEMENTS
 
 # Fixed value: text written for a named Data item without text (str(None)).
 MISSING_TEXT = "None"
 
-# Fixed value: a Data or EventData start tag with attributes other than one Name
-# (SURVEY 7.5 L-a): the typed parse cannot see them, so such records take their
-# shape and raw texts from the full-tree function.
-UNKNOWN_ATTRIBUTE = r"""<(?:Event)?Data\s+(?!Name\s*=\s*(?:"[^"]*"|'[^']*')\s*/?>)"""
-
-
 def data_entries(data_items: Column) -> Column:
     """Named ``Data`` items as ``(k, v, i)``: name, text (``None`` when missing, T14), position.
 
@@ -150,64 +143,37 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     ``event_raw``, ``Event`` (struct, NULL when promoted), ``System`` (struct,
     promoted only), ``other_json`` (JSON fragments of open children such as
     ``UserData``) and internal ``_doc_event`` / ``_doc_system`` JSON parts.
-    A record whose open subtree fails the strict parser is rejected with ``xml``.
     """
     e = F.col(PARSED)
     shape = F.col("shape")
     system = e["System"][0]
     ed = e["EventData"][0]
     d0 = ed["Data"][0]
-    has_others = ~_all_null([e[n] for n in OTHER_EVENT_ELEMENTS] + [e["xs_any"]])
-    single_complex = (shape == "single") & d0["xs_any"].isNotNull()
     n = F.when(ed["Data"].isNull(), F.lit(0)).otherwise(F.size(ed["Data"]))
-    # Native only when the child order cannot matter: at most one kind of known child.
-    n_kinds = (
-        F.when(n > 0, 1).otherwise(0)
-        + F.when(ed["ComplexData"].isNotNull(), 1).otherwise(0)
-        + F.when(ed["Binary"].isNotNull(), 1).otherwise(0)
-    )
-    nodata_native = (shape == "nodata") & ed["xs_any"].isNull() & (n_kinds <= 1)
-    reason0 = F.col("reason")
-    full_tree = (reason0.isNull() | (reason0 == "shape")) & F.col(xml_col).rlike(UNKNOWN_ATTRIBUTE)
-    want = (
-        F.when((shape == "nodata") & ~nodata_native, F.lit(WANT_EVENTDATA)).otherwise(F.lit(0))
-        + F.when(single_complex, F.lit(WANT_DATA)).otherwise(F.lit(0))
-        + F.when((shape.isNotNull() | full_tree) & has_others, F.lit(WANT_OTHERS)).otherwise(F.lit(0))
-        + F.when(full_tree, F.lit(WANT_SHAPE)).otherwise(F.lit(0))
-    )
+    py = F.col("_py")
+    native = py.isNull()
     # Few, wide steps: every DataFrame step re-analyses the whole plan.
     staged = df.withColumns(
         {
             "_iso": iso_text(F.col("event_time")),
-            "_want": want,
-            "_nodata_native": F.when(nodata_native, nodata_raw_native(ed, n)),
-            "_entries": F.when(shape == "list", data_entries(ed["Data"])),
+            "_nodata_native": F.when(native & (shape == "nodata"), nodata_raw_native(ed, n)),
+            "_entries": F.when(native & (shape == "list"), data_entries(ed["Data"])),
         }
     )
-    # NULL input for rows that need nothing: they cost no Python parse.
-    py_in = F.when(F.col("_want") > 0, F.col(xml_col))
-    staged = staged.withColumn("_py", F.when(F.col("_want") > 0, event_subtrees(py_in, F.col("_want"))))
-    py = F.col("_py")
-
-    py_shape = py["shape"]
-    reason = F.when(py_shape.isNotNull(), F.when(py_shape == "reject", F.lit("shape"))).otherwise(
-        F.coalesce(F.col("reason"), F.when(py["error"].isNotNull(), F.lit("xml")))
-    )
-    staged = staged.withColumns(
-        {"reason": reason, "shape": F.when(reason.isNull(), F.coalesce(py_shape, F.col("shape")))}
-    )
 
     iso = F.col("_iso")
     accepted = shape.isNotNull()
     staged = staged.withColumns(
         {
             "@timestamp": F.when(accepted & (shape != "promote"), iso),
-            "event_data": F.when(shape == "list", entries_map(F.col("_entries"))),
-            "eventdata_raw": F.when(shape == "single", F.coalesce(py["data"], single_raw_native(d0))),
-            "event_raw": F.when(shape == "nodata", F.coalesce(py["eventdata"], F.col("_nodata_native"))),
+            "event_data": F.when(
+                shape == "list", F.coalesce(F.from_json(py["entries"], "map<string,string>"), entries_map(F.col("_entries")))
+            ),
+            "eventdata_raw": F.when(shape == "single", F.coalesce(py["eventdata_raw"], single_raw_native(d0))),
+            "event_raw": F.when(shape == "nodata", F.coalesce(py["event_raw"], F.col("_nodata_native"))),
             "other_json": F.when(accepted, py["others"]),
             "System": F.when(accepted, _system_struct(system, iso)),
-            "_doc_system": F.when(accepted, _system_json(system, iso)),
+            "_doc_system": F.when(accepted & native, _system_json(system, iso)),
         }
     )
     ed_struct = F.struct(
@@ -232,9 +198,3 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
     return out.drop("_entries", "_nodata_native")
 
-
-def _all_null(cols: list[Column]) -> Column:
-    cond = None
-    for c in cols:
-        cond = c.isNull() if cond is None else (cond & c.isNull())
-    return cond

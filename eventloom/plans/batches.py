@@ -10,17 +10,15 @@ Two forms:
   is range-sorted, cut from its lineage with a reliable ``checkpoint()`` into the
   session's shared checkpoint folder (so the positions computed from it cannot
   change on a re-run after a lost executor), counted per partition, and each row
-  gets ``partition offset + position in partition``.  Only one number per
-  partition reaches the driver.
+  gets ``partition offset + position in partition``; the offsets are one number per
+  partition.
 * The sinks batch per task instead (``maxRecordsPerFile`` / chunks of the send
   hook): no global order, no extra pass.  That is the form to use at scale.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -28,26 +26,20 @@ from ..session import ensure_checkpoint_dir
 
 def row_index(df: DataFrame, order_by: list[str] | str | None = None, name: str = "row_index") -> DataFrame:
     """Add a dense 0-based global ``row_index`` in ``order_by`` order (input order when None)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     if order_by:
         keys = [order_by] if isinstance(order_by, str) else list(order_by)
-        # The range sort samples its input and then shuffles it: cut the input's
-        # lineage first so the upstream work (e.g. the whole load) runs once.
-        df = df.checkpoint(eager=True)
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    frozen = df.checkpoint(eager=True)
-    pid = F.spark_partition_id().cast("long")
-    with_pos = frozen.withColumn("_pid", pid).withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), 33)
-    )
-    counts = {r["_pid"]: r["n"] for r in with_pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = frozen.rdd.getNumPartitions()
-    sizes = [counts.get(i, 0) for i in range(n_parts)]
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    # One literal per partition: bounded by the partition count, not by the data.
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid").cast("int") + 1)
-    return with_pos.withColumn(name, offset + F.col("_pos")).drop("_pid", "_pos")
+        # A hash of the place in the input ends the key: a value that many records hold spans many ranges.
+        tied = df.withColumn("_tail", F.xxhash64(F.monotonically_increasing_id()))
+        df = tied.repartitionByRange(*keys, "_tail").sortWithinPartitions(*keys, "_tail").drop("_tail")
+    place = F.monotonically_increasing_id()
+    frozen = df.withColumn("_pid", F.shiftright(place, 33)).withColumn("_pos", place.bitwiseAND((1 << 33) - 1))
+    frozen = frozen.checkpoint(eager=True)
+    # One row per partition, however many records there are.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return frozen.join(F.broadcast(starts), "_pid").withColumn(name, F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
 
 
 def assign_batches(

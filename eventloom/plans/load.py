@@ -22,19 +22,17 @@ from ..operators.shape import reshape_events
 # Fixed value: the reference's default number of records per bulk request.
 DEFAULT_BATCH_SIZE = 500
 
-INTERNAL = [PARSED, "_py", "_want", "_doc_system", "_iso"]
+# Columns of the result; an input column of one of these names is an error, not silently replaced.
+OUTPUTS = [
+    "reason", "shape", "time_text", "event_time", "@timestamp", "event_data", "eventdata_raw", "event_raw", "other_json",
+    "Event", "System", "_index", "_type", "meta", "document", "_doc_body", "_meta_json",
+]
+INTERNAL = [PARSED, "_py", "_doc_system", "_iso"]
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an input with fewer splits than cores one round-robin shuffle so every core parses.
-
-    Large inputs already have many more splits than cores; they pass unchanged
-    (the check looks only at the planned partition count, it runs no job).
-    """
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    """One round-robin shuffle to ``min_partitions`` when the caller asks for it; else the input as it is."""
+    return df if df.isStreaming or not min_partitions else df.repartition(min_partitions)
 
 
 def prepare_events(
@@ -52,6 +50,9 @@ def prepare_events(
     ``_type``, ``meta`` (VARIANT), ``document`` (JSON text) and the document parts
     ``_doc_body`` / ``_meta_json`` used by the sinks.
     """
+    taken = {c.lower() for c in df.columns} & {c.lower() for c in [*OUTPUTS, *INTERNAL]}
+    if taken:
+        raise ValueError(f"input columns have names that the load uses: {sorted(taken)}")
     normalize_metadata(metadata)  # malformed metadata fails here, before any job
     out = parse_events(spread(df, min_partitions), xml_col)
     out = classify_events(out, xml_col)
@@ -118,13 +119,3 @@ def load_events(
     if sink is not None:
         sink(load, batch_size)
     return load
-
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    """The prepared records without the document parts (for tables)."""
-    return df.drop("_doc_body", "_meta_json")
-
-
-def flat_outcome(df: DataFrame, key: str) -> DataFrame:
-    """``key, reason, shape``: one row per record."""
-    return df.select(F.col(key), "reason", "shape")

@@ -40,7 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current.rstrip("/")
-    # Only reached when the session names no shared folder (local tests).
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
+    # One process: its temp folder is shared by all tasks.
     local = tempfile.mkdtemp(prefix="eventloom-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
     spark.sparkContext.setCheckpointDir(local)

@@ -21,6 +21,7 @@ in the reference.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -62,46 +63,50 @@ def _input_columns(df: DataFrame) -> list[str]:
 
 @dataclass
 class BatchReport(WriterCommitMessage):
-    """Commit message of one task: sizes of the requests it sent."""
+    """Commit message of one task: how many requests of each size it sent (a full size and a last one)."""
 
-    sizes: list[int] = field(default_factory=list)
+    requests: dict[int, int] = field(default_factory=dict)
 
 
 def push_bulk(
     load: EventLoad,
     send: Callable[[list[str]], None],
     batch_size: int = 500,
-    on_commit: Callable[[list[int]], None] | None = None,
+    on_commit: Callable[[dict[int, int]], None] | None = None,
+    on_abort: Callable[[int], None] | None = None,
 ) -> None:
     """K2 + K3 + K4: send loaded records in requests of ``batch_size`` through ``send``.
 
-    ``send`` runs in the tasks; ``on_commit(sizes)`` runs once, in the data source's
+    ``send`` runs in the tasks; ``on_commit(requests)`` runs once, in the data source's
     commit step (a Python process on the driver host, not the caller's process),
-    with the size of every request sent.
+    with the number of requests of each size; two numbers come from each task.  If a
+    task fails for good the load fails and ``on_abort(finished)`` runs there instead, with
+    the number of tasks whose requests were all sent.
     """
     size = batch_size
 
     class _Writer(DataSourceWriter):
         def write(self, iterator):
-            sizes: list[int] = []
+            requests: Counter[int] = Counter()
             batch: list[str] = []
             for row in iterator:
                 batch.append(row[0])
                 if size > 0 and len(batch) == size:
                     send(batch)
-                    sizes.append(len(batch))
+                    requests[len(batch)] += 1
                     batch = []
             if batch:
                 send(batch)
-                sizes.append(len(batch))
-            return BatchReport(sizes)
+                requests[len(batch)] += 1
+            return BatchReport(dict(requests))
 
         def commit(self, messages):
             if on_commit is not None:
-                on_commit([s for m in messages if m is not None for s in m.sizes])
+                on_commit(dict(sum((Counter(m.requests) for m in messages if m is not None), Counter())))
 
         def abort(self, messages):
-            pass
+            if on_abort is not None:
+                on_abort(sum(m is not None for m in messages))
 
     name = f"eventloom_bulk_{uuid.uuid4().hex[:12]}"
 

@@ -154,3 +154,60 @@ def test_model_agrees(spark, seed):
             ed = doc.get("Event", {}).get("EventData")
             if isinstance(ed, dict) and "RawData" in ed:
                 assert row["eventdata_raw"] == ed["RawData"]
+
+
+def _full(body: str = "", system: str = "", time: str = "2024-01-02 03:04:05", head: str = "", attrs: str = "") -> str:
+    return f'{head}<Event{attrs}><System><Provider Name="p"/><TimeCreated SystemTime="{time}"/>{system}</System>{body}</Event>'
+
+
+TWO = '<Data Name="a">1</Data><Data Name="b">2</Data>'
+UNSEEN = [
+    _full(system="<Custom>1</Custom>"),
+    _full(system="<Level>1</Level><Level>2</Level>"),
+    _full(system='<Level odd="1">2</Level>'),
+    _full().replace('SystemTime="', 'Zone="z" SystemTime="'),
+    _full(f"<EventData>{TWO}</EventData>", attrs=' odd="1"'),
+    _full(f"text<EventData>{TWO}</EventData>"),
+    _full(f"<EventData>{TWO}<Odd>1</Odd></EventData>"),
+    _full('<EventData><Data Name="a">1</Data><Odd>1</Odd></EventData>'),
+    _full(f'<EventData odd="1">{TWO}</EventData>'),
+    _full(f"<EventData>{TWO}<Binary>1</Binary><Binary>2</Binary></EventData>"),
+    _full(f'<EventData>{TWO}<Binary n="1">2</Binary></EventData>'),
+    _full().replace('<Provider Name="p"/>', '<Provider Name="p"><Sub/></Provider>'),
+    _full(system="<Keywords/><Correlation/>"),
+    _full(f"<EventData>{TWO}<Binary/></EventData>"),
+    _full('<EventData><Data Name="a">1</Data><Binary/></EventData>'),
+    _full("<EventData><Binary/></EventData>"),
+    _full("<EventData><Data/><Binary/></EventData>"),
+    _full("<EventData><ComplexData/></EventData>"),
+    _full('<EventData><Data Name="a">foo<!-- c -->bar</Data><Data Name="b">x</Data></EventData>'),
+    _full('<EventData><Data Name="a">x<b/>y</Data><Data Name="b">x</Data></EventData>'),
+    _full('<EventData><Data name="a">1</Data><Data Name="b">2</Data></EventData>'),
+    _full('<EventData><Data Name="a&#10;">1</Data><Data Name="b&#127;">2</Data></EventData>'),
+    _full("<EventData><Data>del\x7f</Data></EventData>"),
+    _full("<eventdata><Data>1</Data></eventdata>"),
+    _full().replace("System>", "system>"),
+    _full(time="2024-01-02 03:04:05&#10;"),
+    _full(head="<!-- a > b -->"),
+    _full(head="<?xml version='1.0' encoding='UTF-8'?>"),
+    _full(head="<!DOCTYPE Event [<!ELEMENT Event ANY>]>"),
+    _full("<EventData><![CDATA[x]]></EventData>"),
+    _full('<EventData><Data Name="a"><![CDATA[1 < 2]]></Data><Data Name="b">k = "v"</Data></EventData>'),
+    _full("<UserData><A/></UserData><UserData><B/></UserData>"),
+    _full("<EventData/><EventData/>"),
+    _full() + "<Event/>",
+    _full() + "text",
+    "<Other/>",
+    "<Event>text</Event>",
+    "<Event/>",
+]
+
+
+def test_unseen_parts_are_kept(spark):
+    """Whatever the typed parse cannot hold: same outcome and same document as the tree gives."""
+    for xml, row in zip(UNSEEN, load_rows(spark, UNSEEN, metadata={})):
+        ok, doc = model(xml, {})
+        assert (row["reason"] is None) == ok, (xml, row["reason"])
+        if ok:
+            assert json.loads(row["document"]) == doc, xml
+            assert row["event_data"] == (doc.get("Event", {}).get("EventData") or {}).get("Data"), xml

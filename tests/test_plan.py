@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from conftest import SF_SMALL
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom import prepare_events
@@ -22,9 +23,9 @@ def test_single_from_xml_with_filters_on_parsed_fields(spark):
 
 
 def test_load_has_no_exchange(spark):
-    """An input with at least as many splits as asked for runs scan -> sink without a shuffle."""
+    """Scan to sink without a shuffle, unless the caller asks for one."""
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    df = prepare_events(events_as_xml(ev), min_partitions=1).select("event_id", "reason", "document")
+    df = prepare_events(events_as_xml(ev)).select("event_id", "reason", "document")
     plan = _plan(df)
     assert "Exchange" not in plan
 
@@ -62,6 +63,24 @@ def test_filter_on_outputs_does_not_copy_work(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     df = reject_summary(prepare_events(events_as_xml(ev)))
     plan = _plan(df)
-    assert plan.count("regexp_extract_all") == 1
+    assert plan.count("regexp_extract_all(_time_text") == 1
     assert plan.count("ArrowEvalPython") == 1
     assert plan.count("from_xml") == 1
+
+
+def test_building_a_load_runs_no_job(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy("event_id").agg(
+        *[F.first(c).alias(c) for c in ("ts", "user_id", "event_type", "value", "props")]
+    )
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building a load")
+    prepare_events(events_as_xml(ev))
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext._jsc.clearJobGroup()
+
+
+@pytest.mark.parametrize("name", ["shape", "REASON", "System", "meta", "document"])
+def test_clashing_input_column_is_an_error(spark, name):
+    df = spark.createDataFrame([("<Event/>", "mine")], f"xml string, `{name}` string")
+    with pytest.raises(ValueError, match="names that the load uses"):
+        prepare_events(df)

@@ -8,6 +8,8 @@ import os
 import pytest
 from helpers import event
 
+from pyspark.sql import functions as F
+
 from eventloom import load_events
 from eventloom.plans.batches import assign_batches, load_report
 from eventloom.sinks import append_events, clear_event_table, push_bulk, write_bulk_files
@@ -73,9 +75,9 @@ def test_push_bulk_sends_batches_and_reports(spark, tmp_path):
     target = str(sent_dir)
     report_file = str(tmp_path / "report.json")
 
-    def on_commit(sizes):
+    def on_commit(requests):
         with open(report_file, "w") as f:
-            f.write(json.dumps(sizes))
+            f.write(json.dumps([size for size, n in requests.items() for _ in range(n)]))
 
     def send(lines):
         import uuid
@@ -112,3 +114,32 @@ def test_table_append_twice_doubles_and_clear(spark, tmp_path):
     assert types["event_time"] == "timestamp_ntz" and types["event_date"] == "date"
     clear_event_table(spark, name)
     assert not spark.catalog.tableExists(name)
+
+
+def test_push_bulk_abort_is_told(spark, tmp_path):
+    told = str(tmp_path / "told")
+
+    def on_abort(finished):
+        with open(told, "w") as f:
+            f.write(str(finished))
+
+    def send(lines):
+        raise OSError("no destination")
+
+    load = load_events(spark, _source(spark, 4).repartition(2))
+    with pytest.raises(Exception, match="no destination"):
+        push_bulk(load, send, batch_size=5, on_abort=on_abort)
+    assert open(told).read() == "0"
+
+
+def test_hot_key_spreads_over_batches(spark):
+    from eventloom.plans.batches import row_index
+
+    df = spark.range(20_000).selectExpr("id", "1 AS host")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = row_index(df.repartition(4), "host")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and out.agg(F.min("row_index"), F.max("row_index"), F.countDistinct("row_index")).first()[:] == (0, 19_999, 20_000)
