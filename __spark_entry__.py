@@ -10,12 +10,14 @@ so the parser and the reshaping are really tested.  All outputs are flat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.fixtures import documents_as_events, events_as_xml, write_event_export
+from eventloom import EventLoad
+from eventloom.fixtures import documents_as_events, events_as_xml, write_event_chunks, write_event_export
 from eventloom.functions.jsontext import json_str
 from eventloom.operators.parse import parse_events
 from eventloom.operators.quarantine import accepted_events, reject_summary, rejected_events
@@ -23,11 +25,14 @@ from eventloom.plans.batches import assign_batches, load_report
 from eventloom.plans.load import prepare_events
 from eventloom.session import ensure_checkpoint_dir, scratch_path
 from eventloom.sinks.bulk import bulk_lines
+from eventloom.sinks.table import append_events, clear_event_table
+from eventloom.sources.event_files import scan_event_files
 from eventloom.sources.xml_records import scan_event_xml
 
 INDEX = "hostlogs"
 METADATA = {"source": "sf", "run": 1}
 BATCH_SIZE = 500
+CHUNK_BYTES = 4096
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,6 +253,50 @@ def q_document_payload(spark, sf_dir):
     )
 
 
+def q_scan_event_chunks(spark, sf_dir):
+    """F1 written as binary files of a header and fixed-size chunks, read back by ranges, then loaded."""
+    path = scratch_path(spark, "event-chunks")
+    write_event_chunks(events_as_xml(_events(spark, sf_dir)), path, CHUNK_BYTES)
+
+    def decode(header: bytes, chunks: bytes):
+        for lo in range(0, len(chunks), CHUNK_BYTES):
+            yield chunks[lo : lo + CHUNK_BYTES].decode().rstrip()
+
+    files = scan_event_files(
+        spark, path, decode, header_bytes=CHUNK_BYTES, chunk_bytes=CHUNK_BYTES, path_glob_filter="*.txt"
+    )
+    rid = F.regexp_extract("xml", r"<EventRecordID>(\d+)</EventRecordID>", 1).cast("long")
+    return prepare_events(files, index=INDEX, metadata=METADATA).select(rid.alias("event_id"), "reason", "shape")
+
+
+def q_reject_root(spark, sf_dir):
+    """Every seventh record has another root element."""
+    other = F.replace(F.replace("xml", F.lit("<Event "), F.lit("<Record ")), F.lit("</Event>"), F.lit("</Record>"))
+    records = events_as_xml(_events(spark, sf_dir)).select(
+        "event_id", F.when(F.col("event_id") % 7 == 0, other).otherwise(F.col("xml")).alias("xml")
+    )
+    return prepare_events(records, index=INDEX, metadata=METADATA).select("event_id", "reason", "shape")
+
+
+def q_event_table(spark, sf_dir):
+    """K5-K7: a typed table, appended to twice, read back by day and shape, then cleared."""
+    name = f"eventloom_{uuid.uuid4().hex}"
+    load = EventLoad(_prepared(spark, sf_dir))
+    try:
+        append_events(load, name)
+        append_events(load, name)
+        table = spark.table(name)
+        typed = F.lit(int(dict(table.dtypes)["event_time"] == "timestamp_ntz")).cast("long")
+        days = table.groupBy(F.col("event_date").cast("string").alias("event_date"), "shape").agg(
+            F.count(F.lit(1)).alias("n"), F.date_format(F.max("event_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_time")
+        )
+        ensure_checkpoint_dir(spark)
+        days = days.withColumn("typed", typed).checkpoint()
+    finally:
+        clear_event_table(spark, name)
+    return days.withColumn("cleared", F.lit(int(not spark.catalog.tableExists(name))).cast("long"))
+
+
 try:  # the training-data operators are a part of their own that may be absent
     import corpus_pipeline as _pipeline
     from eventloom.llm.queries import ORACLE_SQL as _LLM_SQL
@@ -287,6 +336,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bulk_lines": q_bulk_lines,
     "load_report": q_load_report,
     "document_payload": q_document_payload,
+    "scan_event_chunks": q_scan_event_chunks,
+    "reject_root": q_reject_root,
+    "event_table": q_event_table,
 }
 
 
@@ -429,6 +481,16 @@ _ORACLE_TAILS = {
         SELECT event_id,
           '{{"index": {{"_index": "hostlogs", "_type": "hostlogs"}}}}' || chr(10) || body || ', {_META}}}' AS line
         FROM docs2 WHERE reason IS NULL""",
+    "scan_event_chunks": "SELECT event_id, reason, shape FROM f1",
+    "reject_root": """
+        SELECT event_id,
+          CASE WHEN event_id % 101 = 0 THEN 'xml' WHEN event_id % 7 = 0 THEN 'root' ELSE reason END AS reason,
+          CASE WHEN event_id % 7 <> 0 THEN shape END AS shape
+        FROM f1""",
+    "event_table": """
+        SELECT strftime(t, '%Y-%m-%d') AS event_date, shape, 2 * COUNT(*) AS n,
+          strftime(MAX(t), '%Y-%m-%d %H:%M:%S.%f') AS last_time, CAST(1 AS BIGINT) AS typed, CAST(1 AS BIGINT) AS cleared
+        FROM f1 WHERE reason IS NULL GROUP BY 1, 2""",
     "load_report": f"""
         SELECT batch, COUNT(*) AS n FROM (
           SELECT (ROW_NUMBER() OVER (ORDER BY event_id) - 1) // {BATCH_SIZE} AS batch FROM f1 WHERE reason IS NULL

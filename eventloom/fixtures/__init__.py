@@ -1,5 +1,5 @@
 """Event XML derived by Spark from the given tables (FIXTURES.md F1, F3)."""
 
-from .event_xml import documents_as_events, events_as_xml, write_event_export, xml_escape
+from .event_xml import documents_as_events, events_as_xml, write_event_chunks, write_event_export, xml_escape
 
-__all__ = ["documents_as_events", "events_as_xml", "write_event_export", "xml_escape"]
+__all__ = ["documents_as_events", "events_as_xml", "write_event_chunks", "write_event_export", "xml_escape"]

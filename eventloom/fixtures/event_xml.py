@@ -112,3 +112,19 @@ def write_event_export(xml_df: DataFrame, path: str) -> None:
         yield pd.DataFrame({"value": [EXPORT_TAIL]})
 
     xml_df.select("xml").mapInPandas(frame, "value string").write.text(path)
+
+
+def write_event_chunks(xml_df: DataFrame, path: str, chunk_bytes: int) -> None:
+    """write records as binary event files: each task writes a header of ``chunk_bytes`` and one
+    chunk of that size per record, padded with blanks (a longer record is an error)."""
+    import pandas as pd
+
+    def frame(batches):
+        yield pd.DataFrame({"value": ["H" * (chunk_bytes - 1)]})
+        for pdf in batches:
+            chunks = [x.encode().ljust(chunk_bytes - 1) for x in pdf["xml"]]
+            if any(len(c) != chunk_bytes - 1 for c in chunks):
+                raise ValueError(f"a record is longer than {chunk_bytes - 1} bytes")
+            yield pd.DataFrame({"value": [c.decode() for c in chunks]})
+
+    xml_df.select("xml").mapInPandas(frame, "value string").write.text(path)

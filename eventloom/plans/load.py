@@ -27,6 +27,8 @@ OUTPUTS = [
     "reason", "shape", "time_text", "event_time", "@timestamp", "event_data", "eventdata_raw", "event_raw", "other_json",
     "Event", "System", "_index", "_type", "meta", "document", "_doc_body", "_meta_json",
 ]
+# Settled before any document is built.
+OUTCOME = [PARSED, "_py", "_time_text", "event_time", "reason", "shape"]
 INTERNAL = [PARSED, "_py", "_doc_system", "_iso"]
 
 
@@ -55,14 +57,15 @@ def prepare_events(
         raise ValueError(f"input columns have names that the load uses: {sorted(taken)}")
     normalize_metadata(metadata)  # malformed metadata fails here, before any job
     out = parse_events(spread(df, min_partitions), xml_col)
-    out = classify_events(out, xml_col)
+    # A record's outcome stands behind a Generate of its own: what only asks for reason, shape or time
+    # (a filter, a count) builds no document, and a filter on them runs before documents are built.
+    out = _behind_generate(classify_events(out, xml_col), OUTCOME)
     out = reshape_events(out, xml_col)
     out = document_body(out)
     out = stamp_destination(out, index, metadata)
     out = document_json(out)
     out = out.withColumnRenamed("_time_text", "time_text").drop(*INTERNAL)
-    computed = [c for c in out.columns if c not in df.columns]
-    return _behind_generate(out, computed)
+    return out
 
 
 def _behind_generate(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -71,7 +74,9 @@ def _behind_generate(df: DataFrame, cols: list[str]) -> DataFrame:
 
     Catalyst pushes a filter through projections by copying the expressions it
     names into the filter; for these columns that copies the time parse many times
-    over and runs the Arrow function a second time.  Generate is not crossed.
+    over and runs the Arrow function a second time.  Generate is not crossed.  The
+    columns built after it are plain projections: unused ones are pruned, and a
+    filter on one of them copies that column's expression only.
     """
     keep = [c for c in df.columns if c not in cols]
     packed = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])
@@ -107,9 +112,10 @@ def load_events(
 
     ``source`` is a DataFrame with an XML column, or a path / glob of exported
     event XML files (read with :func:`eventloom.sources.scan_event_xml`).
-    ``sink``, when given, is called as ``sink(load, batch_size)`` (see
-    :mod:`eventloom.sinks`); otherwise the prepared :class:`EventLoad` is returned
-    for the caller to write.
+    ``sink``, when given, is called as ``sink(load, batch_size)``: one of
+    ``bulk_files(path)``, ``bulk_push(send)`` and ``event_table(name)`` of
+    :mod:`eventloom.sinks`, or the caller's own; the prepared :class:`EventLoad` is
+    returned either way.
     """
     if isinstance(source, str):
         from ..sources.xml_records import scan_event_xml

@@ -1,13 +1,17 @@
-"""Sinks: bulk NDJSON files, a push hook, and a typed table."""
+"""Sinks: bulk NDJSON files, a push hook, and a typed table; each also as a ``sink`` of ``load_events``."""
 
-from .bulk import bulk_lines, push_bulk, write_bulk_files
-from .table import append_events, clear_event_table, create_event_table, table_frame
+from .bulk import bulk_files, bulk_lines, bulk_push, file_requests, push_bulk, write_bulk_files
+from .table import append_events, clear_event_table, create_event_table, event_table, table_frame
 
 __all__ = [
     "append_events",
+    "bulk_files",
     "bulk_lines",
+    "bulk_push",
     "clear_event_table",
     "create_event_table",
+    "event_table",
+    "file_requests",
     "push_bulk",
     "table_frame",
     "write_bulk_files",

@@ -4,9 +4,11 @@ A bulk request is NDJSON: an action line naming the destination, then the
 record's source line.  Records are cut into requests of ``batch_size`` inside
 each task; nothing is gathered on the driver or in one task.
 
-* :func:`write_bulk_files` writes request bodies as text files, one request per
-  file (``maxRecordsPerFile``), accepted and rejected records in one job
-  (``status=loaded`` / ``status=rejected`` folders).
+* :func:`write_bulk_files` writes request bodies as text files, many requests per
+  file (``requests_per_file``, through ``maxRecordsPerFile``), accepted and rejected
+  records in one job (``status=loaded`` / ``status=rejected`` folders), in the
+  input's order and without a sort.  A file holds whole requests but for its last;
+  :func:`file_requests` cuts the lines of one file into its requests again.
 * :func:`push_bulk` hands each request to a caller-supplied ``send(lines)``
   through a Python data source writer.  ``send`` raising fails the task; Spark
   retries it and, when retries are spent, aborts the job and calls ``abort``.
@@ -22,8 +24,9 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +35,22 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from ..operators.document import bulk_action_json, bulk_source_json
 from ..plans.load import EventLoad
 
+# The default number of requests in a file: 200,000 records with the default request size.
+REQUESTS_PER_FILE = 400
+
 
 def bulk_lines(df: DataFrame) -> DataFrame:
     """K2: add ``line`` = action line + newline + source line, for loaded records."""
     return df.withColumn("line", F.concat(bulk_action_json(), F.lit("\n"), bulk_source_json()))
 
 
-def write_bulk_files(load: EventLoad, path: str, batch_size: int = 500, mode: str = "append") -> None:
-    """K2 as files: one bulk request per file, rejected records alongside; one job, no shuffle."""
+def write_bulk_files(
+    load: EventLoad, path: str, batch_size: int = 500, mode: str = "append", requests_per_file: int = REQUESTS_PER_FILE
+) -> None:
+    """K2 as files: ``requests_per_file`` bulk requests a file, rejected records alongside; one job, no shuffle, no sort.
+
+    With ``batch_size`` <= 0 a task's records are one request in one file.
+    """
     df = load.all
     rejected_json = F.to_json(F.struct(*[F.col(c) for c in _input_columns(df)], F.col("reason")))
     value = F.when(F.col("reason").isNull(), F.concat(bulk_action_json(), F.lit("\n"), bulk_source_json())).otherwise(
@@ -49,8 +60,27 @@ def write_bulk_files(load: EventLoad, path: str, batch_size: int = 500, mode: st
     out = df.select(value.alias("value"), status.alias("status"))
     writer = out.write.mode(mode).partitionBy("status")
     if batch_size > 0:
-        writer = writer.option("maxRecordsPerFile", batch_size)
-    writer.text(path)
+        writer = writer.option("maxRecordsPerFile", batch_size * requests_per_file)
+    # Both folders are open at once: a task's records need no sort by status and keep their order.
+    spark, key = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        writer.text(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def file_requests(lines: Iterable[str], batch_size: int = 500) -> Iterator[list[str]]:
+    """The bulk requests in the lines of one file: action and source lines of ``batch_size`` records each."""
+    rest = iter(lines)
+    while request := list(islice(rest, 2 * batch_size if batch_size > 0 else None)):
+        yield request
+
+
+def bulk_files(path: str, mode: str = "append", requests_per_file: int = REQUESTS_PER_FILE) -> Callable[[EventLoad, int], None]:
+    """:func:`write_bulk_files` as the ``sink`` of :func:`eventloom.load_events`."""
+    return lambda load, batch_size: write_bulk_files(load, path, batch_size, mode, requests_per_file)
 
 
 def _input_columns(df: DataFrame) -> list[str]:
@@ -125,3 +155,12 @@ def push_bulk(
     spark.dataSource.register(_Source)
     lines = bulk_lines(load.accepted).select("line")
     lines.write.format(name).mode("append").save()
+
+
+def bulk_push(
+    send: Callable[[list[str]], None],
+    on_commit: Callable[[dict[int, int]], None] | None = None,
+    on_abort: Callable[[int], None] | None = None,
+) -> Callable[[EventLoad, int], None]:
+    """:func:`push_bulk` as the ``sink`` of :func:`eventloom.load_events`."""
+    return lambda load, batch_size: push_bulk(load, send, batch_size, on_commit, on_abort)

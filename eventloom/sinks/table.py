@@ -8,6 +8,8 @@ partitioned by ``event_date``, so time filters prune files for every shape.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,19 @@ def create_event_table(spark: SparkSession, name: str, like: DataFrame | None =
 
 
 def append_events(load: EventLoad, name: str) -> None:
-    """K7: append loaded records (no key: loading the same input twice stores it twice)."""
+    """K7: append loaded records (no key: loading the same input twice stores it twice).
+
+    The rows are brought together by day, so that a task writes few files; adaptive execution cuts a
+    day with much data into several tasks and puts small days together.
+    """
     frame = table_frame(load)
     create_event_table(load.all.sparkSession, name, like=frame)
-    frame.write.mode("append").insertInto(name)
+    frame.hint("rebalance", F.col("event_date")).write.mode("append").insertInto(name)
+
+
+def event_table(name: str) -> Callable[[EventLoad, int], None]:
+    """:func:`append_events` as the ``sink`` of :func:`eventloom.load_events` (a table has no requests)."""
+    return lambda load, batch_size: append_events(load, name)
 
 
 def clear_event_table(spark: SparkSession, name: str) -> None:

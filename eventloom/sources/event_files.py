@@ -8,9 +8,12 @@ The binary event-log codec is not part of this library; the caller passes it in.
 * Chunked mode, for formats made of a fixed-size header followed by fixed-size
   chunks that decode on their own (the Windows event-log format: a 4 KiB header,
   then 64 KiB chunks): each file is cut into runs of ``chunks_per_split`` chunks
-  and every run is its own task, so one huge file no longer lands on one task.
-  ``decode(header: bytes, chunks: bytes) -> Iterable[str]`` gets the header and
-  one run.  Files are read with ``pyarrow.fs`` (local, HDFS, S3, GCS URIs).
+  and the runs are dealt out evenly over tasks, so one huge file does not land on one
+  task.  ``decode(header: bytes, chunks: bytes) -> Iterable[str]`` gets the header and
+  one run.  Ranges are read with ``pyarrow.fs`` (local, HDFS, S3 and GCS paths, ``s3a:``
+  included; another scheme is an error at once) or by the caller's
+  ``read_range(path, start, size) -> bytes``.  Counting the runs takes one job over the
+  list of files.
 
 A decoder error fails the task (and, after Spark's retries, the job): a damaged
 file aborts the load as it does in the reference, unless the decoder chooses to
@@ -25,8 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ranges import check_readable, read_range as _read_range
+
 OUT_SCHEMA = "source_file string, xml string"
 _BATCH = 10_000
+# Runs have a task each up to this number of tasks; beyond it a task reads several, one after the other.
+MAX_TASKS = 20_000
 
 
 def _flush(rows: list) -> pd.DataFrame:
@@ -42,25 +49,30 @@ def scan_event_files(
     chunk_bytes: int | None = None,
     chunks_per_split: int = 256,
     path_glob_filter: str | None = None,
+    tasks: int | None = None,
+    read_range: Callable[[str, int, int], bytes] | None = None,
 ) -> DataFrame:
     """``source_file, xml``: one row per decoded record (see module doc for the two modes)."""
+    chunked = header_bytes is not None and chunk_bytes is not None
+    if chunked and read_range is None:
+        check_readable([path])
     reader = spark.read.format("binaryFile")
     if path_glob_filter:
         reader = reader.option("pathGlobFilter", path_glob_filter)
     files = reader.load(path)
-    if header_bytes is None or chunk_bytes is None:
+    if not chunked:
         return files.select("path", "content").mapInPandas(_whole_file_decoder(decode), OUT_SCHEMA)
 
     # Only path and length are read here: binaryFile skips the content column when it is pruned.
     run_bytes = chunk_bytes * chunks_per_split
     n_runs = F.greatest(F.lit(0), F.ceil((F.col("length") - F.lit(header_bytes)) / F.lit(run_bytes))).cast("int")
-    runs = files.select(
-        "path",
-        "length",
-        F.explode(F.sequence(F.lit(0), n_runs - 1)).alias("run"),
-    ).where(n_runs > 0)
-    runs = runs.repartition("path", "run")  # spread the runs of one file over many tasks
-    return runs.mapInPandas(_chunked_decoder(decode, header_bytes, run_bytes), OUT_SCHEMA)
+    files = files.select("path", "length", n_runs.alias("n")).where("n > 0")
+    if tasks is None:
+        tasks = min(files.agg(F.sum("n")).first()[0] or 1, MAX_TASKS)
+    runs = files.select("path", "length", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("run"))
+    # With a number given, adaptive execution does not merge these tiny partitions.
+    runs = runs.repartition(tasks)
+    return runs.mapInPandas(_chunked_decoder(decode, header_bytes, run_bytes, read_range or _read_range), OUT_SCHEMA)
 
 
 def _whole_file_decoder(decode):
@@ -79,19 +91,14 @@ def _whole_file_decoder(decode):
     return run
 
 
-def _chunked_decoder(decode, header_bytes: int, run_bytes: int):
+def _chunked_decoder(decode, header_bytes: int, run_bytes: int, read):
     def run(batches):
-        from pyarrow import fs as pafs
-
         for pdf in batches:
             rows: list = []
             for p, length, r in zip(pdf["path"], pdf["length"], pdf["run"]):
-                filesystem, inner = pafs.FileSystem.from_uri(p)
                 start = header_bytes + int(r) * run_bytes
-                size = min(run_bytes, int(length) - start)
-                with filesystem.open_input_file(inner) as f:
-                    header = bytes(f.read_at(header_bytes, 0))
-                    body = bytes(f.read_at(size, start))
+                header = read(p, 0, header_bytes)
+                body = read(p, start, min(run_bytes, int(length) - start))
                 for xml in decode(header, body):
                     rows.append((p, xml))
                     if len(rows) >= _BATCH:

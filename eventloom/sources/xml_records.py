@@ -10,12 +10,14 @@ passed on as they are (the parser then rejects them with reason ``xml``, and the
 records after them still load).  Text outside records (declaration, ``<Events>``,
 blanks) is dropped.
 
-Limit: the text reader drops the separator, so it cannot tell whether a file's
-*last* piece was followed by ``</Event>``.  A piece holding an ``<Event`` start at
-the very end of a file (a file cut inside its last record) is therefore closed
-for it; it is rejected only if the cut leaves malformed XML.  Exported files end
-with ``</Events>``, so complete exports are not affected.  Telling the cases
-apart exactly would need a second pass over every file (per-file byte counts).
+The text reader drops the separator, so it cannot tell whether a file's *last* piece
+was followed by ``</Event>``.  :func:`scan_event_xml` therefore looks at the end of
+every file first (one ranged read each, in tasks): a file whose text after its last
+``</Event>`` starts another record was cut inside that record, and that piece is left
+open, so that the parser rejects it.  Limits: compressed files and streams are not
+looked at (there the last piece is closed, and rejected only if that leaves malformed
+XML), and in a cut file another piece that equals the open one byte for byte is left
+open too.
 
 Spark's own XML reader is not used for this: one bad record makes it swallow the
 rest of the file.
@@ -23,31 +25,90 @@ rest of the file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .ranges import check_readable, read_range as _read_range
+
 # The record separator and the start of a record.
 RECORD_END = "</Event>"
 RECORD_START = r"<Event[\s/>]"
+# Fixed value: file name endings that Spark's text reader decompresses.
+COMPRESSED = r"(?i)\.(gz|bz2|deflate|lz4|snappy|zst|xz)$"
+_TAIL = 64 << 10
 
 
-def split_records(text_df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Turn text pieces that end at ``</Event>`` into one row per record (``xml``)."""
+def split_records(text_df: DataFrame, value_col: str = "value", cut: Column | None = None) -> DataFrame:
+    """Turn text pieces that end at ``</Event>`` into one row per record (``xml``); ``cut`` ones stay open."""
     pieces = F.split(F.col(value_col), f"(?={RECORD_START})")
     cols = [c for c in text_df.columns if c != value_col]
-    exploded = text_df.select(*cols, F.posexplode(pieces).alias("_pos", "_piece"), F.size(pieces).alias("_n"))
+    cut = F.lit(False) if cut is None else cut
+    exploded = text_df.select(*cols, F.posexplode(pieces).alias("_pos", "_piece"), F.size(pieces).alias("_n"), cut.alias("_cut"))
+    closed = (F.col("_pos") == F.col("_n") - 1) & ~F.col("_cut")
     is_record = F.col("_piece").rlike(f"^{RECORD_START}")
-    xml = F.when(F.col("_pos") == F.col("_n") - 1, F.concat(F.col("_piece"), F.lit(RECORD_END))).otherwise(
-        F.col("_piece")
-    )
+    xml = F.when(closed, F.concat(F.col("_piece"), F.lit(RECORD_END))).otherwise(F.col("_piece"))
     return exploded.where(is_record).select(*cols, xml.alias("xml"))
 
 
-def scan_event_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``source_file, xml``: one row per event record in exported XML files (glob allowed)."""
+def cut_files(
+    spark: SparkSession, paths: list[str], read_range: Callable[[str, int, int], bytes] | None = None
+) -> DataFrame:
+    """``source_file, tail``: files cut inside their last record, with the bytes of that record's piece."""
+    read = read_range or _read_range
+    if read_range is None:
+        check_readable(paths)
+    files = spark.read.format("binaryFile").load(paths)
+    files = files.select("path", F.col("_metadata.file_path").alias("source_file"), "length")
+    # A look takes little time: many files share a task.
+    files = files.where(~F.col("path").rlike(COMPRESSED)).coalesce(4 * spark.sparkContext.defaultParallelism)
+    end, start = RECORD_END.encode(), re.compile(RECORD_START.encode())
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for path, name, length in zip(pdf["path"], pdf["source_file"], pdf["length"]):
+                size, tail = min(_TAIL, length), b""
+                while size:
+                    tail = read(path, length - size, size)
+                    if end in tail or size == length:
+                        break
+                    size = min(8 * size, length)
+                tail = tail[tail.rfind(end) + len(end) :] if end in tail else tail
+                if start.search(tail):
+                    found.append((name, tail))
+            yield pd.DataFrame(found, columns=["source_file", "tail"])
+
+    return files.mapInPandas(look, "source_file string, tail binary")
+
+
+def scan_event_xml(
+    spark: SparkSession,
+    path: str | list[str],
+    check_tails: bool = True,
+    read_range: Callable[[str, int, int], bytes] | None = None,
+) -> DataFrame:
+    """``source_file, xml``: one row per event record in exported XML files (glob allowed).
+
+    ``check_tails`` looks for files cut inside their last record (module doc) in a job of its own;
+    ``read_range(path, start, size)`` reads stores that pyarrow does not know.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.option("lineSep", RECORD_END).text(paths)
     raw = raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("value"))
+    if check_tails:
+        # Written, so that Spark knows its size and brings it to the text while it is small.
+        place = scratch_path(spark, "cut-files")
+        cut_files(spark, paths, read_range).write.parquet(place)
+        cut = spark.read.parquet(place)
+        if not cut.isEmpty():
+            is_cut = F.coalesce(F.col("value").cast("binary") == F.col("tail"), F.lit(False))
+            marked = raw.join(cut, "source_file", "left").select("source_file", "value", is_cut.alias("cut"))
+            return split_records(marked, cut=F.col("cut")).drop("cut")
     return split_records(raw)
 
 

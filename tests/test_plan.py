@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from conftest import SF_SMALL
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,16 @@ def test_clashing_input_column_is_an_error(spark, name):
     df = spark.createDataFrame([("<Event/>", "mine")], f"xml string, `{name}` string")
     with pytest.raises(ValueError, match="names that the load uses"):
         prepare_events(df)
+
+
+def test_outcomes_build_no_document(spark):
+    """What asks for reason, shape or time only has no document, struct or map in its plan; filters run before these."""
+    from eventloom.operators.quarantine import reject_summary
+
+    load = prepare_events(events_as_xml(spark.read.parquet(f"{SF_SMALL}/events.parquet")), metadata={"a": 1})
+    for df in (reject_summary(load), accepted_events(load).select("event_id", "shape", "event_time")):
+        plan = _plan(df)
+        assert "map_from_entries" not in plan and "RawData" not in plan and "@SystemTime" not in plan
+    plan = _plan(accepted_events(load).select("document"))
+    reject = re.search(r"Filter [^\n]*isnull\([^)]*reason", plan)
+    assert reject and reject.start() > plan.index("map_from_entries")  # the tree is printed from the top

@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 
 from eventloom import load_events
 from eventloom.plans.batches import assign_batches, load_report
-from eventloom.sinks import append_events, clear_event_table, push_bulk, write_bulk_files
+from eventloom.sinks import (
+    append_events,
+    bulk_files,
+    bulk_push,
+    clear_event_table,
+    event_table,
+    file_requests,
+    push_bulk,
+    write_bulk_files,
+)
 
 GOOD = event('<EventData><Data Name="a">1</Data><Data Name="b">2</Data></EventData>')
 
@@ -43,7 +52,7 @@ def _request_sizes(out):
 def test_bulk_files_requests_cut_per_task(spark, tmp_path):
     load = load_events(spark, _source(spark, 23, 2), min_partitions=4)
     out = str(tmp_path / "bulk4")
-    write_bulk_files(load, out, batch_size=10)
+    write_bulk_files(load, out, batch_size=10, requests_per_file=1)
     sizes = _request_sizes(out)
     assert sum(sizes) == 23 and max(sizes) <= 10
 
@@ -51,7 +60,7 @@ def test_bulk_files_requests_cut_per_task(spark, tmp_path):
 def test_bulk_files_one_request_per_file(spark, tmp_path):
     load = load_events(spark, _source(spark, 23, 2).coalesce(1), min_partitions=1)
     out = str(tmp_path / "bulk")
-    write_bulk_files(load, out, batch_size=10)
+    write_bulk_files(load, out, batch_size=10, requests_per_file=1)
     loaded = sorted(os.listdir(os.path.join(out, "status=loaded")))
     files = [f for f in loaded if f.endswith(".txt")]
     sizes = []
@@ -143,3 +152,50 @@ def test_hot_key_spreads_over_batches(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     parts = out.groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1 and out.agg(F.min("row_index"), F.max("row_index"), F.countDistinct("row_index")).first()[:] == (0, 19_999, 20_000)
+
+
+def _loaded_files(out):
+    folder = os.path.join(out, "status=loaded")
+    return [open(os.path.join(folder, f)).read().splitlines() for f in sorted(os.listdir(folder)) if f.endswith(".txt")]
+
+
+def test_bulk_files_hold_many_requests_in_input_order(spark, tmp_path):
+    rows = [(i, GOOD.replace(">1<", f">{i}<") if i % 7 else "<Event>") for i in range(95)]
+    load = load_events(spark, spark.createDataFrame(rows, "rid long, xml string").coalesce(1))
+    out = str(tmp_path / "many")
+    write_bulk_files(load, out, batch_size=10)
+    (lines,) = _loaded_files(out)
+    requests = list(file_requests(lines, 10))
+    assert [len(r) for r in requests] == [20] * 8 + [2]
+    got = [json.loads(x)["Event"]["EventData"]["Data"]["a"] for r in requests for x in r[1::2]]
+    assert got == [str(i) for i in range(95) if i % 7]
+    write_bulk_files(load, out, batch_size=10, mode="overwrite", requests_per_file=3)
+    assert sorted(len(f) // 2 for f in _loaded_files(out)) == [21, 30, 30]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert list(file_requests(["a", "b"], 0)) == [["a", "b"]] and not list(file_requests([], 10))
+
+
+def test_load_events_calls_the_shipped_sinks(spark, tmp_path):
+    files, sent, name = str(tmp_path / "files"), str(tmp_path), "eventloom_test_sink"
+
+    def send(lines):
+        with open(os.path.join(sent, f"sent-{len(lines)}"), "w") as f:
+            f.write(json.dumps(lines))
+
+    clear_event_table(spark, name)
+    for sink in (bulk_files(files), bulk_push(send), event_table(name)):
+        load = load_events(spark, _source(spark, 5, 1).coalesce(1), batch_size=3, sink=sink)
+        assert load.accepted.count() == 5
+    assert [len(r) for f in _loaded_files(files) for r in file_requests(f, 3)] == [6, 4]
+    assert sorted(f for f in os.listdir(sent) if f.startswith("sent-")) == ["sent-2", "sent-3"]
+    assert spark.table(name).count() == 5
+    clear_event_table(spark, name)
+
+
+def test_table_days_share_files(spark):
+    days = [event('<EventData><Data Name="a">1</Data></EventData>', time=f"2024-01-{1 + i % 9:02d} 00:00:00") for i in range(180)]
+    name = "eventloom_test_days"
+    clear_event_table(spark, name)
+    append_events(load_events(spark, spark.createDataFrame([(x,) for x in days], "xml string").repartition(20)), name)
+    assert len(spark.table(name).inputFiles()) == 9 and spark.table(name).count() == 180
+    clear_event_table(spark, name)

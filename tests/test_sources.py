@@ -98,3 +98,61 @@ def test_decoder_error_fails_the_job(spark, tmp_path):
 
     with pytest.raises(Exception, match="bad file header"):
         scan_event_files(spark, str(d), boom).count()
+
+
+def test_chunk_runs_spread_over_tasks(spark, tmp_path):
+    """Runs of one file in a folder with a blank and a percent sign: a task each, or as many tasks as asked."""
+    d = tmp_path / "with blank %20"
+    d.mkdir()
+    n, chunk = 60, 256
+    (d / "one.bin").write_bytes(b"H" * 16 + b"".join(REC.format(i=i % 10).encode().ljust(chunk) for i in range(n)))
+
+    def decode(head: bytes, chunks: bytes):
+        from pyspark import TaskContext
+
+        assert len(chunks) == chunk
+        yield f"{TaskContext.get().partitionId()} {chunks.decode().strip()}"
+
+    args = {"header_bytes": 16, "chunk_bytes": chunk, "chunks_per_split": 1}
+    for tasks, expected in ((None, n), (15, 15)):
+        rows = [r["xml"] for r in scan_event_files(spark, str(d), decode, tasks=tasks, **args).collect()]
+        assert len(rows) == n and len({r.split(" ")[0] for r in rows}) >= expected
+        assert sorted(r.split(" ", 1)[1] for r in rows) == sorted(REC.format(i=i % 10) for i in range(n))
+
+
+def test_unknown_store_is_an_error_at_once(spark):
+    with pytest.raises(ValueError, match="dbfs"):
+        scan_event_files(spark, "dbfs:/x", _stub_decode, header_bytes=16, chunk_bytes=64)
+
+
+def test_paths_and_schemes():
+    from eventloom.sources.ranges import check_readable, scheme_of
+
+    assert [scheme_of(p) for p in ("s3a://b/k", "/a:b/c", "file:/a b", "a/b", "wasbs://x")] == ["s3a", "", "file", "", "wasbs"]
+    check_readable(["s3a://b/k", "/x", "file:///x", "hdfs://h/x"])
+
+
+@pytest.mark.parametrize("split", ["128m", "256"])
+def test_file_cut_inside_its_last_record(spark, tmp_path, split):
+    """The open piece is rejected wherever the cut lies; files that end with their last record are whole."""
+    d = tmp_path / "cut files"
+    d.mkdir()
+    recs = [REC.format(i=i) for i in range(6)]
+    whole = "<Events>" + "".join(recs)
+    _write(d / "a.xml", whole[: -len("</Event>")])  # well-formed once closed
+    _write(d / "b.xml", whole[:-3])
+    _write(d / "c.xml", whole)
+    _write(d / "d.xml", whole + "\n</Events>\n")
+    _write(d / "e.xml", "")
+    _write(d / "f.xml", recs[0][: -len("</Event>")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        out = prepare_events(scan_event_xml(spark, str(d))).select("source_file", "reason").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    count = {f: [0, 0] for f in "abcdf"}
+    for r in out:
+        count[os.path.basename(r["source_file"])[0]][r["reason"] is not None] += 1
+        assert r["reason"] in (None, "xml")
+    assert count == {"a": [5, 1], "b": [5, 1], "c": [6, 0], "d": [6, 0], "f": [0, 1]}

@@ -35,3 +35,15 @@ def test_stream_loads_new_files(spark, tmp_path):
     assert len(loaded) == 8
     assert {d["Event"]["EventData"]["Data"]["m"] for d in loaded} == {"x"}
     assert len(rejected) == 2 and {r["reason"] for r in rejected} == {"xml"}
+
+
+def test_new_checkpoint_does_not_write_over(spark, tmp_path):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    for run in range(2):
+        (src / "f.xml").write_text(REC.format(i=run), encoding="utf-8")
+        for _ in range(2):  # a restart with the same checkpoint is the same stream
+            q = start_event_stream(spark, str(src), str(out), str(tmp_path / f"ckpt{run}"), available_now=True, name=f"t{run}")
+            q.awaitTermination(300)
+    streams = sorted(os.listdir(out))
+    assert len(streams) == 2 and all(s.startswith("stream=") and len(s) > 20 for s in streams)
