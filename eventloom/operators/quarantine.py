@@ -3,7 +3,7 @@
 A record that cannot be loaded is not fatal: it is set aside with a ``reason``
 (``xml``, ``root``, ``timestamp`` or ``shape``) and the load goes on.  Both
 outputs come from one parse; when both are consumed, persist or write them in one
-job (see :func:`eventloom.plans.load.write_events`) rather than parsing twice.
+job (as :func:`eventloom.sinks.write_bulk_files` does) rather than parsing twice.
 A bad item inside a ``Data`` list (E6) is skipped by the map builder and never
 rejects its record.
 """

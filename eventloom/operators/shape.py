@@ -50,14 +50,17 @@ def entries_map(entries: Column) -> Column:
     A repeated name keeps its first position and the text of its last occurrence,
     decided per record by expressions (no session-wide ``mapKeyDedupPolicy``).
     """
-    firsts = F.filter(entries, lambda e: ~F.exists(entries, lambda o: (o["k"] == e["k"]) & (o["i"] < e["i"])))
-    deduped = F.transform(
-        firsts,
-        lambda e: F.struct(
-            e["k"].alias("key"),
-            F.element_at(F.filter(entries, lambda o: o["k"] == e["k"]), -1)["v"].alias("value"),
-        ),
-    )
+
+    def folded(s: Column) -> Column:
+        # s is sorted by name and position: the first and the last item of each name stand at the ends of its run.
+        firsts = F.filter(s, lambda e, j: (j == 0) | (F.get(s, j - 1)["k"] != e["k"]))
+        lasts = F.filter(s, lambda e, j: (j == F.size(s) - 1) | (F.get(s, j + 1)["k"] != e["k"]))
+        return F.zip_with(firsts, lasts, lambda a, z: F.struct(a["i"].alias("i"), a["k"].alias("key"), z["v"].alias("value")))
+
+    by_name = F.array_sort(F.transform(entries, lambda e: F.struct(e["k"].alias("k"), e["i"].alias("i"), e["v"].alias("v"))))
+    # One element: the sorted items are bound to a variable, not sorted again for each use.
+    in_order = F.array_sort(F.element_at(F.transform(F.array(by_name), folded), 1))
+    deduped = F.transform(in_order, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     plain = F.transform(entries, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
     names = F.transform(entries, lambda e: e["k"])
     has_dup = F.size(F.array_distinct(names)) < F.size(names)

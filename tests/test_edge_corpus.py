@@ -209,3 +209,13 @@ def test_text_after_root_rejected(spark):
         ],
     )
     assert [r["reason"] for r in rows] == ["xml", "xml", None, None]
+
+
+def test_repeated_names_of_a_long_record(spark):
+    """Thousands of names, some repeated: first position, last text, without comparing all with all."""
+    items = [(f"n{(i * 7919) % 2500}", str(i)) for i in range(3000)]
+    record = event("<EventData>" + "".join(f'<Data Name="{k}">{v}</Data>' for k, v in items) + "</EventData>")
+    once = event("<EventData>" + "".join(f'<Data Name="{k}">{v}</Data>' for k, v in items[:2500]) + "</EventData>")
+    for got, want in zip(load_rows(spark, [record, once]), (dict(items), dict(items[:2500]))):
+        assert got["event_data"] == want
+        assert list(json.loads(got["document"])["Event"]["EventData"]["Data"].items()) == list(want.items())
