@@ -13,8 +13,10 @@
 4. Links become components by alternating large-star and small-star steps until nothing changes.
 
 Only components are computed, so a link between nodes that are connected already is not looked for;
-every other pair that shares a band is decided on its full sets.  With 25 bands of 5, a pair at the
-threshold of 0.85 shares none with a probability of 4e-7, and less above it.
+every other pair that shares a band is decided on its full sets, unless sizes or signatures rule it out.
+Sizes never do so wrongly; signatures only where a pair's agree 6.5 standard deviations less than is
+usual at the threshold, whatever that is.  With 25 bands of 5, a pair at the threshold of 0.85 shares no
+band with a probability of 4e-7, and less above it; a caller with a lower threshold gives bands to match.
 """
 
 from __future__ import annotations
@@ -32,9 +34,7 @@ WORDS = 5
 SIMILARITY = 85  # hundredths
 BANDS, ROWS = 25, 5
 SEED = 11
-# Pairs whose signatures agree in fewer of the minima than this are not compared further: over six
-# standard deviations below the least similarity that counts.
-AGREE = 0.65
+DEVIATIONS = 6.5  # below the least similarity that counts, where signatures rule a pair out
 BLOCK_BYTES = 8 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values of a well-known 64-bit mixer
 
@@ -133,6 +133,12 @@ def band_keys(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
     return nodes.select("node", "n_shingles", F.explode(F.array(*keys)).alias("k")).select("node", "n_shingles", "k.*")
 
 
+def least_agreement(similarity: int, minima: int) -> float:
+    """Pairs whose signatures agree in a smaller share of the minima than this are not compared further."""
+    s = similarity / 100
+    return max(0.0, s - DEVIATIONS * (s * (1 - s) / minima) ** 0.5)
+
+
 class _Parts:
     """Union-find over the nodes of one unit."""
 
@@ -154,6 +160,7 @@ class Unit:
     def __init__(self, sizes, labels, sides, sigs, band: int, rows: int, similarity: int):
         self.sizes, self.sides, self.sigs, self.band, self.rows, self.similarity = sizes, sides, sigs, band, rows, similarity
         self.parts, self.two = _Parts(labels), len(np.unique(sides)) > 1
+        self.enough = least_agreement(similarity, sigs.shape[1]) * sigs.shape[1]
 
     def partners(self, i: int) -> np.ndarray:
         """Later nodes, not connected with node ``i`` so far, whose sizes and signatures allow a link."""
@@ -165,7 +172,7 @@ class Unit:
         keep &= 100 * np.minimum(self.sizes[j], self.sizes[i]) >= self.similarity * np.maximum(self.sizes[j], self.sizes[i])
         j = j[keep]
         agree = self.sigs[j] == self.sigs[i]
-        enough = agree.sum(1) >= AGREE * self.sigs.shape[1]
+        enough = agree.sum(1) >= self.enough
         if self.band:
             enough &= ~agree[:, : self.band * self.rows].reshape(len(j), self.band, self.rows).all(2).any(1)
         return j[enough]

@@ -75,6 +75,20 @@ def test_near_duplicates_empty_and_other_columns(spark):
     assert {r["doc_id"] for r in rest.collect()} == kept
 
 
+@pytest.mark.parametrize("similarity", [40, 60, 70, 85, 100])
+def test_signatures_rule_out_no_pair_at_the_threshold(similarity):
+    """200 pairs at the threshold exactly, all sharing a bucket: signatures let every one through to its full sets."""
+    a, b = minhash.hash_family(125, 3)
+    rng = np.random.default_rng(similarity)
+    for _ in range(200):
+        x = rng.integers(0, 1 << 63, 400, np.uint64)
+        both, one = 4 * similarity, (400 - 4 * similarity) // 2
+        sets = [np.unique(x[: both + one]), np.unique(np.concatenate([x[:both], x[both + one : both + 2 * one]]))]
+        sigs = np.stack([minhash.signature(s, a, b) for s in sets])
+        unit = minhash.Unit(np.array([len(s) for s in sets]), np.arange(2), np.zeros(2, int), sigs, 0, 5, similarity)
+        assert minhash.unit_candidates(unit).all() and minhash.unit_links(unit, [1, 2], sets) == [(1, 2)]
+
+
 def test_signature_estimates_similarity():
     a, b = minhash.hash_family(125, 1)
     x = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 2000, np.uint64))
