@@ -21,6 +21,10 @@ from eventloom.llm.packing import pack_documents
 # A text below this score has hardly an n-gram in common with the language nearest to it.
 MIN_LANGUAGE_SCORE = 0.1
 
+# Near-duplicates for a corpus: similarity 0.8 or more.  With 30 bands of 4, a pair at 0.8 shares no band with a
+# probability of 1.4e-7, and less above it.
+SIMILARITY, BANDS, ROWS = 80, 30, 4
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones are written in."""
@@ -37,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return one_of_each(docs)
+    return one_of_each(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

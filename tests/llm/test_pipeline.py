@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 
 from .edge import edge_docs, edge_rows, no_docs, read_documents
 from .test_layout import brute_lines, check_packing
-from .test_similar import brute_components, brute_tokens
+from .test_similar import brute_components, brute_tokens, shingle_set
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -72,3 +72,26 @@ def test_run_is_the_stages(spark):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
     assert pipeline.run(spark, SF_SMALL).drop("sequence_id", "offset").exceptAll(docs.drop("sequence_id", "offset")).count() == 0
+
+
+def test_near_dedup_links_from_similarity_80(spark):
+    """Against brute force at 80, on pairs around 0.75 to 0.9 as well as on the table's documents."""
+    rows = [(d["doc_id"], d["text"]) for d in read_documents(SF_SMALL)]
+    for i, changed in enumerate(range(1, 15)):
+        text = [f"w{i}x{k}" for k in range(204)]
+        rows.append((10**6 + 2 * i, " ".join(text)))
+        for k in range(changed):
+            text[5 + 14 * k] = f"other{k}"
+        rows.append((10**6 + 2 * i + 1, " ".join(text)))
+    sets = [(d, shingle_set(t)) for d, t in rows]
+    near = [(a, b) for i, (a, s) in enumerate(sets) for b, t in sets[:i] if s and t and 100 * len(s & t) >= 80 * len(s | t)]
+    assert any(100 * len(s & t) < 85 * len(s | t) for a, s in sets for b, t in sets if (a, b) in set(near))
+    root = {d: d for d, _ in rows}
+    for _ in rows:
+        before = dict(root)
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    got = pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(d for d, _ in rows if root[d] == d)
