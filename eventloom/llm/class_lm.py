@@ -11,8 +11,13 @@ P(text) is the product over its words and its end of P(class | class before) * P
    frequency band of the other words (by powers of two), or the unknown word.
 3. Symbol bigrams of all training texts are counted (a bounded table: symbols squared).  The frequent
    words start in ``CLASSES`` classes and are exchanged, each in turn to the class that raises the
-   likelihood of the class bigrams most, until none moves.  Bands, end and unknown are classes of their own.
-4. Transitions are smoothed towards the class frequencies.  They are counted as if each rare occurrence
+   likelihood of the class bigrams most.  Bands, end and unknown are classes of their own.
+4. Every other word of count ``LEAST_COUNT`` or more then leaves its band for the class with the same gain.
+   Its neighbours' classes are counted chunk by chunk and summed by word (one row per chunk and word is
+   shuffled); tasks score the sums against the class table, and the answers go back to the chunks.  All
+   these words choose at once, against the classes before; ``WORD_SWEEPS`` times, then it stops.  How many
+   words choose follows the corpus; rarer words keep their bands.
+5. Transitions are smoothed towards the class frequencies.  They are counted as if each rare occurrence
    were left out of the corpus: a word of count c counts for the band of c-1, one of count 1 as unknown.
    That is where unseen words get their probability from.  A known word's emission is its share of its class.
 
@@ -32,16 +37,17 @@ from .common import column, written
 from .langid import held_out
 from .tokens import Numbered, segments
 
-CLUSTERED = 1024  # the words that get classes of their own choice; all others are classed by frequency band
+CLUSTERED = 1024  # the words that are exchanged one after the other and make the classes
 CLASSES = 64
-LEAST_COUNT = 8  # of a clustered word
+LEAST_COUNT = 8  # of a word that chooses its class, a power of two; rarer ones are classed by frequency band
 SMOOTHING = 50.0
 CHUNK_TOKENS = 1 << 21
 SWEEPS = 12
+WORD_SWEEPS = 2
 _UNKNOWN, _END, _WORDS = 0, 1, 2  # symbols; the bands follow the words, two each: counts that are a power of two, and others
 _BANDS = 48
 _CHUNK = "chunk long, docs array<long>, held array<boolean>, lengths array<long>, ids binary, words array<binary>, counts array<long>"
-_CODED = "docs array<long>, held array<boolean>, lengths array<long>, symbols binary, base array<double>, known array<long>, emit array<double>"
+_CODED = "chunk long, docs array<long>, held array<boolean>, lengths array<long>, places binary, words binary, named binary, base array<double>, known array<long>, emit array<double>"
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -97,32 +103,31 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> Da
     return rows.mapInArrow(encode, _CHUNK)
 
 
-def dictionaries(vocabulary: DataFrame) -> DataFrame:
-    """Rows (chunk, place, count, symbol) as one row per chunk: its counts and symbols in the order of places."""
+def dictionaries(rows: DataFrame, **kinds: type) -> DataFrame:
+    """Rows (chunk, place, ...) as one row per chunk: the named columns, each packed in the order of places."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = None, []
 
         def row():
-            counts, symbols = (np.concatenate([x[i] for x in held]) for i in (0, 1))
-            cells = [[chunk], [_packed(counts.astype(np.int64))], [_packed(symbols.astype(np.uint16))]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names=["chunk", "counts", "symbols"])
+            cells = [[_packed(np.concatenate([x[i] for x in held]).astype(kind))] for i, kind in enumerate(kinds.values())]
+            arrays = [pa.array([chunk], pa.int64()), *[pa.array(c, pa.binary()) for c in cells]]
+            return pa.RecordBatch.from_arrays(arrays, names=["chunk", *kinds])
 
         for batch in batches:
-            own, counts, symbols = (batch.column(i).to_numpy() for i in range(3))
+            own, *columns = (c.to_numpy() for c in batch.columns)
             cuts = (np.flatnonzero(np.diff(own)) + 1).tolist()
             for lo, hi in zip([0, *cuts], [*cuts, len(own)]):
                 if held and own[lo] != chunk:
                     yield row()
                     held = []
                 chunk = own[lo]
-                held.append((counts[lo:hi], symbols[lo:hi]))
+                held.append([c[lo:hi] for c in columns])
         if held:
             yield row()
 
-    kinds = [pa.int64(), pa.binary(), pa.binary()]
-    dealt = vocabulary.repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "count", "symbol")
-    return dealt.mapInArrow(gather, "chunk long, counts binary, symbols binary")
+    dealt = rows.repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", *kinds)
+    return dealt.mapInArrow(gather, ", ".join(["chunk long", *[f"{name} binary" for name in kinds]]))
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -131,24 +136,41 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
 
 
-def coded(chunked: DataFrame, dictionary: DataFrame, n_tokens: int, n_words: int) -> DataFrame:
-    """Chunks of symbols, with each document's base score, known tokens and log count of its known tokens."""
+def coded(chunked: DataFrame, dictionary: DataFrame, n_tokens: int, n_words: int, n_base: int) -> DataFrame:
+    """Chunks of symbols, with each document's base score, known tokens and log count of its known tokens.
+
+    ``places`` has a symbol below ``n_base`` for each token, or ``n_base`` and more for the chunk's words that
+    choose a class: ``words`` has their numbers, ``named`` the symbols that they stand for so far.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
             ids, counts, symbols = _unpacked(row["ids"], np.uint32), _unpacked(row["counts"], np.int64), _unpacked(row["symbols"], np.uint16)
+            words = _unpacked(row["words"], np.int64)
+            chooses = words >= 0
+            places = symbols.astype(np.uint32)
+            places[chooses] = n_base + np.arange(int(chooses.sum()))
             lengths = np.array(row["lengths"], np.int64)
             starts = np.cumsum(lengths) - lengths
             sums = lambda x: np.add.reduceat(x[ids], starts)
             base = sums(np.log10(counts + 1.0)) - lengths * np.log10(n_tokens + n_words + 1.0)
-            cells = [row["docs"], row["held"], lengths, _packed(symbols[ids]), base, sums((counts > 0).astype(np.int64)), sums(np.log10(np.maximum(counts, 1)))]
+            cells = [
+                row["chunk"], row["docs"], row["held"], lengths, _packed(places[ids]), _packed(words[chooses]), _packed(symbols[chooses]),
+                base, sums((counts > 0).astype(np.int64)), sums(np.log10(np.maximum(counts, 1))),
+            ]
             yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=[f.split()[0] for f in _CODED.split(", ")])
 
     floats, longs = pa.list_(pa.float64()), pa.list_(pa.int64())
-    kinds = [longs, pa.list_(pa.bool_()), longs, pa.binary(), floats, longs, floats]
+    kinds = [pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary(), pa.binary(), pa.binary(), floats, longs, floats]
     return chunked.select("chunk", "docs", "held", "lengths", "ids").join(dictionary, "chunk").mapInArrow(encode, _CODED)
 
 
+def _symbols(row: dict, n_base: int) -> np.ndarray:
+    """The symbol of each token of a coded chunk."""
+    names = np.concatenate([np.arange(n_base), _unpacked(row["named"], np.uint16)])
+    return names[_unpacked(row["places"], np.uint32)]
+
+
 def _before(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The symbol before each; a text starts after an end."""
     prev = np.empty_like(symbols)
@@ -157,13 +179,13 @@ def _before(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return prev
 
 
-def symbol_bigrams(texts: DataFrame, n_symbols: int) -> DataFrame:
+def symbol_bigrams(texts: DataFrame, n_base: int, n_symbols: int) -> DataFrame:
     """``pair`` (before * n_symbols + symbol), ``n`` over the training texts: n_symbols**2 rows at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_symbols * n_symbols, np.int64)
         for row in _rows_of(batches):
-            symbols, lengths = _unpacked(row["symbols"], np.uint16).astype(np.int64), np.array(row["lengths"])
+            symbols, lengths = _symbols(row, n_base), np.array(row["lengths"])
             pairs = _before(symbols, lengths) * n_symbols + symbols
             seen += np.bincount(pairs[np.repeat(~np.array(row["held"], bool), lengths)], minlength=len(seen))
         at = np.flatnonzero(seen)
@@ -171,7 +193,7 @@ def symbol_bigrams(texts: DataFrame, n_symbols: int) -> DataFrame:
             part = at[lo : lo + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], names=["pair", "n"])
 
-    rows = texts.select("held", "lengths", "symbols").mapInArrow(count, "pair long, n long")
+    rows = texts.select("held", "lengths", "places", "named").mapInArrow(count, "pair long, n long")
     return rows.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -218,25 +240,184 @@ def exchange(bigrams: np.ndarray, first: np.ndarray, movable: np.ndarray, classe
     return own
 
 
+def neighbours(texts: DataFrame, n_base: int, classes_of: np.ndarray) -> DataFrame:
+    """One row per chunk and word that chooses: its class so far, and how often each class stands beside it.
+
+    Over the training texts.  Codes: the class that follows, the class before plus the number of classes,
+    and twice that number for the word after itself.
+    """
+    n = int(classes_of.max()) + 1
+    width = 2 * n + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows_of(batches):
+            words, lengths = _unpacked(row["words"], np.int64), np.array(row["lengths"], np.int64)
+            if not len(words):
+                continue
+            places, own = _unpacked(row["places"], np.uint32).astype(np.int64), classes_of[_unpacked(row["named"], np.uint16)]
+            of_place = np.concatenate([classes_of[:n_base], own])
+            at = np.flatnonzero((places >= n_base) & np.repeat(~np.array(row["held"], bool), lengths))
+            before = _before(places, lengths)[at]
+            w, after = places[at], places[at + 1]  # a text's last token is its end
+            to = np.where(after == w, 2 * n, of_place[after])
+            fro = np.flatnonzero(before != w)
+            keys = np.concatenate([(w - n_base) * width + to, (w[fro] - n_base) * width + n + of_place[before[fro]]])
+            keys, counts = np.unique(keys, return_counts=True)
+            ends = np.searchsorted(keys, np.arange(len(words) + 1) * width)
+            codes = (keys % width).astype(np.uint16)
+            for lo in range(0, len(words), 50_000):
+                hi = min(lo + 50_000, len(words))
+                cut = ends[lo : hi + 1]
+                packed = [x[cut[0] : cut[-1]].astype(kind) for x, kind in ((codes, np.uint16), (counts, np.uint32))]
+                lists = [
+                    pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(((cut - cut[0]) * x.itemsize).astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
+                    for x in packed
+                ]
+                cells = [pa.array(words[lo:hi]), pa.array(np.full(hi - lo, row["chunk"], np.int64)), pa.array(np.arange(lo, hi, dtype=np.int32)), pa.array(own[lo:hi].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*cells, *lists], names=["word", "chunk", "place", "own", "codes", "counts"])
+
+    rows = texts.select("chunk", "held", "lengths", "places", "words", "named")
+    return rows.mapInArrow(count, "word long, chunk long, place int, own int, codes binary, counts binary")
+
+
+def best_classes(beside: np.ndarray, own: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
+    """For each word alone, the class out of 0..classes-1 with the largest likelihood of the class bigrams.
+
+    ``beside`` has a row of counts by code for each word (see :func:`neighbours`), ``own`` the words' classes in
+    the ``table`` of class bigrams.  A word stays where no other class is better; ties go to the smallest class.
+    """
+    n, k = len(table), classes
+    words = np.arange(len(own))
+    after, before, twice = beside[:, :n], beside[:, n : 2 * n], beside[:, 2 * n]
+    inside = own < k
+    movers, at = words[inside], own[inside]  # words whose own class is one of those to choose from
+    gain = np.zeros((len(own), k))
+
+    def sides(to: np.ndarray, fro: np.ndarray, square: np.ndarray) -> None:
+        # Cells square[b, c] without the word, where c follows the word `to[c]` times.
+        logs = _xlogx(square[:k])
+        w, c = np.nonzero(to)
+        more = to[w, c]
+        cells = square[:k, c].T
+        plain = _xlogx(cells + more[:, None]) - logs[:, c].T
+        same = np.flatnonzero(c == own[w])
+        fixed = cells[same] - fro[w[same], :k]
+        mine = inside[w[same]]
+        fixed[mine, c[same][mine]] -= more[same][mine] + twice[w[same]][mine]
+        plain[same] = _xlogx(fixed + more[same, None]) - _xlogx(fixed)
+        other = np.flatnonzero((c != own[w]) & inside[w])
+        cell = cells[other, own[w[other]]]
+        plain[other, own[w[other]]] = _xlogx(cell) - _xlogx(cell - more[other])
+        some = np.flatnonzero(np.diff(w, prepend=-1))
+        if len(w):
+            gain[w[some]] += np.add.reduceat(plain, some)
+        total = np.repeat(square[:k].sum(1)[None], len(own), 0)  # a word before it counts for its row wherever the word goes
+        total[movers, at] -= to.sum(1)[inside] + twice[inside]
+        gain[:] -= _xlogx(total + (to.sum(1) + twice)[:, None]) - _xlogx(total)
+
+    sides(after, before, table)
+    sides(before, after, table.T)
+    to, fro = after[:, :k], before[:, :k]
+    cell = np.repeat(np.diagonal(table)[None, :k], len(own), 0)
+    cell[movers, at] -= to[movers, at] + fro[movers, at] + twice[inside]
+    gain += _xlogx(cell + to + fro + twice[:, None]) + _xlogx(cell) - _xlogx(cell + to) - _xlogx(cell + fro)
+    best = gain.argmax(1)
+    best[movers] = np.where(gain[movers, best[movers]] > gain[movers, at] + 1e-7, best[movers], at)
+    return best
+
+
+def chosen(rows: DataFrame, table: np.ndarray, classes: int) -> DataFrame:
+    """``chunk``, ``classes``: the classes that the words of each chunk choose, from the rows of :func:`neighbours`."""
+    width = 2 * len(table) + 1
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answers(held: pa.Table) -> pa.RecordBatch:
+            word, codes, counts = held["word"].to_numpy(), held["codes"].to_pylist(), held["counts"].to_pylist()
+            _, first, which = np.unique(word, return_index=True, return_inverse=True)
+            own, best = held["own"].to_numpy()[first], np.empty(len(first), np.int32)
+            ends = np.searchsorted(which, np.arange(len(first) + 1))
+            for lo in range(0, len(first), 256):
+                hi = min(lo + 256, len(first))
+                rows = slice(ends[lo], ends[hi])
+                flat, n = np.frombuffer(b"".join(codes[rows]), np.uint16), np.frombuffer(b"".join(counts[rows]), np.uint32)
+                of = np.repeat(which[rows] - lo, [len(c) // 2 for c in codes[rows]])
+                beside = np.bincount(of * width + flat, n, (hi - lo) * width).reshape(hi - lo, width)
+                best[lo:hi] = best_classes(beside, own[lo:hi], table, classes)
+            cells = [held["chunk"].to_numpy(), held["place"].to_numpy(), best[which]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["chunk", "place", "classes"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, batch]) if held is not None else batch
+            word = held["word"].to_numpy()
+            cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
+            if cut:
+                yield answers(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None:
+            yield answers(held)
+
+    dealt = rows.repartition("word").sortWithinPartitions("word")
+    return dictionaries(dealt.mapInArrow(choose, "chunk long, place int, classes int"), classes=np.uint16)
+
+
+def renamed(texts: DataFrame, choice: DataFrame, n_base: int, least_symbol: int, classes: int) -> DataFrame:
+    """The coded chunks with the chosen classes as their words' symbols (those of the least count are apart)."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = []
+            for old, new in zip(batch.column("named").to_pylist(), batch.column("classes").to_pylist()):
+                old = _unpacked(old, np.uint16)
+                least = (old == least_symbol) | (old >= n_base + classes)
+                named.append(_packed((n_base + _unpacked(new, np.uint16) + classes * least).astype(np.uint16)) if new is not None else _packed(old))
+            at = batch.schema.get_field_index("named")
+            yield batch.set_column(at, "named", pa.array(named, pa.binary())).drop_columns("classes")
+
+    columns = [f.split()[0] for f in _CODED.split(", ")]
+    return texts.join(choice, "chunk", "left").select(*columns, "classes").mapInArrow(name, _CODED)
+
+
+def _dropped(df: DataFrame) -> None:
+    """Removes the scratch table that ``df`` was read from: nothing after it reads it again."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def symbol_classes(bigrams: np.ndarray, totals: np.ndarray, clustered: int, classes: int) -> np.ndarray:
+    """The class of each symbol: those of the frequent words are exchanged, then come unknown, end and the bands.
+
+    After the bands a symbol may follow for each class, then another one for each class.
+    """
+    words = np.arange(_WORDS, _WORDS + clustered)
+    bands = np.arange(_WORDS + clustered, _WORDS + clustered + 2 * _BANDS)
+    unknown, end = classes, classes + 1
+    first = np.empty(len(bigrams), np.int64)
+    first[[_UNKNOWN, _END]] = unknown, end
+    first[words] = (words - _WORDS) % classes
+    first[bands] = end + 1 + (bands - bands[0]) // 2
+    first[bands[-1] + 1 :] = np.arange(len(first) - bands[-1] - 1) % classes
+    return exchange(bigrams, first, words[: int((totals[words] > 0).sum())], classes)
+
+
 class Model:
     """``classes`` of the symbols, ``transition`` log10 probabilities, ``emission``: log10 of each symbol's class total."""
 
-    def __init__(self, bigrams: np.ndarray, totals: np.ndarray, clustered: int, classes: int):
-        n = len(bigrams)
-        words = np.arange(_WORDS, _WORDS + clustered)
-        bands = np.arange(_WORDS + clustered, n)
-        # Classes: those of the words, then unknown, end and the bands.
+    def __init__(self, bigrams: np.ndarray, totals: np.ndarray, clustered: int, classes: int, own: np.ndarray | None = None):
+        bands = np.arange(_WORDS + clustered, _WORDS + clustered + 2 * _BANDS)
         unknown, end = classes, classes + 1
-        first = np.empty(n, np.int64)
-        first[[_UNKNOWN, _END]] = unknown, end
-        first[words] = (words - _WORDS) % classes
-        first[bands] = end + 1 + (bands - bands[0]) // 2
-        self.classes = exchange(bigrams, first, words[: int((totals[words] > 0).sum())], classes)
-        self.n = int(first.max()) + 1
+        self.classes = symbol_classes(bigrams, totals, clustered, classes) if own is None else own
+        self.n = end + 1 + _BANDS
         # Left out of the corpus, the first count of a band falls to the band below, and a single one to unknown.
         left_out = self.classes.copy()
         for symbol in bands[::2].tolist():
             left_out[symbol] = unknown if symbol == bands[0] else self.classes[symbol] - 1
+        left_out[bands[-1] + 1 + classes :] = end + 1 + (LEAST_COUNT - 1).bit_length() - 1
         moves = np.zeros((self.n, self.n))
         np.add.at(moves, (left_out[:, None], left_out[None, :]), bigrams)
         share = (moves.sum(0) + 1) / (moves.sum() + self.n)
@@ -281,26 +462,46 @@ def score_documents(
     power = F.col("count").bitwiseAND(F.col("count") - 1) == 0
     other = F.lit(_WORDS + clustered) + 2 * band + F.when(power, 0).otherwise(1)
     symbol = F.when(F.octet_length("word") == 0, _END).when(F.col("symbol").isNotNull(), F.col("symbol")).otherwise(other)
-    named = written(totals.join(common, "word", "left").select("word", "count", symbol.cast("int").alias("symbol")), "lm-symbols")
-    n_symbols = _WORDS + clustered + 2 * _BANDS
-    of_symbol = np.zeros(n_symbols)
-    for r in named.groupBy("symbol").agg(F.sum("count").alias("n")).collect():
-        of_symbol[r["symbol"]] = r["n"]
+    chooses = F.col("symbol").isNull() & (F.octet_length("word") > 0) & (F.col("count") >= LEAST_COUNT)
+    number = F.when(chooses, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    named = totals.join(common, "word", "left").select("word", "count", symbol.cast("int").alias("symbol"), number.alias("number"))
+    named = written(named, "lm-symbols")
 
     # An end is an end also where no training text has one.
     unseen = F.when(F.octet_length("word") == 0, _END).otherwise(_UNKNOWN)
     met = vocabulary.drop("n").join(named, "word", "left").select(
-        "chunk", "place", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("symbol", unseen).alias("symbol")
+        "chunk", "place", F.coalesce("count", F.lit(0)).alias("counts"), F.coalesce("symbol", unseen).alias("symbols"),
+        F.coalesce("number", F.lit(-1).cast("long")).alias("words"),
     )
-    texts = written(coded(chunked, dictionaries(met), n_tokens, n_words), "lm-coded")
-    bigrams = np.zeros(n_symbols * n_symbols)
-    counted = symbol_bigrams(texts, n_symbols).toPandas()
-    bigrams[counted["pair"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
-    model = Model(bigrams.reshape(n_symbols, n_symbols), of_symbol, clustered, classes)
+    # Symbols: unknown, end, frequent words and bands; then the classes of other words, and those of words of the least count.
+    n_base = _WORDS + clustered + 2 * _BANDS
+    n_symbols, least_symbol = n_base + 2 * classes, _WORDS + clustered + 2 * (LEAST_COUNT.bit_length() - 1)
+    dictionary = dictionaries(met, counts=np.int64, symbols=np.uint16, words=np.int64)
+    texts = written(coded(chunked, dictionary, n_tokens, n_words, n_base), "lm-coded")
+    for table in (chunked, totals, named):
+        _dropped(table)
+
+    def bigrams() -> np.ndarray:
+        out = np.zeros(n_symbols * n_symbols)
+        counted = symbol_bigrams(texts, n_base, n_symbols).toPandas()
+        out[counted["pair"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
+        return out.reshape(n_symbols, n_symbols)
+
+    pairs = bigrams()
+    own = symbol_classes(pairs, pairs.sum(0), clustered, classes)
+    n = classes + 2 + _BANDS
+    for _ in range(WORD_SWEEPS):
+        table = np.zeros((n, n))
+        np.add.at(table, (own[:, None], own[None, :]), pairs)
+        choice = written(chosen(neighbours(texts, n_base, own), table, classes), "lm-choice")
+        before, texts = texts, written(renamed(texts, choice, n_base, least_symbol, classes), "lm-coded")
+        _dropped(before)
+        pairs = bigrams()
+    model = Model(pairs, pairs.sum(0), clustered, classes, own)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
-            symbols, lengths = _unpacked(row["symbols"], np.uint16).astype(np.int64), np.array(row["lengths"])
+            symbols, lengths = _symbols(row, n_base), np.array(row["lengths"])
             scores = model.scores(symbols, lengths, np.array(row["emit"]))
             cells = [row["docs"], row["held"], row["lengths"], row["known"], [n_tokens] * len(scores), row["base"], scores]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names=names)

@@ -97,3 +97,40 @@ def test_model_is_a_distribution():
     mass = 10 ** m.transition[:, used]
     assert (mass.sum(1) <= 1 + 1e-9).all() and (mass.sum(1) > 0.5).all()
     assert np.allclose((10 ** m.transition).sum(1), 1)
+
+
+def test_words_choose_the_class_that_brute_force_finds():
+    """Each word alone against the likelihood of the whole table, from a class of its own or out of the choice."""
+    rng = np.random.default_rng(8)
+    bigrams = rng.poisson(rng.random((24, 24)) * 4).astype(float)
+    own = rng.integers(0, 6, 24)
+    own[:6] = np.arange(6)
+    table, beside = np.zeros((6, 6)), np.zeros((24, 13))
+    np.add.at(table, (own[:, None], own[None, :]), bigrams)
+    for w in range(24):
+        for x in range(24):
+            if x != w:
+                beside[w, own[x]] += bigrams[w, x]
+                beside[w, 6 + own[x]] += bigrams[x, w]
+        beside[w, 12] = bigrams[w, w]
+    got = class_lm.best_classes(beside, own, table, 4)
+    for w in range(6, 24):
+        reached = []
+        for b in range(4):
+            other = own.copy()
+            other[w] = b
+            reached.append(brute_likelihood(bigrams, other))
+        assert reached[got[w]] >= max(reached) - 1e-6
+
+
+def test_words_beyond_the_clustered_ones_are_classed_by_context(spark):
+    """Two kinds of words, equally frequent, take turns: only context tells them apart."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"{'ab'[k % 2]}{rng.integers(0, 60)}" for k in range(60))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [class_lm.score_documents(docs, clustered=8, classes=4, chunk_tokens=n).collect() for n in (1000, 1 << 21)]
+    assert counts(got[0]) == brute_base(rows)
+    assert np.allclose(*([r["score"] for r in sorted(x, key=lambda r: r["doc_id"])] for x in got))
+    out = [r for r in got[0] if r["held_out"]]
+    # With the kind of the next word known, a token has about 60 choices, without it about 120.
+    assert -sum(r["score"] for r in out) / sum(r["n_tokens"] for r in out) < math.log10(85)
