@@ -11,7 +11,7 @@ P(text) is the product over its words and its end of P(class | class before) * P
    frequency band of the other words (by powers of two), or the unknown word.
 3. Symbol bigrams of all training texts are counted (a bounded table: symbols squared).  The frequent
    words start in ``CLASSES`` classes and are exchanged, each in turn to the class that raises the
-   likelihood of the class bigrams most.  Bands, end and unknown are classes of their own.
+   likelihood of the class bigrams most, until none moves.  Bands, end and unknown are classes of their own.
 4. Every other word of count ``LEAST_COUNT`` or more then leaves its band for the class with the same gain.
    Its neighbours' classes are counted chunk by chunk and summed by word (one row per chunk and word is
    shuffled); tasks score the sums against the class table, and the answers go back to the chunks.  All
@@ -27,6 +27,7 @@ The driver holds the bounded bigram table and class matrix only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,6 @@ CLASSES = 64
 LEAST_COUNT = 8  # of a word that chooses its class, a power of two; rarer ones are classed by frequency band
 SMOOTHING = 50.0
 CHUNK_TOKENS = 1 << 21
-SWEEPS = 12
 WORD_SWEEPS = 2
 _UNKNOWN, _END, _WORDS = 0, 1, 2  # symbols; the bands follow the words, two each: counts that are a power of two, and others
 _BANDS = 48
@@ -201,18 +201,20 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, first: np.ndarray, movable: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(bigrams: np.ndarray, first: np.ndarray, movable: np.ndarray, classes: int, sweeps: int | None = None) -> np.ndarray:
     """Exchange clustering: the class of each symbol.
 
     ``bigrams`` counts symbol pairs, ``first`` is where the symbols start, ``movable`` those that may move
     among the classes 0..classes-1.  Each in turn goes to the class with the largest likelihood of the
-    class bigrams (ties to the smallest class), until a sweep moves none.
+    class bigrams (ties to the smallest class), until a sweep moves none, or for ``sweeps`` sweeps if given.
+    Each move raises the likelihood by more than rounding can, so it ends.
     """
     own, n = first.copy(), int(first.max()) + 1
     table = np.zeros((n, n))
     np.add.at(table, (own[:, None], own[None, :]), bigrams)
     some = np.arange(classes)
-    for _ in range(sweeps):
+    least = 1e-7 + 1e-13 * float(_xlogx(table.sum()))
+    for _ in count() if sweeps is None else range(sweeps):
         moved = False
         for w in movable:
             a, twice = own[w], bigrams[w, w]
@@ -228,9 +230,10 @@ def exchange(bigrams: np.ndarray, first: np.ndarray, movable: np.ndarray, classe
             cell = table[some, some]
             to, fro = after[:classes], before[:classes]
             gain += _xlogx(cell + to + fro + twice) + _xlogx(cell) - _xlogx(cell + to) - _xlogx(cell + fro)
-            for sums, more in ((rows.sum(1), after.sum() + twice), (cols.sum(1), before.sum() + twice)):
+            # A word before it counts for its row, and one after it for its column, wherever the word goes.
+            for sums, more in ((rows.sum(1) + fro, after.sum() + twice), (cols.sum(1) + to, before.sum() + twice)):
                 gain -= _xlogx(sums + more) - _xlogx(sums)
-            b = int(np.argmax(gain)) if gain.max() > gain[a] + 1e-7 else a
+            b = int(np.argmax(gain)) if gain.max() > gain[a] + least else a
             table[b] += after
             table[:, b] += before
             table[b, b] += twice

@@ -134,3 +134,23 @@ def test_words_beyond_the_clustered_ones_are_classed_by_context(spark):
     out = [r for r in got[0] if r["held_out"]]
     # With the kind of the next word known, a token has about 60 choices, without it about 120.
     assert -sum(r["score"] for r in out) / sum(r["n_tokens"] for r in out) < math.log10(85)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exchange_goes_on_until_no_word_moves(seed):
+    """By default, on tables that take more than a dozen sweeps; no single move raises the likelihood then."""
+    rng = np.random.default_rng(seed)
+    bigrams = rng.poisson(rng.random((400, 400)) ** 6 * 3).astype(float)
+    first = np.arange(400) % 12
+    own = class_lm.exchange(bigrams, first, np.arange(400), 12)
+    assert (class_lm.exchange(bigrams, first, np.arange(400), 12, sweeps=12) != own).any()
+    assert (class_lm.exchange(bigrams, own, np.arange(400), 12, sweeps=1) == own).all()
+    table = lambda x: np.eye(12)[x].T @ bigrams @ np.eye(12)[x]
+    f = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
+    likelihood = lambda x: f(table(x).ravel()) - f(table(x).sum(0)) - f(table(x).sum(1))
+    best = likelihood(own)
+    for w in range(0, 400, 20):
+        for b in range(12):
+            other = own.copy()
+            other[w] = b
+            assert likelihood(other) <= best + 1e-6
