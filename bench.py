@@ -1,4 +1,5 @@
-"""Bench: headline load queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
+"""Bench: headline load queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line
+(each query's figure goes to stderr as it ends).
 
 Each query runs twice; the faster run is reported (the first pays JIT and
 Python-worker start-up).  Results are written to the ``noop`` sink or to files in
@@ -85,6 +86,7 @@ def main() -> None:
             dt = time.perf_counter() - t0
             best = dt if best is None else min(best, dt)
         timings[name] = round(best, 3)
+        print(json.dumps({"query": name, "sec": timings[name]}), file=sys.stderr, flush=True)  # a run that is stopped keeps these
     n_events = events.count()
     out = {
         "metric": "total_sec",

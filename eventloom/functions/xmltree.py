@@ -24,8 +24,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RECORD_FIELDS = ["reason", "shape", "time_text", "entries", "eventdata_raw", "event_raw", "others", "body"]
-RECORD_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in RECORD_FIELDS])
+# "names" and "texts" are the map of a list record: as JSON text a very long name would not be read back.
+RECORD_FIELDS = ["reason", "shape", "time_text", "names", "texts", "eventdata_raw", "event_raw", "others", "body"]
+_TEXTS = T.ArrayType(T.StringType())
+RECORD_SCHEMA = T.StructType([T.StructField(n, _TEXTS if n in ("names", "texts") else T.StringType()) for n in RECORD_FIELDS])
 
 
 def xml_to_tree(text: str):
@@ -101,7 +103,7 @@ def full_record(xml: str) -> dict:
         del event["EventData"]
     elif isinstance(data, list):
         named = {i["@Name"]: str(i.get("#text")) for i in data if isinstance(i, dict) and "@Name" in i}
-        out |= {"shape": "list", "entries": json.dumps(named)}
+        out |= {"shape": "list", "names": list(named), "texts": list(named.values())}
         payload["Data"] = named
     else:
         out |= {"shape": "single", "eventdata_raw": json.dumps(data) if isinstance(data, dict) else data}

@@ -123,16 +123,20 @@ def _normalize_text(e: Column) -> Column:
 _TAGS = "|".join(["Event", "System", *[n for n, _, _ in SYSTEM_ELEMENTS], "EventData", "Data", "ComplexData", "Binary"])
 _ATTRIBUTES = "|".join(sorted({"xmlns", "Name", *[a for _, attrs, _ in SYSTEM_ELEMENTS for a in attrs]}))
 
+# Fixed value: the longest attribute that Spark's XML reader takes, in characters.
+ATTRIBUTE_LIMIT = 8 * 65536
+
 # A plain record: an optional XML declaration, the Event element, blanks.
 PLAIN_PATTERN = r"(?s)\A\x{FEFF}?\s*(?:<\?xml\s[^>]*\?>\s*)?<Event[\s>].*</Event\s*>\s*\z"
 
 # What the typed parse does not see: a comment, CDATA or instruction; an element or attribute of another
-# name or letter case; text beside child elements.
+# name or letter case; text beside child elements.  Alternatives start at a tag and their runs are possessive
+# where they could be cut in many ways: the time follows the length, whatever the text (a raw ">" included).
 UNSEEN_PATTERN = (
     rf"<(?!/?(?:{_TAGS})[\s/>]|\?xml\s)"
-    rf"|<[^<>?]*?\s(?!(?:{_ATTRIBUTES})\s*=)[^\s=<>\"'/]+\s*="
-    r"|>[^<]*[^<\s][^<]*<[^/]"
-    r"|(?:</[^<>]*|/)>\s*[^<\s]"
+    rf"|<[^<>?]*?\s(?!(?:{_ATTRIBUTES})\s*+=)[^\s=<>\"'/]++\s*+="
+    r"|<[^<>]*+>\s*+[^<\s][^<]*+<[^/]"
+    r"|(?:</[^<>]*+|/)>\s*+[^<\s]"
 )
 
 
@@ -226,7 +230,11 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     # Staged projections: each expensive value is computed once and referred to
     # by name afterwards (Catalyst does not merge projections that would repeat it).
     malformed = e.isNull() | e["_corrupt_record"].isNotNull()
-    staged = df.withColumn("_tree_xml", F.when(~malformed & ~seen_completely(e, F.col(xml_col)), F.col(xml_col)))
+    # The completeness check reads the whole record: a Generate of its own keeps it to one run, whoever refers to it.
+    # A record long enough to hold an attribute beyond the typed parse's limit is malformed only if the full tree says so.
+    text = F.col(xml_col)
+    unseen = F.when(F.when(malformed, F.length(text) > ATTRIBUTE_LIMIT).otherwise(~seen_completely(e, text)), text)
+    staged = df.select("*", F.explode(F.array(unseen)).alias("_tree_xml"))
     # NULL input for records that were seen completely: they cost no Python parse.
     staged = staged.withColumn("_py", F.when(F.col("_tree_xml").isNotNull(), full_records(F.col("_tree_xml")))).drop("_tree_xml")
     py = F.col("_py")
@@ -238,7 +246,7 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
     own = F.when((ed_n > 1) | ((ed_n == 1) & ed_text_only), F.lit("shape"))
     reason = (
-        F.when(malformed, F.lit("xml"))
+        F.when(malformed & py.isNull(), F.lit("xml"))
         .when(py["reason"].isin("xml", "root"), py["reason"])
         .when(F.col("event_time").isNull(), F.lit("timestamp"))
         .otherwise(F.when(py.isNotNull(), py["reason"]).otherwise(own))

@@ -170,7 +170,7 @@ def reshape_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
         {
             "@timestamp": F.when(accepted & (shape != "promote"), iso),
             "event_data": F.when(
-                shape == "list", F.coalesce(F.from_json(py["entries"], "map<string,string>"), entries_map(F.col("_entries")))
+                shape == "list", F.coalesce(F.map_from_arrays(py["names"], py["texts"]), entries_map(F.col("_entries")))
             ),
             "eventdata_raw": F.when(shape == "single", F.coalesce(py["eventdata_raw"], single_raw_native(d0))),
             "event_raw": F.when(shape == "nodata", F.coalesce(py["event_raw"], F.col("_nodata_native"))),
