@@ -32,7 +32,7 @@ def stages(spark, docs, rows):
 
     out = pipeline.near_dedup(spark, docs, SF_SMALL).cache()
     assert out.columns == docs.columns
-    stay = {d for d, _, c in brute_components(rows) if d is None or d == c}
+    stay = {d for d, _, c in brute_components(rows, pipeline.SIMILARITY) if d is None or d == c}
     assert Counter(r["doc_id"] for r in out.collect()) == Counter(r[0] for r in rows if r[0] in stay)
     docs, rows = out, [tuple(r) for r in out.collect()]
 

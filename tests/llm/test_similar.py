@@ -23,7 +23,7 @@ def shingle_set(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(rows):
+def brute_components(rows, similarity=85):
     """Per row (id, set size, component): all pairs on exact sets, then union-find."""
     sets = [(d, shingle_set(t)) for d, t, *_ in rows]
     root = {d: d for d, _ in sets}
@@ -35,7 +35,7 @@ def brute_components(rows):
 
     for i, (a, s) in enumerate(sets):
         for b, t in sets[:i]:
-            if a is not None and b is not None and s and t and 100 * len(s & t) >= 85 * len(s | t):
+            if a is not None and b is not None and s and t and 100 * len(s & t) >= similarity * len(s | t):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return Counter((d, len(s), None if d is None else find(d)) for d, s in sets)
