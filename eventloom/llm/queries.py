@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .class_lm import score_documents
+from .cover_codes import vector_codes
+from .importance import importance_resample
 from .langid import identify_languages
 from .lines import line_dedup
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
+from .quality import quality_scores
 from .sharding import shard_documents
 from .stream_dedup import stream_dedup
 from .token_files import id_checksums, read_token_files, write_token_files
@@ -70,19 +73,69 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
 
+def op11_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    out = importance_resample(_documents(spark, sf_dir), target)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_dedup, op2_exact_topk, op3_language_id, op4_feistel_shards, op5_line_dedup, op6_best_fit_packing,
-        op7_token_files, op8_stream_dedup, op9_class_lm, op10_temperature_mixing,
+        op7_token_files, op8_stream_dedup, op9_class_lm, op10_temperature_mixing, op11_quality_gam, op12_cover_codes, op13_importance_resampling,
     )
 }
 
 # Fixed values of the rules, as SQL text.
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _codes_sql(rounds: int) -> str:
+    """Lloyd rounds one after the other, each an assignment of all parts and the means of what was assigned."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+          SELECT vec_id, part, p.x, min(CAST(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 16 + entry) AS least
+          FROM p JOIN b{i} b USING (part) GROUP BY vec_id, part, p.x
+        )""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+          SELECT part, entry, list(m ORDER BY pos) AS x FROM (
+            SELECT part, entry, pos, CAST(floor(CAST(sum(c) AS DOUBLE) / count(*)) AS BIGINT) AS m
+            FROM (SELECT part, least % 16 AS entry, unnest(x) AS c, unnest(range(len(x))) AS pos FROM a{i}) GROUP BY part, entry, pos
+          ) GROUP BY part, entry
+        ), b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (part, entry))""")
+    return f"""
+        WITH v AS MATERIALIZED (
+          SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS MATERIALIZED (
+          SELECT vec_id, part, w[part * (len(w) // 8) + 1:(part + 1) * (len(w) // 8)] AS x FROM v, (SELECT unnest(range(8)) AS part)
+        ), b0 AS MATERIALIZED (
+          SELECT part, entry, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < 16) USING (vec_id)
+        ), {", ".join(steps)},
+        c AS (
+          SELECT vec_id, string_agg(format('{{:02x}}', least % 16), '' ORDER BY part) AS code, CAST(sum(least // 16) AS BIGINT) AS error
+          FROM a{rounds} GROUP BY vec_id
+        ), h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS h FROM b{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+        FROM c JOIN v USING (vec_id), h"""
+
+
 ORACLE_SQL = {
+    "op12_cover_codes": _codes_sql(6),
     "op1_minhash_dedup": rf"""
         WITH RECURSIVE w AS (
           SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS t FROM documents
@@ -136,4 +189,37 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
           doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    # The checksum byte by byte, by the table that its polynomial makes.
+    "op13_importance_resampling": rf"""
+        WITH tab AS (
+          SELECT list_transform(range(256), lambda n: list_reduce(
+            [n] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+        ), w AS (
+          SELECT 0 AS aim, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_RUNS}') AS w FROM documents
+          UNION ALL SELECT 1, NULL, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_RUNS}') FROM benchmark
+        ), f AS (
+          SELECT aim, doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM w
+        ), n AS (SELECT aim, doc_id, f, count(*) AS n FROM f GROUP BY ALL),
+        c AS (
+          SELECT f, xor(4294967295, list_reduce(
+            [4294967295] || list_transform(range(1, strlen(f) + 1), lambda i: CAST('0x' || substr(hex(f), 2 * i - 1, 2) AS BIGINT)),
+            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 10000 AS bucket
+          FROM (SELECT DISTINCT f FROM n), tab
+        ), b AS (
+          SELECT bucket, coalesce(sum(n) FILTER (aim = 0), 0) AS s, coalesce(sum(n) FILTER (aim = 1), 0) AS t FROM n JOIN c USING (f) GROUP BY bucket
+        ), g AS (
+          SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (sum(s) OVER () + 10000) / ((CAST(s AS DOUBLE) + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+          FROM b
+        ), d AS (
+          SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / sum(n)) AS BIGINT) AS weight
+          FROM n JOIN c USING (f) JOIN g USING (bucket) WHERE aim = 0 GROUP BY doc_id
+        ), r AS (
+          SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS enough,
+            coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+          FROM w LEFT JOIN d USING (doc_id) WHERE aim = 0
+        ), o AS (
+          SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM r WHERE enough
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+        FROM r LEFT JOIN o USING (doc_id)""",
 }
