@@ -10,29 +10,34 @@ so the parser and the reshaping are really tested.  All outputs are flat
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom import EventLoad
-from eventloom.fixtures import documents_as_events, events_as_xml, write_event_chunks, write_event_export
+from eventloom import EventLoad, load_events
+from eventloom.fixtures import documents_as_events, events_as_xml, write_cut_exports, write_event_chunks, write_event_export
 from eventloom.functions.jsontext import json_str
 from eventloom.operators.parse import parse_events
 from eventloom.operators.quarantine import accepted_events, reject_summary, rejected_events
 from eventloom.plans.batches import assign_batches, load_report
 from eventloom.plans.load import prepare_events
 from eventloom.session import ensure_checkpoint_dir, scratch_path
-from eventloom.sinks.bulk import bulk_lines
-from eventloom.sinks.table import append_events, clear_event_table
-from eventloom.sources.event_files import scan_event_files
-from eventloom.sources.xml_records import scan_event_xml
+from eventloom.sinks.bulk import bulk_files, bulk_lines, start_bulk_push
+from eventloom.sinks.table import append_events, clear_event_table, lookup_events, store_events
+from eventloom.sources.event_files import scan_event_files, stream_event_files
+from eventloom.sources.ranges import write_file
+from eventloom.sources.xml_records import scan_event_xml, stream_event_xml
 
 INDEX = "hostlogs"
 METADATA = {"source": "sf", "run": 1}
 BATCH_SIZE = 500
 CHUNK_BYTES = 4096
+PER_FILE = 500  # F6
+LOOKUP_USER = "7"
+_RECORD_ID = r"<EventRecordID>(\d+)</EventRecordID>"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,6 +302,117 @@ def q_event_table(spark, sf_dir):
     return days.withColumn("cleared", F.lit(int(not spark.catalog.tableExists(name))).cast("long"))
 
 
+def q_scan_cut_files(spark, sf_dir):
+    """F6, files cut inside their last record, read by byte ranges: that record is rejected, all others load."""
+    path = scratch_path(spark, "cut-exports")
+    write_cut_exports(events_as_xml(_events(spark, sf_dir)), path, PER_FILE)
+    loaded = prepare_events(scan_event_xml(spark, path), index=INDEX, metadata=METADATA)
+    return loaded.select(F.regexp_extract("xml", _RECORD_ID, 1).cast("long").alias("event_id"), "reason", "shape")
+
+
+def _streamed(prepared: DataFrame, name: str) -> DataFrame:
+    """All that a stream of prepared records gives, by its outcome."""
+    spark, out = prepared.sparkSession, scratch_path(prepared.sparkSession, name)
+    rows = prepared.select(F.regexp_extract("xml", _RECORD_ID, 1).cast("long").alias("event_id"), "reason", "shape")
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{out}-log").option("path", out)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def q_stream_cut_files(spark, sf_dir):
+    """S2 on a stream: F6 by (file, length) offsets; a file cut inside its last record gives one reject for it."""
+    path = scratch_path(spark, "cut-exports")
+    write_cut_exports(events_as_xml(_events(spark, sf_dir)), path, PER_FILE)
+    return _streamed(prepare_events(stream_event_xml(spark, path), index=INDEX, metadata=METADATA), "stream-records")
+
+
+def q_stream_event_chunks(spark, sf_dir):
+    """S1 on a stream: F5 by (file, chunk) offsets."""
+    path = scratch_path(spark, "event-chunks")
+    write_event_chunks(events_as_xml(_events(spark, sf_dir)), path, CHUNK_BYTES)
+
+    def decode(header: bytes, chunks: bytes):
+        for lo in range(0, len(chunks), CHUNK_BYTES):
+            yield chunks[lo : lo + CHUNK_BYTES].decode().rstrip()
+
+    files = stream_event_files(spark, path, decode, CHUNK_BYTES, CHUNK_BYTES, path_glob_filter="*.txt")
+    return _streamed(prepare_events(files, index=INDEX, metadata=METADATA), "stream-chunks")
+
+
+def q_push_event_stream(spark, sf_dir):
+    """K2 on a stream: every loaded record's lines as they were handed to ``send``, with no request above its size."""
+    path, out = scratch_path(spark, "event-export"), scratch_path(spark, "pushed")
+    write_event_export(events_as_xml(_events(spark, sf_dir)), path)
+
+    def send(lines):
+        # Named by its content: a request that a repeated task sends again is the same file.
+        text = "\n".join(x.replace("\n", "\t") for x in lines)
+        write_file(f"{out}/{hashlib.sha256(text.encode()).hexdigest()}-{len(lines)}.txt", text.encode())
+
+    prepared = prepare_events(stream_event_xml(spark, path + "/*.txt"), index=INDEX, metadata=METADATA)
+    start_bulk_push(prepared, send, f"{out}-log", batch_size=BATCH_SIZE, available_now=True).awaitTermination()
+    rows = spark.read.schema("value string").text(out).withColumn("file", F.col("_metadata.file_name"))
+    size = F.regexp_extract("file", r"-(\d+)\.txt", 1).cast("long")
+    rid = F.regexp_extract("value", r'"EventRecordID": "(\d+)"', 1).cast("long")
+    return rows.select(rid.alias("event_id"), F.translate("value", "\t", "\n").alias("line"), _flag(size <= BATCH_SIZE).alias("fits"))
+
+
+def q_load_once_report(spark, sf_dir):
+    """K4 + E7: the counts of a load by outcome, taken by the job that wrote it."""
+    records = events_as_xml(_events(spark, sf_dir))
+    load = load_events(spark, records, index=INDEX, metadata=METADATA, sink=bulk_files(scratch_path(spark, "bulk")))
+    report = load.report
+    rows = [("records", "all", report.records), ("records", "loaded", report.loaded)]
+    rows += [("shape", k, n) for k, n in report.shapes.items()] + [("reason", k, n) for k, n in report.reasons.items()]
+    return spark.createDataFrame(rows, "kind string, name string, n long")
+
+
+def _stored(spark: SparkSession, sf_dir: str, store, read) -> DataFrame:
+    """What ``read(table)`` gives of a table that ``store(load, table)`` filled; the table is dropped."""
+    name = f"eventloom_{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(spark)
+    try:
+        store(EventLoad(_prepared(spark, sf_dir)), name)
+        return read(name).checkpoint()
+    finally:
+        clear_event_table(spark, name)
+
+
+def q_quarantine_table(spark, sf_dir):
+    """E1 + K5: loaded and rejected records in one table from one write, read back by SQL."""
+    loaded_id = "coalesce(Event.System.EventRecordID, System.EventRecordID)"
+    return _stored(
+        spark, sf_dir, lambda load, name: store_events(load, name, keep=("event_id", "xml")),
+        lambda name: spark.sql(
+            f"SELECT CAST({loaded_id} AS BIGINT) AS event_id, status, shape, reason, CAST(event_date AS STRING) AS event_date FROM {name} WHERE status = 'loaded' "
+            f"UNION ALL SELECT event_id, status, shape, reason, NULL FROM {name} WHERE status = 'rejected' AND xml LIKE '<Event %'"
+        ),
+    )
+
+
+def q_lookup_stored_field(spark, sf_dir):
+    """T8b on a stored table: the records of one user by the field's own column."""
+    return _stored(
+        spark, sf_dir, lambda load, name: append_events(load, name, lookup=("user", "type")),
+        lambda name: lookup_events(spark, name, "user", LOOKUP_USER).select(
+            F.col("Event.System.EventRecordID").cast("long").alias("event_id"), F.col("lookup_user").alias("user"), F.col("lookup_type").alias("type")
+        ),
+    )
+
+
+def q_event_tree(spark, sf_dir):
+    """T1 + T15: an element and an attribute that the typed columns do not know, read by path from the record's tree."""
+    child = F.concat(F.lit('<Custom Code="'), F.col("event_id") % 9, F.lit('"><Deep>d'), F.col("event_id"), F.lit("</Deep></Custom></System>"))
+    records = events_as_xml(_events(spark, sf_dir)).withColumn("xml", F.replace("xml", F.lit("</System>"), child))
+    load = accepted_events(prepare_events(records, index=INDEX, metadata=METADATA, tree=True))
+
+    def read(path: str) -> F.Column:
+        both = [F.variant_get("event_tree", f"$.{head}System.{path}", "string") for head in ("Event.", "")]
+        return F.coalesce(*both)
+
+    return load.select("event_id", read("Custom['@Code']").alias("code"), read("Custom.Deep").alias("deep"), read("EventID").alias("event_code"))
+
+
 try:  # the training-data operators are a part of their own that may be absent
     import corpus_pipeline as _pipeline
     from eventloom.llm.queries import ORACLE_SQL as _LLM_SQL
@@ -339,6 +455,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_event_chunks": q_scan_event_chunks,
     "reject_root": q_reject_root,
     "event_table": q_event_table,
+    "scan_cut_files": q_scan_cut_files,
+    "stream_cut_files": q_stream_cut_files,
+    "stream_event_chunks": q_stream_event_chunks,
+    "push_event_stream": q_push_event_stream,
+    "load_once_report": q_load_once_report,
+    "quarantine_table": q_quarantine_table,
+    "lookup_stored_field": q_lookup_stored_field,
+    "event_tree": q_event_tree,
 }
 
 
@@ -403,6 +527,8 @@ WITH b AS (
 
 _META = '"meta": {"source": "sf", "run": 1}'
 
+_CUT_REASON = f"CASE WHEN event_id % {PER_FILE} = {PER_FILE - 1} THEN 'xml' ELSE reason END"
+
 _ORACLE_TAILS = {
     "scan_event_xml": "SELECT event_id, reason, shape FROM f1",
     "parse_event_fields": """
@@ -491,6 +617,30 @@ _ORACLE_TAILS = {
         SELECT strftime(t, '%Y-%m-%d') AS event_date, shape, 2 * COUNT(*) AS n,
           strftime(MAX(t), '%Y-%m-%d %H:%M:%S.%f') AS last_time, CAST(1 AS BIGINT) AS typed, CAST(1 AS BIGINT) AS cleared
         FROM f1 WHERE reason IS NULL GROUP BY 1, 2""",
+    "scan_cut_files": f"""
+        SELECT event_id, {_CUT_REASON} AS reason, CASE WHEN {_CUT_REASON} IS NULL THEN shape END AS shape FROM f1""",
+    "stream_cut_files": f"""
+        SELECT event_id, {_CUT_REASON} AS reason, CASE WHEN {_CUT_REASON} IS NULL THEN shape END AS shape FROM f1""",
+    "stream_event_chunks": "SELECT event_id, reason, shape FROM f1",
+    "push_event_stream": f"""
+        SELECT event_id, CAST(1 AS BIGINT) AS fits,
+          '{{"index": {{"_index": "hostlogs", "_type": "hostlogs"}}}}' || chr(10) || body || ', {_META}}}' AS line
+        FROM docs2 WHERE reason IS NULL""",
+    "load_once_report": """
+        SELECT 'records' AS kind, 'all' AS name, COUNT(*) AS n FROM f1
+        UNION ALL SELECT 'records', 'loaded', COUNT(*) FROM f1 WHERE reason IS NULL
+        UNION ALL SELECT 'shape', shape, COUNT(*) FROM f1 WHERE reason IS NULL GROUP BY shape
+        UNION ALL SELECT 'reason', reason, COUNT(*) FROM f1 WHERE reason IS NOT NULL GROUP BY reason""",
+    "quarantine_table": """
+        SELECT event_id, CASE WHEN reason IS NULL THEN 'loaded' ELSE 'rejected' END AS status, shape, reason,
+          CASE WHEN reason IS NULL THEN strftime(t, '%Y-%m-%d') END AS event_date
+        FROM f1""",
+    "lookup_stored_field": f"""
+        SELECT event_id, uid AS "user", CASE WHEN k = 0 THEN event_type END AS "type"
+        FROM f1 WHERE shape = 'list' AND uid = '{LOOKUP_USER}'""",
+    "event_tree": """
+        SELECT event_id, CAST(event_id % 9 AS VARCHAR) AS code, 'd' || CAST(event_id AS VARCHAR) AS deep, CAST(event_id % 5 AS VARCHAR) AS event_code
+        FROM f1 WHERE reason IS NULL""",
     "load_report": f"""
         SELECT batch, COUNT(*) AS n FROM (
           SELECT (ROW_NUMBER() OVER (ORDER BY event_id) - 1) // {BATCH_SIZE} AS batch FROM f1 WHERE reason IS NULL

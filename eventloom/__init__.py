@@ -9,6 +9,6 @@ from pyspark import cloudpickle as _cloudpickle
 # On a cluster, passing the package with --py-files works as well.
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
-from .plans.load import DEFAULT_BATCH_SIZE, EventLoad, load_events, prepare_events  # noqa: E402
+from .plans.load import DEFAULT_BATCH_SIZE, EventLoad, LoadReport, load_events, prepare_events  # noqa: E402
 
-__all__ = ["DEFAULT_BATCH_SIZE", "EventLoad", "load_events", "prepare_events"]
+__all__ = ["DEFAULT_BATCH_SIZE", "EventLoad", "LoadReport", "load_events", "prepare_events"]

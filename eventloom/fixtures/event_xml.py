@@ -128,3 +128,15 @@ def write_event_chunks(xml_df: DataFrame, path: str, chunk_bytes: int) -> None:
             yield pd.DataFrame({"value": [c.decode() for c in chunks]})
 
     xml_df.select("xml").mapInPandas(frame, "value string").write.text(path)
+
+
+def write_cut_exports(xml_df: DataFrame, path: str, per_file: int) -> None:
+    """export files of the records ``per_file * k <= event_id < per_file * (k + 1)``, in order, each cut inside its last one.
+
+    The record of the highest possible id in a file has no closing tag and nothing follows it.
+    """
+    last = F.col("event_id") % per_file == per_file - 1
+    text = F.when(last, F.regexp_replace("xml", "</Event>$", "")).otherwise(F.col("xml"))
+    rows = xml_df.select("event_id", F.expr(f"event_id div {int(per_file)}").alias("file"), text.alias("value"))
+    rows = rows.repartition("file").sortWithinPartitions("file", "event_id")
+    rows.select("file", "value").write.partitionBy("file").text(path)

@@ -108,6 +108,16 @@ def document_json(df: DataFrame) -> DataFrame:
     return df.withColumn("document", F.when(F.col("_doc_body").isNotNull(), doc))
 
 
+def document_tree(df: DataFrame) -> DataFrame:
+    """T1 + T15 as a value: ``event_tree``, the record's document (without the stamps) as VARIANT; needs the body.
+
+    Whatever the record holds can be read by path (``variant_get(event_tree, '$.Event.System.Any.Thing', 'string')``);
+    all leaves are text.  NULL for a rejected record, and for one beyond the size of a VARIANT.
+    """
+    tree = F.try_parse_json(F.concat(F.lit("{"), F.col("_doc_body"), F.lit("}")))
+    return df.withColumn("event_tree", F.when(F.col("_doc_body").isNotNull(), tree))
+
+
 def bulk_source_json() -> Column:
     """JSON text the destination stores for one record: the document without ``_index`` / ``_type``."""
     src = F.concat(

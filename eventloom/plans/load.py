@@ -11,10 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.document import DEFAULT_INDEX, document_body, document_json, normalize_metadata, stamp_destination
+from ..operators.document import DEFAULT_INDEX, document_body, document_json, document_tree, normalize_metadata, stamp_destination
 from ..operators.parse import PARSED, classify_events, parse_events
 from ..operators.quarantine import accepted_events, rejected_events
 from ..operators.shape import reshape_events
@@ -25,8 +25,11 @@ DEFAULT_BATCH_SIZE = 500
 # Columns of the result; an input column of one of these names is an error, not silently replaced.
 OUTPUTS = [
     "reason", "shape", "time_text", "event_time", "@timestamp", "event_data", "eventdata_raw", "event_raw", "other_json",
-    "Event", "System", "_index", "_type", "meta", "document", "_doc_body", "_meta_json",
+    "Event", "System", "_index", "_type", "meta", "document", "event_tree", "_doc_body", "_meta_json",
 ]
+# The outcomes of a record.
+REASONS = ["xml", "root", "timestamp", "shape"]
+SHAPES = ["list", "single", "nodata", "promote"]
 # Settled before any document is built.
 OUTCOME = [PARSED, "_py", "_time_text", "event_time", "reason", "shape"]
 INTERNAL = [PARSED, "_py", "_doc_system", "_iso"]
@@ -43,6 +46,7 @@ def prepare_events(
     index: str = DEFAULT_INDEX,
     metadata: Any = None,
     min_partitions: int | None = None,
+    tree: bool = False,
 ) -> DataFrame:
     """All records with their outcome: the input columns plus
 
@@ -50,7 +54,9 @@ def prepare_events(
     (TIMESTAMP_NTZ), ``@timestamp``, ``event_data``, ``eventdata_raw``,
     ``event_raw``, ``other_json``, ``Event`` / ``System`` structs, ``_index``,
     ``_type``, ``meta`` (VARIANT), ``document`` (JSON text) and the document parts
-    ``_doc_body`` / ``_meta_json`` used by the sinks.
+    ``_doc_body`` / ``_meta_json`` used by the sinks.  With ``tree``, ``event_tree``
+    (VARIANT) holds everything of a loaded record, elements and attributes that the typed
+    columns do not know included, to be read by path.
     """
     taken = {c.lower() for c in df.columns} & {c.lower() for c in [*OUTPUTS, *INTERNAL]}
     if taken:
@@ -64,6 +70,7 @@ def prepare_events(
     out = document_body(out)
     out = stamp_destination(out, index, metadata)
     out = document_json(out)
+    out = document_tree(out) if tree else out
     out = out.withColumnRenamed("_time_text", "time_text").drop(*INTERNAL)
     return out
 
@@ -84,11 +91,22 @@ def _behind_generate(df: DataFrame, cols: list[str]) -> DataFrame:
     return wrapped.select(*[F.col(f"`{c}`") for c in keep], *[F.col("_out")[c].alias(c) for c in cols])
 
 
+@dataclass(frozen=True)
+class LoadReport:
+    """What a load did: how many records it saw and loaded, the loaded ones by shape, the others by reason."""
+
+    records: int
+    loaded: int
+    shapes: dict[str, int]
+    reasons: dict[str, int]
+
+
 @dataclass
 class EventLoad:
     """Both outputs of one parse; ``all`` holds every record with its outcome."""
 
     all: DataFrame
+    observation: Observation | None = None
 
     @property
     def accepted(self) -> DataFrame:
@@ -97,6 +115,28 @@ class EventLoad:
     def rejected(self, keep: tuple[str, ...] = ("xml",)) -> DataFrame:
         return rejected_events(self.all, keep)
 
+    def observed(self, df: DataFrame) -> DataFrame:
+        """``df``, all records with ``reason`` and ``shape``, to be written: the job that writes it also counts for the report.
+
+        Put behind a shuffle, if there is one: what a lost executor makes run again before it would count twice.
+        """
+        self.observation = Observation()
+        counts = [F.count(F.lit(1)).alias("records"), F.count_if(F.col("reason").isNull()).alias("loaded")]
+        counts += [F.count_if(F.col("shape") == s).alias(f"shape {s}") for s in SHAPES]
+        counts += [F.count_if(F.col("reason") == r).alias(f"reason {r}") for r in REASONS]
+        return df.observe(self.observation, *counts)
+
+    @property
+    def report(self) -> LoadReport | None:
+        """K4 + E7 of the last write by a sink of :mod:`eventloom.sinks`, without another pass; None before."""
+        if self.observation is None:
+            return None
+        n = self.observation.get
+        return LoadReport(
+            n["records"], n["loaded"],
+            {s: n[f"shape {s}"] for s in SHAPES if n[f"shape {s}"]}, {r: n[f"reason {r}"] for r in REASONS if n[f"reason {r}"]},
+        )
+
 
 def load_events(
     spark: SparkSession,
@@ -107,21 +147,23 @@ def load_events(
     sink: Any = None,
     xml_col: str = "xml",
     min_partitions: int | None = None,
+    tree: bool = False,
 ) -> EventLoad:
     """Load event records.
 
     ``source`` is a DataFrame with an XML column, or a path / glob of exported
     event XML files (read with :func:`eventloom.sources.scan_event_xml`).
     ``sink``, when given, is called as ``sink(load, batch_size)``: one of
-    ``bulk_files(path)``, ``bulk_push(send)`` and ``event_table(name)`` of
-    :mod:`eventloom.sinks`, or the caller's own; the prepared :class:`EventLoad` is
-    returned either way.
+    ``bulk_files(path)``, ``bulk_push(send)``, ``event_table(name)`` and ``event_store(name)``
+    of :mod:`eventloom.sinks`, or the caller's own; the prepared :class:`EventLoad` is
+    returned either way.  After one of these sinks its ``report`` has the counts of the
+    records, taken by the very job that wrote them.
     """
     if isinstance(source, str):
         from ..sources.xml_records import scan_event_xml
 
         source = scan_event_xml(spark, source)
-    load = EventLoad(prepare_events(source, xml_col, index, metadata, min_partitions))
+    load = EventLoad(prepare_events(source, xml_col, index, metadata, min_partitions, tree))
     if sink is not None:
         sink(load, batch_size)
     return load

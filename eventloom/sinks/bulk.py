@@ -15,6 +15,8 @@ each task; nothing is gathered on the driver or in one task.
   The reference ends a load on a failed request too; its accidental retry of the
   whole remainder as one final request (a swallowed exit) is not reproduced.
   The commit gets every task's request sizes (the load report).
+* :func:`start_bulk_push` does the same on a stream, an epoch at a time: a failing ``send``
+  fails the epoch and ends the query, which goes on from there when it is started again.
 
 No ``_id`` is sent, so a re-run adds the records again (at-least-once, K7), as
 in the reference.
@@ -30,10 +32,13 @@ from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.document import bulk_action_json, bulk_source_json
+from ..operators.quarantine import accepted_events
 from ..plans.load import EventLoad
+from ..sources.ranges import check_readable, file_exists, write_file
 
 # The default number of requests in a file: 200,000 records with the default request size.
 REQUESTS_PER_FILE = 400
@@ -51,7 +56,7 @@ def write_bulk_files(
 
     With ``batch_size`` <= 0 a task's records are one request in one file.
     """
-    df = load.all
+    df = load.observed(load.all)
     rejected_json = F.to_json(F.struct(*[F.col(c) for c in _input_columns(df)], F.col("reason")))
     value = F.when(F.col("reason").isNull(), F.concat(bulk_action_json(), F.lit("\n"), bulk_source_json())).otherwise(
         rejected_json
@@ -86,7 +91,7 @@ def bulk_files(path: str, mode: str = "append", requests_per_file: int = REQUEST
 def _input_columns(df: DataFrame) -> list[str]:
     derived = {
         "reason", "shape", "time_text", "event_time", "@timestamp", "event_data", "eventdata_raw", "event_raw",
-        "other_json", "Event", "System", "_index", "_type", "meta", "document", "_doc_body", "_meta_json",
+        "other_json", "Event", "System", "_index", "_type", "meta", "document", "event_tree", "_doc_body", "_meta_json",
     }
     return [c for c in df.columns if c not in derived]
 
@@ -113,26 +118,13 @@ def push_bulk(
     task fails for good the load fails and ``on_abort(finished)`` runs there instead, with
     the number of tasks whose requests were all sent.
     """
-    size = batch_size
-
     class _Writer(DataSourceWriter):
         def write(self, iterator):
-            requests: Counter[int] = Counter()
-            batch: list[str] = []
-            for row in iterator:
-                batch.append(row[0])
-                if size > 0 and len(batch) == size:
-                    send(batch)
-                    requests[len(batch)] += 1
-                    batch = []
-            if batch:
-                send(batch)
-                requests[len(batch)] += 1
-            return BatchReport(dict(requests))
+            return send_requests(iterator, send, batch_size)
 
         def commit(self, messages):
             if on_commit is not None:
-                on_commit(dict(sum((Counter(m.requests) for m in messages if m is not None), Counter())))
+                on_commit(all_requests(messages))
 
         def abort(self, messages):
             if on_abort is not None:
@@ -153,10 +145,91 @@ def push_bulk(
 
     spark = load.all.sparkSession
     spark.dataSource.register(_Source)
-    lines = bulk_lines(load.accepted).select("line")
+    lines = bulk_lines(accepted_events(load.observed(load.all))).select("line")
     lines.write.format(name).mode("append").save()
 
 
+def send_requests(rows: Iterator, send: Callable[[list[str]], None], size: int) -> BatchReport:
+    """One task's rows through ``send``, in requests of ``size`` and a short last one."""
+    requests: Counter[int] = Counter()
+    batch: list[str] = []
+    for row in rows:
+        batch.append(row[0])
+        if size > 0 and len(batch) == size:
+            send(batch)
+            requests[len(batch)] += 1
+            batch = []
+    if batch:
+        send(batch)
+        requests[len(batch)] += 1
+    return BatchReport(dict(requests))
+
+
+def all_requests(messages: list[BatchReport | None]) -> dict[int, int]:
+    """The number of requests of each size over all tasks."""
+    return dict(sum((Counter(m.requests) for m in messages if m is not None), Counter()))
+
+
+def start_bulk_push(
+    prepared: DataFrame,
+    send: Callable[[list[str]], None],
+    checkpoint_location: str,
+    batch_size: int = 500,
+    on_commit: Callable[[int, dict[int, int]], None] | None = None,
+    on_abort: Callable[[int, int], None] | None = None,
+    available_now: bool = False,
+    name: str | None = None,
+) -> StreamingQuery:
+    """K2 + K3 + K4 on a stream of prepared records: push each epoch's loaded records in requests of ``batch_size``.
+
+    ``on_commit(epoch, requests)`` runs when all of an epoch's requests were sent, ``on_abort(epoch, finished)`` when a
+    task failed for good.  A mark in the checkpoint folder tells epochs that were committed: should one be run
+    again after a stop, it sends nothing and ``on_commit`` is not called anew.  An epoch that did not get that far is
+    sent again (at-least-once, K7).
+    """
+    check_readable([checkpoint_location])
+    marks = f"{checkpoint_location.rstrip('/')}/eventloom-sent"
+
+    class _Writer(DataSourceStreamWriter):
+        def write(self, iterator):
+            from pyspark import TaskContext
+
+            epoch = TaskContext.get().getLocalProperty("streaming.sql.batchId")
+            if file_exists(f"{marks}/{epoch}"):
+                return BatchReport({})
+            return send_requests(iterator, send, batch_size)
+
+        def commit(self, messages, batchId):
+            if file_exists(f"{marks}/{batchId}"):
+                return
+            if on_commit is not None:
+                on_commit(batchId, all_requests(messages))
+            write_file(f"{marks}/{batchId}", b"")
+
+        def abort(self, messages, batchId):
+            if on_abort is not None:
+                on_abort(batchId, sum(m is not None for m in messages))
+
+    source = f"eventloom_push_{uuid.uuid4().hex[:12]}"
+
+    class _Source(DataSource):
+        @classmethod
+        def name(cls):
+            return source
+
+        def schema(self):
+            return "line string"
+
+        def streamWriter(self, schema, overwrite):
+            return _Writer()
+
+    prepared.sparkSession.dataSource.register(_Source)
+    writer = bulk_lines(accepted_events(prepared)).select("line").writeStream.format(source)
+    writer = writer.option("checkpointLocation", checkpoint_location)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return (writer.queryName(name) if name else writer).start()
+
+
 def bulk_push(
     send: Callable[[list[str]], None],
     on_commit: Callable[[dict[int, int]], None] | None = None,

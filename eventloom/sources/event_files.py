@@ -15,6 +15,9 @@ The binary event-log codec is not part of this library; the caller passes it in.
   ``read_range(path, start, size) -> bytes``.  Counting the runs takes one job over the
   list of files.
 
+:func:`stream_event_files` is the chunked mode on a stream: its progress is the number of complete chunks of each
+file, so that a file may grow and every chunk is decoded in one batch; a last chunk that is not complete waits.
+
 A decoder error fails the task (and, after Spark's retries, the job): a damaged
 file aborts the load as it does in the reference, unless the decoder chooses to
 skip.  Malformed *records* are the parser's business and are quarantined.
@@ -22,13 +25,17 @@ skip.  Malformed *records* are the parser's business and are quarantined.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from fnmatch import fnmatch
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from .ranges import check_readable, read_range as _read_range
+from .ranges import check_readable, list_files as _list_files, read_range as _read_range, shown
 
 OUT_SCHEMA = "source_file string, xml string"
 _BATCH = 10_000
@@ -108,3 +115,90 @@ def _chunked_decoder(decode, header_bytes: int, run_bytes: int, read):
                 yield _flush(rows)
 
     return run
+
+
+class ChunkRuns(InputPartition):
+    """What one task decodes: (path, first chunk, number of chunks) of each run."""
+
+    def __init__(self, runs: list[tuple[str, int, int]]):
+        super().__init__(runs)
+
+
+class EventFileStreamReader(DataSourceStreamReader):
+    """Chunks as files are added or grow; the offset is the number of complete chunks of every file that is there."""
+
+    def __init__(self, paths, pattern, decode, header_bytes: int, chunk_bytes: int, per_split: int, tasks: int | None, read, listed):
+        self._paths, self._pattern, self._decode, self._read, self._listed = paths, pattern, decode, read, listed
+        self._header, self._chunk, self._per_split, self._tasks = header_bytes, chunk_bytes, per_split, tasks
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        found = self._listed(self._paths)
+        return {p: max(0, n - self._header) // self._chunk for p, n in found if not self._pattern or fnmatch(p.rpartition("/")[2], self._pattern)}
+
+    def partitions(self, start: dict, end: dict) -> list[ChunkRuns]:
+        runs = []
+        for path, n in sorted(end.items()):
+            first = start.get(path, 0)
+            first = first if first <= n else 0  # a file that became shorter is a new one
+            runs += [(path, lo, min(self._per_split, n - lo)) for lo in range(first, n, self._per_split)]
+        tasks = min(len(runs), self._tasks or MAX_TASKS)
+        return [ChunkRuns(runs[i::tasks]) for i in range(tasks)]
+
+    def read(self, partition: ChunkRuns) -> Iterator[pa.RecordBatch]:
+        names, texts = [], []
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["source_file", "xml"])
+
+        for path, first, n in partition.value:
+            header = self._read(path, 0, self._header)
+            body = self._read(path, self._header + first * self._chunk, n * self._chunk)
+            for xml in self._decode(header, body):
+                names.append(shown(path))
+                texts.append(xml)
+                if len(texts) >= _BATCH:
+                    yield batch()
+                    names, texts = [], []
+        if texts:
+            yield batch()
+
+
+def stream_event_files(
+    spark: SparkSession,
+    path: str | list[str],
+    decode: Callable[[bytes, bytes], Iterable[str]],
+    header_bytes: int,
+    chunk_bytes: int,
+    chunks_per_split: int = 256,
+    path_glob_filter: str | None = None,
+    tasks: int | None = None,
+    read_range: Callable[[str, int, int], bytes] | None = None,
+    files: Callable[[list[str]], Iterable[tuple[str, int]]] | None = None,
+) -> DataFrame:
+    """Streaming ``source_file, xml``: one row per record of the chunks that are added to the files under ``path``.
+
+    Stores that pyarrow does not know need ``read_range(path, start, size)`` and ``files(paths)``, which gives
+    (path, length) of each file.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if read_range is None or files is None:
+        check_readable(paths)
+    how = (paths, path_glob_filter, decode, header_bytes, chunk_bytes, chunks_per_split, tasks, read_range or _read_range, files or _list_files)
+    source = f"eventloom_chunks_{uuid.uuid4().hex[:12]}"
+
+    class EventFileSource(DataSource):
+        @classmethod
+        def name(cls):
+            return source
+
+        def schema(self):
+            return OUT_SCHEMA
+
+        def streamReader(self, schema):
+            return EventFileStreamReader(*how)
+
+    spark.dataSource.register(EventFileSource)
+    return spark.readStream.format(source).load()

@@ -1,7 +1,7 @@
 """The event load on Structured Streaming.
 
-New exported event files in a folder are loaded as they arrive, with the same
-column operators as the batch load (all of them are stateless projections, so
+New exported event files in a folder, and what is added to those that are there, are
+loaded as they arrive, with the same column operators as the batch load (all of them are stateless projections, so
 no watermark or state store is involved).  Each micro-batch is written by the
 bulk-file sink into a folder named after the stream and its epoch, with ``overwrite``:
 a micro-batch replayed after a failure rewrites the same files instead of adding
@@ -19,16 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.load import DEFAULT_BATCH_SIZE, EventLoad, prepare_events
 from ..sinks.bulk import write_bulk_files
-from ..sources.xml_records import RECORD_END, split_records
-
-
-def stream_event_xml(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``source_file, xml``: records of exported event XML files added to ``path``."""
-    reader = spark.readStream.option("lineSep", RECORD_END)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.text(path).selectExpr("_metadata.file_path AS source_file", "value")
-    return split_records(raw)
+from ..sources.xml_records import stream_event_xml
 
 
 def start_event_stream(
