@@ -26,6 +26,7 @@ PROFILE = 300
 # A label set larger than this is no set of languages: an error, as its profiles would not be a small table.
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
+LEAST_TEXTS = 30  # labelled texts of a language and length whose scores tell what is too low
 _EDGE = 1  # stands for a word's end; no letter has this number
 _FLUSH = 1 << 21
 
@@ -137,6 +138,29 @@ def language_column(profiles: DataFrame, text: Column, size: int = PROFILE) -> C
     return identify(text)
 
 
+def length_class(text: Column) -> Column:
+    """The binary digits of a text's length in characters."""
+    return F.length(F.bin(F.length(text)))
+
+
+def least_scores(
+    docs: DataFrame, profiles: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE, floor: float = 0.1, spread: float = 4.0
+) -> list[tuple[str, int, float]]:
+    """(language, length class, least score) as the labelled texts' own scores ask for it.
+
+    Over all texts whose label the profiles find: the median less ``spread`` times its distance to the score that one
+    text in twenty stays below, so that odd texts among the labelled ones don't lower it; not below ``floor``.  A class with
+    fewer than ``LEAST_TEXTS`` such texts is left out.
+    """
+    rows = docs.select(column(lang_col).cast("string").alias("lang"), column(text_col).alias("text")).dropna()
+    found = rows.select("lang", length_class(F.col("text")).alias("class"), language_column(profiles, F.col("text"), size).alias("found"))
+    right = found.where(F.col("lang") == F.col("found.lang_pred"))
+    middle, low = (F.percentile_approx("found.score", p, 1000) for p in (0.5, 0.05))
+    sums = right.groupBy("lang", "class").agg(F.count(F.lit(1)).alias("n"), middle.alias("middle"), low.alias("low")).where(F.col("n") >= LEAST_TEXTS)
+    # A few dozen length classes for each language.
+    return [(r["lang"], r["class"], max(floor, r["middle"] - spread * (r["middle"] - r["low"]))) for r in sums.collect()]
+
+
 def held_out(doc: Column, folds: int = 3, fold: int = 1) -> Column:
     """Whether crc32 of the id as text falls into the held-out fold (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc.cast("string"), F.lit(""))) % folds == fold

@@ -25,8 +25,8 @@ REPEAT_LIMIT = 1.5
 BLOCK_TOKENS = 1 << 20
 SEED = 17
 _RANGE_ROWS = 4096
-# The table of sources is small by definition (weights are set for each): more than this is an error.
-MAX_SOURCES = 100_000
+PRECISION = 60  # halvings of the exponent's interval
+HALVINGS = 4  # of these in one job
 
 
 def token_count(text: Column) -> Column:
@@ -35,71 +35,74 @@ def token_count(text: Column) -> Column:
     return F.when(bare == "", 1).otherwise(F.size(F.split(bare, r"[\x20\x09-\x0D]+")) + 1).cast("long")
 
 
-def weights_at(tokens: list[int], alpha: float) -> list[float]:
-    logs = [alpha * math.log(t) for t in tokens]
-    top = max(logs)
-    raw = [math.exp(x - top) for x in logs]
-    total = math.fsum(raw)
-    return [x / total for x in raw]
-
-
-def temperature(tokens: list[int], budget: int | None = None, entropy: float | None = None, repeat_limit: float | None = None) -> float:
-    """The exponent in 0..1 for token counts by source, by bisection.
+def temperature(sources: DataFrame, budget: int | None = None, entropy: float | None = None, repeat_limit: float | None = None) -> float:
+    """The exponent in 0..1 for a table of ``tokens`` by source, by bisection.
 
     ``entropy``: the largest exponent whose weights have this share of the largest entropy possible.
     ``repeat_limit``: the smallest exponent at which no source is passed over more often than this.
     Without a target the shares stay as they are (1.0).  A target beyond 0..1 gives the nearer end.
-    """
 
-    def meets(alpha: float) -> bool:  # true from 0 up to the answer
-        w = weights_at(tokens, alpha)
+    What a step asks for is a sum over the sources; one job has the sums of ``HALVINGS`` steps.  Without a budget
+    the largest and the smallest source tell how often one is passed over.
+    """
+    least, top, n = sources.agg(F.min("tokens"), F.max("tokens"), F.count(F.lit(1))).first()
+    if n < 2 or entropy is None and repeat_limit is None:
+        return 1.0
+    x = F.log(F.col("tokens") / F.lit(float(top)))
+
+    def meets(alphas: list[float]) -> list[bool]:  # true from 0 up to the answer
+        if entropy is None and not budget:
+            return [(top / least) ** (1 - a) > repeat_limit for a in alphas]
+        raw = [F.exp(F.lit(a) * x) for a in alphas]
+        sums = sources.agg(*[F.sum(c) for e in raw for c in (e, x * e)]).first()
+        totals = list(zip(alphas, sums[::2], sums[1::2]))
         if entropy is not None:
-            return -math.fsum(x * math.log(x) for x in w if x) >= entropy * math.log(len(w)) - 1e-12
-        return max(_passes(tokens, w, budget)) > repeat_limit
+            return [math.log(z) - a * xz / z >= entropy * math.log(n) - 1e-12 for a, z, xz in totals]
+        return [budget * (least / top) ** a / z / least > repeat_limit for a, z, _ in totals]
 
-    if len(tokens) < 2 or entropy is None and repeat_limit is None:
-        return 1.0
     low, high = 0.0, 1.0
-    if meets(1.0):
+    at_low, at_high = meets([low, high])
+    if at_high:
         return 1.0
-    if not meets(0.0):
+    if not at_low:
         return 0.0
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if meets(middle) else (low, middle)
+    for _ in range(-(-PRECISION // HALVINGS)):
+        points = [low + (high - low) * i / (1 << HALVINGS) for i in range(1 << HALVINGS)] + [high]
+        last = sum(meets(points[1:-1]))
+        low, high = points[last], points[last + 1]
     return low if entropy is not None else high
 
 
-def _passes(tokens: list[int], w: list[float], budget: int | None) -> list[float]:
-    ratios = [x / t for x, t in zip(w, tokens)]
-    return [r * budget for r in ratios] if budget else [r / min(ratios) for r in ratios]
+def quotas(sums: DataFrame, budget: int | None, **target) -> DataFrame:
+    """``s``, ``of``, ``tokens``, ``weight``, ``quota``, ``full`` for a table of ``source`` and ``tokens``.
 
-
-def quotas(tokens: list[int], budget: int | None, **target) -> tuple[float, list[float], list[int]]:
-    """Exponent, weights and token quotas.  Without a budget it is the least one that passes over every source once."""
-    alpha = temperature(tokens, budget, **target)
-    w = weights_at(tokens, alpha)
-    passes = _passes(tokens, w, budget)
-    # No budget: rounding must not take a document from the source that is passed over exactly once.
-    return alpha, w, [max(round(p * t), 0 if budget else t) for p, t in zip(passes, tokens)]
+    Without a budget it is the least one that passes over every source once.  ``full`` is the number of full passes.
+    """
+    alpha = temperature(sums, budget, **target)
+    top = sums.agg(F.max("tokens")).first()[0] or 1
+    x = F.log(F.col("tokens") / F.lit(float(top)))
+    total = sums.agg(F.sum(F.exp(F.lit(alpha) * x))).first()[0] or 1.0
+    weight = F.exp(F.lit(alpha) * x) / F.lit(total)
+    if budget:
+        quota = F.rint(weight * F.lit(float(budget))).cast("long")
+    else:  # rounding must not take a document from the source that is passed over exactly once
+        quota = F.greatest(F.rint(F.exp(F.lit(alpha - 1) * x) * F.col("tokens")).cast("long"), F.col("tokens"))
+    table = sums.select(F.monotonically_increasing_id().alias("s"), F.col("source").alias("of"), "tokens", "n_docs", weight.alias("weight"), quota.alias("quota"))
+    return table.withColumn("full", F.call_function("div", F.col("quota"), F.col("tokens")))
 
 
 def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, budget: int | None, seed: int, **target):
-    """(rows of ids with pass keys, one row per source with its quota and cut)"""
-    spark = docs.sparkSession
+    """(rows of ids with pass keys, one row per source with its quota)"""
     doc, text = column(id_col), column(text_col)
     same = F.xxhash64(F.lit(seed), doc, text)
     rows = docs.select(doc.alias("doc"), column(source_col).alias("source"), token_count(text).alias("n_tokens"), same.alias("same"))
     rows = written(rows, "mix-rows")
-    sums = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")).orderBy("source").limit(MAX_SOURCES + 1).collect()
-    if len(sums) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources to mix")
-    tokens = [r["tokens"] for r in sums]
-    alpha, w, quota = quotas(tokens, budget, **target) if sums else (1.0, [], [])
-    table = [(i, r["source"], t, x, q, q // t) for i, (r, t, x, q) in enumerate(zip(sums, tokens, w, quota))]
-    kind = rows.schema["source"].dataType.simpleString()
-    sources = spark.createDataFrame(table, f"s int, of {kind}, tokens long, weight double, quota long, full long")
-    ranges = max(1, -(-sum(r["n_docs"] for r in sums) // _RANGE_ROWS))
+    by_source = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
+    # However many sources there are, they stay in this table; it is brought to the rows only while it is small.
+    sources = written(quotas(written(by_source, "mix-sums"), budget, **target), "mix-sources")
+    n_docs = sources.agg(F.sum("n_docs")).first()[0] or 0
+    sources = sources.drop("n_docs")
+    ranges = max(1, -(-n_docs // _RANGE_ROWS))
     shift = 64 - min(40, (ranges - 1).bit_length())
 
     # Passes as rows: the full ones and, where the quota asks for it, one more in part.
@@ -116,7 +119,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, budget:
         "at", F.col("turn") * F.col("tokens") + F.col("start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
     )
     placed = written(placed.where(F.col("at") + F.col("n_tokens") <= F.col("quota")).drop("range", "start"), "mix-placed")
-    return placed, sources, alpha
+    return placed, sources
 
 
 def pass_key(same: Column, turn: Column) -> Column:
@@ -139,7 +142,7 @@ def mix_sources(
     """
     if entropy is not None:
         repeat_limit = None
-    placed, sources, _ = _plan(docs, id_col, text_col, source_col, budget, seed, entropy=entropy, repeat_limit=repeat_limit)
+    placed, sources = _plan(docs, id_col, text_col, source_col, budget, seed, entropy=entropy, repeat_limit=repeat_limit)
     total = sources.agg(F.sum("quota")).first()[0] or 0
     n_blocks = max(1, round(total / block_tokens))
     share = F.floor(F.col("at") / F.col("quota") * n_blocks).cast("long")
@@ -162,7 +165,7 @@ def mixed_documents(
     """
     if entropy is not None:
         repeat_limit = None
-    placed, sources, _ = _plan(docs, id_col, text_col, source_col, budget, seed, entropy=entropy, repeat_limit=repeat_limit)
+    placed, sources = _plan(docs, id_col, text_col, source_col, budget, seed, entropy=entropy, repeat_limit=repeat_limit)
     cuts = placed.where(F.col("turn") == F.col("full")).groupBy("s").agg(F.max("key").alias("cut"))
     small = written(sources.join(cuts, "s", "left").select("of", "full", "cut"), "mix-cuts")
     of, full, cut, copy = fresh(docs, "of", "full", "cut", "copy")

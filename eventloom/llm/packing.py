@@ -8,7 +8,9 @@ whole run of them at once, exactly as piece after piece would.  The plan that co
 window, not by the data (an interval of windows takes at most about sqrt(2*window) steps, and there are
 at most 3*window intervals: under 140,000 rows for 1024), and is broadcast; each piece finds its window
 by its length and its rank among the pieces of that length.  Ranks are counted inside each task and
-shifted by the counts of the tasks before, so no length is ever sorted or gathered in one place.
+shifted by the counts of the tasks before, so no length is ever sorted or gathered in one place.  These
+shifts are a row for each task and length, which grows with the tasks: they meet the pieces by a
+merge join, never by a broadcast.
 """
 
 from __future__ import annotations
@@ -153,7 +155,7 @@ def pack_documents(
     )
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(bases, ["part", "length"]).withColumn("rank", F.col("base") + F.col("place"))
+    ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("rank", F.col("base") + F.col("place"))
     steps = F.broadcast(plan.withColumnRenamed("length", "plan_length"))
     here = (F.col("length") == F.col("plan_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to"))
     nth = F.col("rank") - F.col("rank_from")

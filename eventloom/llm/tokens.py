@@ -3,7 +3,8 @@
 The library's byte-level pattern always starts a new word at a blank or line break that follows a
 character that is not white space.  Texts are cut there, each distinct piece is encoded once and
 remembered, and a text's ids are the ids of its pieces in order: the same ids as from encoding the
-text in one go (tests hold the two against each other), at several times the speed.  The memory is
+text in one go (tests hold the two against each other), at several times the speed.  The strings of a
+vocabulary's added tokens (an end of text, say) are pieces of their own, as they are to the library.  The memory is
 bounded: when it is full, the pieces met least often are forgotten.  A reused Python worker keeps its
 encoder from task to task.
 """
@@ -52,14 +53,23 @@ def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: n
 
 
 class Encoder:
-    """Encodes texts to unsigned 32-bit ids."""
+    """Encodes texts to unsigned 32-bit ids, those of the library's ``encode(text, add_special_tokens=False)``.
 
-    def __init__(self, vocabulary: str | None = None):
+    The string of a special token in a text is that token, as in the library; with ``special_as_text`` it is text.
+    """
+
+    def __init__(self, vocabulary: str | None = None, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self._tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        added = [t for t in added if not (special_as_text and t.special)]
+        if any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added):
+            raise ValueError("added tokens that take in their surroundings or hold blanks")
+        self._marks = {t.content for t in added}
+        self._mark = re.compile("|".join(re.escape(m) for m in sorted(self._marks, key=len, reverse=True)))
         # A byte-level token is written with one character for each of its bytes.
         vocab = self._tokenizer.get_vocab(with_added_tokens=True)
         self._n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -83,12 +93,12 @@ class Encoder:
             self._forget()
         known, number = len(self._numbers), self._numbers.__getitem__
         parts, n_parts = texts, np.ones(len(texts), np.int64)
-        if max(map(len, texts), default=0) > _SEGMENT:
-            cut = list(map(segments, texts))
+        if max(map(len, texts), default=0) > _SEGMENT or any(m in t for m in self._marks for t in texts):
+            cut = list(map(self._parts, texts))
             parts, n_parts = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
         codes, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
         for block in _blocks(parts):
-            pieces = list(map(_PIECE.findall, block))
+            pieces = [_PIECE.findall(p) if p not in self._marks else [p] for p in block]
             counts.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
             codes.append(np.fromiter(map(number, chain.from_iterable(pieces)), np.int64, counts[-1].sum()))
             del pieces  # before new ones are learned
@@ -101,6 +111,14 @@ class Encoder:
         upto = np.cumsum(np.concatenate(counts))[np.cumsum(n_parts)]
         return ids, np.concatenate([[0], after])[upto]
 
+    def _parts(self, text: str) -> list[str]:
+        """The strings of added tokens, and what stands between them in segments."""
+        out, lo = [], 0
+        for m in self._mark.finditer(text) if self._marks else ():
+            out += [*segments(text[lo : m.start()]), m.group()]
+            lo = m.end()
+        return out + segments(text[lo:])
+
     def _plain(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 

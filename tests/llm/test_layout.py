@@ -21,7 +21,6 @@ def plain_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_vocabulary())
-    t.encode_special_tokens = True
     return [np.array(t.encode(x or "", add_special_tokens=False).ids + [0], "<u4") for x in texts]
 
 
@@ -156,6 +155,39 @@ def test_encoder_on_documents_and_long_text():
         assert np.array_equal(got, want[:-1])
 
 
+SPECIAL = "<|endoftext|>"
+
+
+def test_special_strings_are_the_library_s(tmp_path):
+    """At the start, middle, end, twice in a row, next to blanks, and where long texts are cut; as text only if asked for."""
+    from tokenizers import Tokenizer
+
+    texts = [
+        SPECIAL, f"{SPECIAL}b", f"a{SPECIAL}", f"a{SPECIAL}b", f"a {SPECIAL} b", f"a\n{SPECIAL}\nb", f"{SPECIAL}{SPECIAL}", f" {SPECIAL} ", f"a  {SPECIAL}  b",
+        "<|endoftext|", "<|endoftext", f"<|{SPECIAL}|>", f"it's{SPECIAL}'s", f"x{SPECIAL.upper()}", f"{SPECIAL[:5]} {SPECIAL[5:]}",
+        f"word {SPECIAL} " * 90_000, "y" * ((1 << 20) - 4) + f" {SPECIAL} z", "y" * ((1 << 20) - 6) + SPECIAL + " z",
+    ]
+    ids, ends = Encoder().encode(texts)
+    for got, want in zip(np.split(ids, ends[:-1]), plain_ids(texts)):
+        assert np.array_equal(got, want[:-1])
+    assert plain_ids(["a<|endoftext|>b"])[0].tolist() == [64, 50256, 65, 0]
+    as_text = Tokenizer.from_file(default_vocabulary())
+    as_text.encode_special_tokens = True
+    ids, ends = Encoder(special_as_text=True).encode(texts[:15])
+    for got, text in zip(np.split(ids, ends[:-1]), texts):
+        assert got.tolist() == as_text.encode(text, add_special_tokens=False).ids
+
+
+def test_token_outputs_of_special_strings(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate([f"{SPECIAL}b", "plain", f"a {SPECIAL} b" * 700, f"a{SPECIAL}", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    token_files.write_token_files(docs, str(tmp_path / "t"))
+    files = token_files.read_token_files(spark, str(tmp_path / "t")).withColumnRenamed("doc", "doc_id")
+    got = files.mapInArrow(token_files.id_checksums, "doc_id long, start long, n_tokens long, ids_crc32 long").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_files(rows))
+    check_packing(packing.pack_documents(docs).collect(), rows)
+
+
 def test_encoder_forgets_rare_pieces(monkeypatch):
     monkeypatch.setitem(Encoder.encode.__globals__, "_REMEMBERED", 500)
     encoder, texts = Encoder(), [d["text"] or "" for d in read_documents(SF_SMALL)]

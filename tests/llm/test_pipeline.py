@@ -1,5 +1,8 @@
 """The pipeline's stages against brute-force versions, on documents and on awkward cases."""
 
+import base64
+import random
+import string
 from collections import Counter
 
 import pytest
@@ -53,8 +56,6 @@ def stages(spark, docs, rows):
 def test_stages_on_documents(spark):
     rows = [tuple(d[c] for c in COLUMNS) for d in read_documents(SF_SMALL)]
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(*COLUMNS)
-    lettered = sum(any(c.isalpha() for c in r[1] or "") for r in rows)
-    assert pipeline.language_id(spark, docs, SF_SMALL).count() == lettered
     assert stages(spark, docs, rows) > 0
 
 
@@ -95,3 +96,35 @@ def test_near_dedup_links_from_similarity_80(spark):
             break
     got = pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
     assert Counter(r["doc_id"] for r in got.collect()) == Counter(d for d, _ in rows if root[d] == d)
+
+
+def corpus(spark, sf="sf0.01"):
+    return spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select(*COLUMNS)
+
+
+def test_language_stage_rejects_what_is_no_learned_language(spark):
+    """Random letters, base64 and two unlearned languages of some length go; clean texts stay, short ones too."""
+    rng = random.Random(1)
+    docs = corpus(spark, "sf0.1")  # enough labelled texts of a length to tell
+    clean = [r["text"] for r in docs.where("lang = 'en'").orderBy("doc_id").limit(30).collect()]
+    latin = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua".split()
+    finnish = "tämä on suomenkielinen teksti jossa kerrotaan metsästä järvistä ja talvesta sekä siitä miten ihmiset kulkevat hiihtäen jäätä pitkin".split()
+    bad = [" ".join(rng.choice(ws) for _ in range(400)) for ws in (latin, finnish) for _ in range(3)]
+    bad += [" ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 9))) for _ in range(400)) for _ in range(3)]
+    bad += [base64.b64encode(rng.randbytes(3000)).decode() for _ in range(3)]
+    good = clean + [" ".join(t.split()[:n]) for t in clean for n in (4, 12, 40)]
+    rows = [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(bad + good)]
+    added = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in pipeline.language_id(spark, docs.unionByName(added), SF_SMALL).collect()}
+    assert {10**6 + i for i in range(len(bad), len(rows))} <= kept and not kept & {10**6 + i for i in range(len(bad))}
+    known = docs.join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1"), "doc_id")
+    lost = [r["doc_id"] for r in known.collect() if r["doc_id"] not in kept and any(c.isalpha() for c in r["text"] or "")]
+    assert len(lost) <= 2
+
+
+def test_language_stage_without_labels_keeps_all(spark):
+    docs = corpus(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert pipeline.language_id(spark, docs, SF_SMALL).exceptAll(docs).count() == 0
+    assert pipeline.language_id(spark, docs, SF_SMALL).count() == docs.count()
+    awkward = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert pipeline.language_id(spark, awkward, SF_SMALL).count() == len(edge_rows())

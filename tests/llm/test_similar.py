@@ -195,18 +195,65 @@ def test_language_query_and_held_out_accuracy(spark):
 # ---------------------------------------------------------------- mixing
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(1, 10**6), min_size=2, max_size=9), st.floats(1.0, 5.0), st.floats(0.1, 1.0))
-def test_temperature_meets_targets(tokens, limit, entropy):
-    alpha, w, quota = mixing.quotas(tokens, None, repeat_limit=limit)
-    passes = [x / t for x, t in zip(w, tokens)]
-    assert max(passes) / min(passes) <= limit * (1 + 1e-9) and all(q >= t for q, t in zip(quota, tokens))
-    if alpha > 0:  # a smaller exponent repeats more
-        lower = mixing._passes(tokens, mixing.weights_at(tokens, alpha - 1e-6), None)
-        assert max(lower) >= limit * (1 - 1e-4)
-    alpha = mixing.temperature(tokens, entropy=entropy)
-    share = lambda a: -sum(x * math.log(x) for x in mixing.weights_at(tokens, a) if x) / math.log(len(tokens))
-    assert share(alpha) >= entropy - 1e-9 or alpha == 0
+def brute_quotas(tokens, limit):
+    """Weights and quotas without a budget: the exponent that lets the smallest source be passed over ``limit`` times."""
+    top, least = max(tokens), min(tokens)
+    alpha = 1.0 if top == least or limit <= 1 else max(0.0, 1 - math.log(limit) / math.log(top / least))
+    raw = [t**alpha for t in tokens]
+    return [x / sum(raw) for x in raw], [max(round((t / top) ** (alpha - 1) * t), t) for t in tokens]
+
+
+def source_sums(spark, tokens):
+    return spark.createDataFrame([(f"s{i}", t, 1) for i, t in enumerate(tokens)], "source string, tokens long, n_docs long")
+
+
+def entropy_share(tokens, alpha):
+    top = max(tokens)
+    raw = [(t / top) ** alpha for t in tokens]
+    return -sum(x / sum(raw) * math.log(x / sum(raw)) for x in raw if x) / math.log(len(tokens))
+
+
+@pytest.mark.parametrize("tokens", [[1, 10**6], [5, 5, 5], [3, 40, 500, 6000, 10**6], [7]])
+@pytest.mark.parametrize("limit", [1.0, 1.5, 4.0])
+def test_quotas_meet_repeat_limit(spark, tokens, limit):
+    rows = sorted(mixing.quotas(source_sums(spark, tokens), None, repeat_limit=limit).collect(), key=lambda r: int(r["of"][1:]))
+    weights, want = brute_quotas(tokens, limit)
+    assert all(abs(r["weight"] - w) < 1e-9 for r, w in zip(rows, weights))
+    assert all(abs(r["quota"] - q) <= 1 and r["full"] == r["quota"] // t for r, q, t in zip(rows, want, tokens))
+
+
+@pytest.mark.parametrize("share", [0.1, 0.7, 0.95, 1.0])
+def test_temperature_meets_entropy(spark, share):
+    tokens = [3, 40, 500, 6000, 10**6]
+    alpha = mixing.temperature(source_sums(spark, tokens), entropy=share)
+    assert entropy_share(tokens, alpha) >= share - 1e-9
+    assert alpha == 1.0 or entropy_share(tokens, alpha + 1e-6) < share + 1e-9
+
+
+@pytest.mark.parametrize("budget, limit", [(2000, 2.0), (10**6, 1.2), (10, 5.0)])
+def test_temperature_with_a_budget(spark, budget, limit):
+    tokens = [30, 400, 5000, 10**6]
+    alpha = mixing.temperature(source_sums(spark, tokens), budget, repeat_limit=limit)
+    passes = lambda a: max(budget * t**a / sum(u**a for u in tokens) / t for t in tokens)
+    assert passes(alpha) <= limit * (1 + 1e-9) or alpha == 1.0
+    assert alpha == 0.0 or passes(alpha - 1e-6) > limit * (1 - 1e-4)
+    rows = mixing.quotas(source_sums(spark, tokens), budget, repeat_limit=limit).collect()
+    assert abs(sum(r["quota"] for r in rows) - budget) <= len(tokens)
+
+
+def test_many_sources(spark):
+    """More sources than one would bring to the driver; each of the first thousand also has a second, longer text."""
+    n = 200_000
+    docs = spark.range(n + 1000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < n, "one two").otherwise("w " * 50).alias("text"), F.concat(F.lit("site"), F.col("id") % n).alias("source")
+    )
+    got = mixing.mix_sources(docs, repeat_limit=2.0)
+    sums = got.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    kinds = {(r["tokens"], r["rows"]): r["n"] for r in sums.groupBy("tokens", "rows").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kinds == {(54, 2): 1000, (6, 2): n - 1000}  # small ones twice, the others once
+    mixed = mixing.mixed_documents(docs, repeat_limit=2.0)
+    assert mixed.count() == 2 * 1000 + 2 * (n - 1000)
+    assert 0.5 < entropy_share([3] * 9 + [54], mixing.temperature(source_sums(spark, [3] * 9 + [54]), entropy=0.9)) <= 1
 
 
 def brute_tokens(text):
@@ -219,7 +266,7 @@ def check_mix(got, rows, limit=mixing.REPEAT_LIMIT):
         sums[s] += brute_tokens(t)
         given_[d, s] += 1
     tokens = list(sums.values())
-    _, w, quota = mixing.quotas(tokens, None, repeat_limit=limit)
+    weights, quota = brute_quotas(tokens, limit)
     used, turns = Counter(), defaultdict(Counter)
     for r in got:
         used[r["source"]] += r["n_tokens"]
@@ -227,8 +274,15 @@ def check_mix(got, rows, limit=mixing.REPEAT_LIMIT):
     longest = defaultdict(int)
     for d, t, s in rows:
         longest[s] = max(longest[s], brute_tokens(t))
+    weight = dict(zip(sums, weights))
+    assert all(abs(r["weight"] - weight[r["source"]]) < 1e-9 for r in got)
+    # Every block has its share of every source, but for a text at either end.
+    blocks, n_blocks = Counter(), 1 + max((r["block"] for r in got), default=0)
+    for r in got:
+        blocks[r["block"], r["source"]] += r["n_tokens"]
     for s, q in zip(sums, quota):
-        assert q - longest[s] < used[s] <= q
+        assert q - longest[s] - 1 < used[s] <= q + 1
+        assert all(abs(blocks[k, s] - q / n_blocks) <= 2 * longest[s] + 1 for k in range(n_blocks))
         full = q // sums[s]
         for turn in range(full):
             assert turns[s, turn] == Counter({k: n for k, n in given_.items() if k[1] == s})
