@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
 
-Language ID rejects texts without letters, and texts that share next to nothing with any language of the
-corpus; line dedup takes lines that many documents share out of the texts; near-dedup keeps one document of
+Language ID rejects texts without letters, and texts that share much less with the language nearest to them than
+that language's labelled texts of their length; line dedup takes lines that many documents share out of the texts; near-dedup keeps one document of
 each group; mixing repeats documents so that small sources weigh more (none is left out); packing cuts and
 packs the token ids of what is left.
 """
@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import written
-from eventloom.llm.langid import UNKNOWN, language_column, learn_profiles
+from eventloom.llm.langid import UNKNOWN, language_column, learn_profiles, least_scores, length_class
 from eventloom.llm.lines import without_shared_lines
 from eventloom.llm.minhash import one_of_each
 from eventloom.llm.mixing import mixed_documents
 from eventloom.llm.packing import pack_documents
 
-# A text below this score has hardly an n-gram in common with the language nearest to it.
+# A text below this score has hardly an n-gram in common with the language nearest to it; it is asked of texts whose
+# language has too few labelled texts of their length to tell.
 MIN_LANGUAGE_SCORE = 0.1
 
 # Near-duplicates for a corpus: similarity 0.8 or more.  With 30 bands of 4, a pair at 0.8 shares no band with a
@@ -27,30 +28,65 @@ SIMILARITY, BANDS, ROWS = 80, 30, 4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled ones are written in."""
-    found = language_column(learn_profiles(docs), F.col("text"))
-    named = docs.select(F.struct("*").alias("row"), found.alias("found"))
-    rest = named.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
-    return rest.select("row.*")
+    """Documents in one of the languages that the labelled ones are written in.
+
+    A null text, and one without letters, is in none.  Without any labelled text nothing is learned, and all documents
+    stay.  Equal texts are kept or rejected together, whatever their ids (null ones too), labels and other columns; an
+    empty table stays empty.
+    """
+    profiles = written(learn_profiles(docs), "pipeline-profiles")
+    if profiles.isEmpty():
+        return docs
+    limits = least_scores(docs, profiles, floor=MIN_LANGUAGE_SCORE)
+    found = language_column(profiles, F.col("text"))
+    named = docs.select(F.struct("*").alias("row"), found.alias("found"), length_class(F.col("text")).alias("class"))
+    score, lang = F.col("found.score"), F.col("found.lang_pred")
+    # A class too thin to tell takes the limit of the next shorter one: longer texts score higher.
+    known = {(lang_, class_): x for lang_, class_, x in limits}
+    for lang_ in {lang_ for lang_, _ in known}:
+        for class_ in range(1, 33):
+            if (lang_, class_ - 1) in known:
+                known.setdefault((lang_, class_), known[lang_, class_ - 1])
+    least = F.lit(MIN_LANGUAGE_SCORE)
+    if known:
+        by_class = F.create_map(*[F.lit(x) for (lang_, class_), x in known.items() for x in (f"{class_} {lang_}", x)])
+        least = F.coalesce(by_class[F.concat_ws(" ", "class", lang)], least)
+    return named.where((lang != UNKNOWN) & (score >= least)).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that five or more share; the one of the largest id keeps them."""
+    """Documents without the lines that five or more share; the one of the largest id keeps them.
+
+    All rows stay, with a null text as an empty one and ``n_chars`` counted anew; repeated rows are one document to a
+    line and lose it alike; rows without an id count as no document and lose the lines that five others share.  An
+    empty table stays empty; other columns stay as they are, whatever their names.
+    """
     return without_shared_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, that of the smallest id.
+
+    Texts without words and rows without an id are linked with nothing and stay; repeated rows of the id that stays
+    all stay.  An empty table stays empty; other columns stay as they are, whatever their names.
+    """
     return one_of_each(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target weight asks for, once at least."""
+    """Documents as often as their source's target weight asks for, once at least.
+
+    A null source is a source of its own, a null text a short one, a row without an id or a repeated one a row like
+    others; rows equal in id and text come equally often.  An empty table stays empty.
+    """
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in the packed sequences."""
+    """The pieces of all documents and their places in the packed sequences.
+
+    A null or empty text is an end alone; null and repeated ids are documents of their own; no documents, no pieces.
+    """
     return pack_documents(docs)
 
 
