@@ -14,14 +14,16 @@ P(text) is the product over its words and its end of P(class | class before) * P
    likelihood of the class bigrams most, until none moves.  Bands, end and unknown are classes of their own.
 4. Every other word of count ``LEAST_COUNT`` or more then leaves its band for the class with the same gain.
    Its neighbours' classes are counted chunk by chunk and summed by word (one row per chunk and word is
-   shuffled); tasks score the sums against the class table, and the answers go back to the chunks.  All
+   shuffled; words of count ``HOT_COUNT`` or more are summed in parts first, so that no task holds a row for
+   each chunk); tasks score the sums against the class table, one answer a word.  Up to ``SENT_WORDS``
+   answers are sent to all tasks; more of them are joined back to the chunks by word.  All
    these words choose at once, against the classes before; ``WORD_SWEEPS`` times, then it stops.  How many
    words choose follows the corpus; rarer words keep their bands.
 5. Transitions are smoothed towards the class frequencies.  They are counted as if each rare occurrence
    were left out of the corpus: a word of count c counts for the band of c-1, one of count 1 as unknown.
    That is where unseen words get their probability from.  A known word's emission is its share of its class.
 
-The driver holds the bounded bigram table and class matrix only.
+The driver holds the bounded bigram table, the class matrix and at most ``SENT_WORDS`` answers.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +47,12 @@ LEAST_COUNT = 8  # of a word that chooses its class, a power of two; rarer ones
 SMOOTHING = 50.0
 CHUNK_TOKENS = 1 << 21
 WORD_SWEEPS = 2
+HOT_COUNT = 1 << 18  # from here on a word's counts meet in two steps; below, they are few enough for a task's memory
+HOT_PARTS = 256
+SENT_WORDS = 1 << 22  # ten bytes each
 _UNKNOWN, _END, _WORDS = 0, 1, 2  # symbols; the bands follow the words, two each: counts that are a power of two, and others
 _BANDS = 48
+_SUMS, _SUM_NAMES = "word long, own int, codes binary, counts binary", ["word", "own", "codes", "counts"]
 _CHUNK = "chunk long, docs array<long>, held array<boolean>, lengths array<long>, ids binary, words array<binary>, counts array<long>"
 _CODED = "chunk long, docs array<long>, held array<boolean>, lengths array<long>, places binary, words binary, named binary, base array<double>, known array<long>, emit array<double>"
 
@@ -103,8 +110,11 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> Da
     return rows.mapInArrow(encode, _CHUNK)
 
 
-def dictionaries(rows: DataFrame, **kinds: type) -> DataFrame:
-    """Rows (chunk, place, ...) as one row per chunk: the named columns, each packed in the order of places."""
+def dictionaries(rows: DataFrame, n_tasks: int, **kinds: type) -> DataFrame:
+    """Rows (chunk, place, ...) as one row per chunk: the named columns, each packed in the order of places.
+
+    Chunks are dealt out one after the other; ``n_tasks`` is the number of tasks that made them.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = None, []
@@ -126,7 +136,9 @@ def dictionaries(rows: DataFrame, **kinds: type) -> DataFrame:
         if held:
             yield row()
 
-    dealt = rows.repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", *kinds)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.shiftright("chunk", 33) + F.col("chunk").bitwiseAND((1 << 33) - 1) * n_tasks
+    dealt = rows.repartitionById(n, F.pmod(place, F.lit(n)).cast("int")).sortWithinPartitions("chunk", "place").select("chunk", *kinds)
     return dealt.mapInArrow(gather, ", ".join(["chunk long", *[f"{name} binary" for name in kinds]]))
 
 
@@ -165,10 +177,29 @@ def coded(chunked: DataFrame, dictionary: DataFrame, n_tokens: int, n_words: int
     return chunked.select("chunk", "docs", "held", "lengths", "ids").join(dictionary, "chunk").mapInArrow(encode, _CODED)
 
 
-def _symbols(row: dict, n_base: int) -> np.ndarray:
-    """The symbol of each token of a coded chunk."""
-    names = np.concatenate([np.arange(n_base), _unpacked(row["named"], np.uint16)])
-    return names[_unpacked(row["places"], np.uint32)]
+class Naming:
+    """The symbols that a chunk's choosing words stand for: their class where they have chosen one, else their band."""
+
+    def __init__(self, n_base: int, least_symbol: int, classes: int, sent: Broadcast | None = None):
+        self.n_base, self._least, self._classes, self._sent = n_base, least_symbol, classes, sent
+
+    def of_class(self, old: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """The symbols of words by their classes; those of the least count are apart."""
+        least = (old == self._least) | (old >= self.n_base + self._classes)
+        return (self.n_base + chosen + self._classes * least).astype(np.uint16)
+
+    def named(self, row: dict) -> np.ndarray:
+        """The symbol of each choosing word of a coded chunk."""
+        old = _unpacked(row["named"], np.uint16)
+        if self._sent is None:
+            return old
+        words, classes = self._sent.value
+        return self.of_class(old, classes[np.searchsorted(words, _unpacked(row["words"], np.int64))])
+
+    def symbols(self, row: dict) -> np.ndarray:
+        """The symbol of each token."""
+        names = np.concatenate([np.arange(self.n_base), self.named(row)])
+        return names[_unpacked(row["places"], np.uint32)]
 
 
 def _before(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -179,13 +210,13 @@ def _before(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return prev
 
 
-def symbol_bigrams(texts: DataFrame, n_base: int, n_symbols: int) -> DataFrame:
+def symbol_bigrams(texts: DataFrame, naming: Naming, n_symbols: int) -> DataFrame:
     """``pair`` (before * n_symbols + symbol), ``n`` over the training texts: n_symbols**2 rows at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_symbols * n_symbols, np.int64)
         for row in _rows_of(batches):
-            symbols, lengths = _symbols(row, n_base), np.array(row["lengths"])
+            symbols, lengths = naming.symbols(row), np.array(row["lengths"])
             pairs = _before(symbols, lengths) * n_symbols + symbols
             seen += np.bincount(pairs[np.repeat(~np.array(row["held"], bool), lengths)], minlength=len(seen))
         at = np.flatnonzero(seen)
@@ -193,7 +224,7 @@ def symbol_bigrams(texts: DataFrame, n_base: int, n_symbols: int) -> DataFrame:
             part = at[lo : lo + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], names=["pair", "n"])
 
-    rows = texts.select("held", "lengths", "places", "named").mapInArrow(count, "pair long, n long")
+    rows = texts.select("held", "lengths", "places", "words", "named").mapInArrow(count, "pair long, n long")
     return rows.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -243,44 +274,109 @@ def exchange(bigrams: np.ndarray, first: np.ndarray, movable: np.ndarray, classe
     return own
 
 
-def neighbours(texts: DataFrame, n_base: int, classes_of: np.ndarray) -> DataFrame:
+def _binaries(lists: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    """Binary columns from (values, cuts between the rows)."""
+    out = []
+    for values, cuts in lists:
+        offsets = ((cuts - cuts[0]) * values.itemsize).astype(np.int32)
+        out.append(pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values[cuts[0] : cuts[-1]].tobytes())]))
+    return out
+
+
+def _flat(cells: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column's values in a row, and how many of them each of its rows has."""
+    cells = cells.combine_chunks()
+    cells = cells if isinstance(cells, pa.Array) else pa.concat_arrays(cells.chunks)
+    offsets = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1]
+    raw = np.frombuffer(cells.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return raw.view(kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
+def neighbours(texts: DataFrame, naming: Naming, classes_of: np.ndarray, hot: bool) -> DataFrame:
     """One row per chunk and word that chooses: its class so far, and how often each class stands beside it.
 
-    Over the training texts.  Codes: the class that follows, the class before plus the number of classes,
-    and twice that number for the word after itself.
+    Over the training texts; of the hot words (odd numbers) or the others.  Codes: the class that follows, the class
+    before plus the number of classes, and twice that number for the word after itself.
     """
     n = int(classes_of.max()) + 1
-    width = 2 * n + 1
+    width, n_base = 2 * n + 1, naming.n_base
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
             words, lengths = _unpacked(row["words"], np.int64), np.array(row["lengths"], np.int64)
-            if not len(words):
+            wanted = (words & 1).astype(bool) == hot
+            if not wanted.any():
                 continue
-            places, own = _unpacked(row["places"], np.uint32).astype(np.int64), classes_of[_unpacked(row["named"], np.uint16)]
+            places, own = _unpacked(row["places"], np.uint32).astype(np.int64), classes_of[naming.named(row)]
             of_place = np.concatenate([classes_of[:n_base], own])
             at = np.flatnonzero((places >= n_base) & np.repeat(~np.array(row["held"], bool), lengths))
+            at = at[wanted[places[at] - n_base]]
             before = _before(places, lengths)[at]
             w, after = places[at], places[at + 1]  # a text's last token is its end
             to = np.where(after == w, 2 * n, of_place[after])
             fro = np.flatnonzero(before != w)
             keys = np.concatenate([(w - n_base) * width + to, (w[fro] - n_base) * width + n + of_place[before[fro]]])
             keys, counts = np.unique(keys, return_counts=True)
-            ends = np.searchsorted(keys, np.arange(len(words) + 1) * width)
-            codes = (keys % width).astype(np.uint16)
-            for lo in range(0, len(words), 50_000):
-                hi = min(lo + 50_000, len(words))
-                cut = ends[lo : hi + 1]
-                packed = [x[cut[0] : cut[-1]].astype(kind) for x, kind in ((codes, np.uint16), (counts, np.uint32))]
-                lists = [
-                    pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(((cut - cut[0]) * x.itemsize).astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
-                    for x in packed
-                ]
-                cells = [pa.array(words[lo:hi]), pa.array(np.full(hi - lo, row["chunk"], np.int64)), pa.array(np.arange(lo, hi, dtype=np.int32)), pa.array(own[lo:hi].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*cells, *lists], names=["word", "chunk", "place", "own", "codes", "counts"])
+            codes, found = (keys % width).astype(np.uint16), keys // width
+            firsts = np.flatnonzero(np.diff(found, prepend=-1))
+            ends = np.append(firsts, len(keys))
+            for lo in range(0, len(firsts), 50_000):
+                cut = ends[lo : lo + 50_001]
+                mine = found[cut[:-1]]
+                cells = [pa.array(words[mine]), pa.array(own[mine].astype(np.int32)), *_binaries([(codes, cut), (counts.astype(np.int64), cut)])]
+                yield pa.RecordBatch.from_arrays(cells, names=_SUM_NAMES)
 
-    rows = texts.select("chunk", "held", "lengths", "places", "words", "named")
-    return rows.mapInArrow(count, "word long, chunk long, place int, own int, codes binary, counts binary")
+    return texts.select("held", "lengths", "places", "words", "named").mapInArrow(count, _SUMS)
+
+
+def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by word as tables that hold all rows of their words."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        word = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
+        if cut or last != word[0]:
+            done = [*held, batch.slice(0, cut)]
+            if sum(b.num_rows for b in done):
+                yield pa.Table.from_batches(done)
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+        last = word[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _dense(table: pa.Table, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, their classes so far, their counts by code) of rows that are sorted by word, 256 words at a time."""
+    word = table["word"].to_numpy()
+    first = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
+    (codes, sizes), (counts, _) = _flat(table["codes"], np.uint16), _flat(table["counts"], np.int64)
+    which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+    of = np.repeat(which, sizes)
+    own = table["own"].to_numpy()[first]
+    cuts = np.searchsorted(of, np.arange(0, len(first) + 256, 256))
+    for i, lo in enumerate(range(0, len(first), 256)):
+        hi, part = min(lo + 256, len(first)), slice(cuts[i], cuts[i + 1])
+        beside = np.bincount((of[part] - lo) * width + codes[part], counts[part], (hi - lo) * width)
+        yield word[first[lo:hi]], own[lo:hi], beside.reshape(hi - lo, width)
+
+
+def in_parts(rows: DataFrame, width: int) -> DataFrame:
+    """The rows of :func:`neighbours` summed by word in ``HOT_PARTS`` parts: so many rows a word are left at most."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_words(batches):
+            for words, own, beside in _dense(table, width):
+                at, codes = np.nonzero(beside)
+                cut = np.searchsorted(at, np.arange(len(words) + 1))
+                lists = _binaries([(codes.astype(np.uint16), cut), (beside[at, codes].astype(np.int64), cut)])
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(own), *lists], names=_SUM_NAMES)
+
+    part = F.pmod(F.spark_partition_id(), F.lit(HOT_PARTS))
+    dealt = rows.withColumn("part", part).repartition("word", "part").sortWithinPartitions("word").drop("part")
+    return dealt.mapInArrow(add, _SUMS)
 
 
 def best_classes(beside: np.ndarray, own: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
@@ -330,58 +426,40 @@ def best_classes(beside: np.ndarray, own: np.ndarray, table: np.ndarray, classes
 
 
 def chosen(rows: DataFrame, table: np.ndarray, classes: int) -> DataFrame:
-    """``chunk``, ``classes``: the classes that the words of each chunk choose, from the rows of :func:`neighbours`."""
+    """``word``, ``class``: the class that each word chooses, from the rows of :func:`neighbours`."""
     width = 2 * len(table) + 1
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answers(held: pa.Table) -> pa.RecordBatch:
-            word, codes, counts = held["word"].to_numpy(), held["codes"].to_pylist(), held["counts"].to_pylist()
-            _, first, which = np.unique(word, return_index=True, return_inverse=True)
-            own, best = held["own"].to_numpy()[first], np.empty(len(first), np.int32)
-            ends = np.searchsorted(which, np.arange(len(first) + 1))
-            for lo in range(0, len(first), 256):
-                hi = min(lo + 256, len(first))
-                rows = slice(ends[lo], ends[hi])
-                flat, n = np.frombuffer(b"".join(codes[rows]), np.uint16), np.frombuffer(b"".join(counts[rows]), np.uint32)
-                of = np.repeat(which[rows] - lo, [len(c) // 2 for c in codes[rows]])
-                beside = np.bincount(of * width + flat, n, (hi - lo) * width).reshape(hi - lo, width)
-                best[lo:hi] = best_classes(beside, own[lo:hi], table, classes)
-            cells = [held["chunk"].to_numpy(), held["place"].to_numpy(), best[which]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["chunk", "place", "classes"])
-
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            batch = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, batch]) if held is not None else batch
-            word = held["word"].to_numpy()
-            cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
-            if cut:
-                yield answers(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None:
-            yield answers(held)
+        for held in _whole_words(batches):
+            for words, own, beside in _dense(held, width):
+                best = best_classes(beside, own, table, classes).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best)], names=["word", "class"])
 
-    dealt = rows.repartition("word").sortWithinPartitions("word")
-    return dictionaries(dealt.mapInArrow(choose, "chunk long, place int, classes int"), classes=np.uint16)
+    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word long, class int")
 
 
-def renamed(texts: DataFrame, choice: DataFrame, n_base: int, least_symbol: int, classes: int) -> DataFrame:
-    """The coded chunks with the chosen classes as their words' symbols (those of the least count are apart)."""
+def renamed(texts: DataFrame, choice: DataFrame, naming: Naming, n_tasks: int) -> DataFrame:
+    """The coded chunks with the chosen classes as their words' symbols, joined by word and then by chunk."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows_of(batches):
+            words = _unpacked(row["words"], np.int64)
+            for lo in range(0, len(words), 50_000):
+                part = words[lo : lo + 50_000]
+                cells = [np.full(len(part), row["chunk"], np.int64), np.arange(lo, lo + len(part), dtype=np.int32), part]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["chunk", "place", "word"])
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = []
-            for old, new in zip(batch.column("named").to_pylist(), batch.column("classes").to_pylist()):
-                old = _unpacked(old, np.uint16)
-                least = (old == least_symbol) | (old >= n_base + classes)
-                named.append(_packed((n_base + _unpacked(new, np.uint16) + classes * least).astype(np.uint16)) if new is not None else _packed(old))
+            cells = zip(batch.column("named").to_pylist(), batch.column("classes").to_pylist())
+            named = [_packed(naming.of_class(_unpacked(old, np.uint16), _unpacked(new, np.uint16))) if new is not None else old for old, new in cells]
             at = batch.schema.get_field_index("named")
             yield batch.set_column(at, "named", pa.array(named, pa.binary())).drop_columns("classes")
 
     columns = [f.split()[0] for f in _CODED.split(", ")]
-    return texts.join(choice, "chunk", "left").select(*columns, "classes").mapInArrow(name, _CODED)
+    met = texts.select("chunk", "words").mapInArrow(places, "chunk long, place int, word long").join(choice, "word")
+    found = dictionaries(met.select("chunk", "place", F.col("class").alias("classes")), n_tasks, classes=np.uint16)
+    return texts.join(found, "chunk", "left").select(*columns, "classes").mapInArrow(name, _CODED)
 
 
 def _dropped(df: DataFrame) -> None:
@@ -466,7 +544,9 @@ def score_documents(
     other = F.lit(_WORDS + clustered) + 2 * band + F.when(power, 0).otherwise(1)
     symbol = F.when(F.octet_length("word") == 0, _END).when(F.col("symbol").isNotNull(), F.col("symbol")).otherwise(other)
     chooses = F.col("symbol").isNull() & (F.octet_length("word") > 0) & (F.col("count") >= LEAST_COUNT)
-    number = F.when(chooses, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    # Numbers of hot words are odd.
+    is_hot = F.when(F.col("count") >= HOT_COUNT, 1).otherwise(0)
+    number = F.when(chooses, 2 * F.monotonically_increasing_id() + is_hot).otherwise(F.lit(-1).cast("long"))
     named = totals.join(common, "word", "left").select("word", "count", symbol.cast("int").alias("symbol"), number.alias("number"))
     named = written(named, "lm-symbols")
 
@@ -479,14 +559,18 @@ def score_documents(
     # Symbols: unknown, end, frequent words and bands; then the classes of other words, and those of words of the least count.
     n_base = _WORDS + clustered + 2 * _BANDS
     n_symbols, least_symbol = n_base + 2 * classes, _WORDS + clustered + 2 * (LEAST_COUNT.bit_length() - 1)
-    dictionary = dictionaries(met, counts=np.int64, symbols=np.uint16, words=np.int64)
+    n_tasks = (chunked.agg(F.max(F.shiftright("chunk", 33))).first()[0] or 0) + 1
+    any_hot = not named.where(F.col("number") % 2 == 1).isEmpty()
+    dictionary = dictionaries(met, n_tasks, counts=np.int64, symbols=np.uint16, words=np.int64)
     texts = written(coded(chunked, dictionary, n_tokens, n_words, n_base), "lm-coded")
     for table in (chunked, totals, named):
         _dropped(table)
 
+    naming = Naming(n_base, least_symbol, classes)
+
     def bigrams() -> np.ndarray:
         out = np.zeros(n_symbols * n_symbols)
-        counted = symbol_bigrams(texts, n_base, n_symbols).toPandas()
+        counted = symbol_bigrams(texts, naming, n_symbols).toPandas()
         out[counted["pair"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
         return out.reshape(n_symbols, n_symbols)
 
@@ -496,15 +580,25 @@ def score_documents(
     for _ in range(WORD_SWEEPS):
         table = np.zeros((n, n))
         np.add.at(table, (own[:, None], own[None, :]), pairs)
-        choice = written(chosen(neighbours(texts, n_base, own), table, classes), "lm-choice")
-        before, texts = texts, written(renamed(texts, choice, n_base, least_symbol, classes), "lm-coded")
-        _dropped(before)
+        sums = neighbours(texts, naming, own, hot=False)
+        if any_hot:
+            sums = sums.union(in_parts(neighbours(texts, naming, own, hot=True), 2 * n + 1))
+        choice = written(chosen(sums, table, classes), "lm-choice")
+        if choice.count() <= SENT_WORDS:
+            answers = choice.toPandas().sort_values("word")
+            if len(answers):
+                sent = answers["word"].to_numpy(np.int64), answers["class"].to_numpy(np.uint16)
+                naming = Naming(n_base, least_symbol, classes, spark.sparkContext.broadcast(sent))
+        else:
+            naming = Naming(n_base, least_symbol, classes)
+            before, texts = texts, written(renamed(texts, choice, naming, n_tasks), "lm-coded")
+            _dropped(before)
         pairs = bigrams()
     model = Model(pairs, pairs.sum(0), clustered, classes, own)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
-            symbols, lengths = _symbols(row, n_base), np.array(row["lengths"])
+            symbols, lengths = naming.symbols(row), np.array(row["lengths"])
             scores = model.scores(symbols, lengths, np.array(row["emit"]))
             cells = [row["docs"], row["held"], row["lengths"], row["known"], [n_tokens] * len(scores), row["base"], scores]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names=names)

@@ -154,3 +154,120 @@ def test_exchange_goes_on_until_no_word_moves(seed):
             other = own.copy()
             other[w] = b
             assert likelihood(other) <= best + 1e-6
+
+
+def brute_scores(rows, clustered, classes):
+    """The model's score of every row in plain Python: each choice by the likelihood of the whole recounted table."""
+    held = lambda d: crc("" if d is None else d) % 7 == 2
+    texts = [(d, words(t) + [b""]) for d, t in rows]
+    count = Counter(w for d, ws in texts if not held(d) for w in ws)
+    common = sorted((w for w in count if w and count[w] >= 8), key=lambda w: (-count[w], w))[:clustered]
+    choosers = sorted(w for w in count if w and count[w] >= 8 and w not in common)
+    word_class = {w: i % classes for i, w in enumerate(common)}
+
+    def class_of(w):
+        if w in word_class:
+            return word_class[w]
+        return "end" if w == b"" else ("band", count[w].bit_length() - 1) if count[w] else "unknown"
+
+    def left_out(w):
+        n = count[w]
+        if w in word_class and not (w in choosers and n == 8) or w == b"" or not n:
+            return class_of(w)
+        if n & (n - 1):
+            return class_of(w)
+        return ("band", n.bit_length() - 2) if n > 1 else "unknown"
+
+    pairs = Counter((a, b) for d, ws in texts if not held(d) for a, b in zip([b"", *ws], ws))
+
+    def likelihood(of):
+        table, rows_, cols = Counter(), Counter(), Counter()
+        for (a, b), n in pairs.items():
+            x, y = of(a), of(b)
+            table[x, y] += n
+            rows_[x] += n
+            cols[y] += n
+        f = lambda c: sum(n * math.log(n) for n in c.values())
+        return f(table) - f(rows_) - f(cols)
+
+    def best(w, now):
+        reached = [likelihood(lambda x: b if x == w else class_of(x)) for b in range(classes)]  # noqa: B023
+        top = max(range(classes), key=lambda b: (round(reached[b], 7), -b))
+        return now if isinstance(now, int) and reached[top] <= reached[now] + 1e-6 else top
+
+    moved = True
+    while moved:
+        moved = False
+        for w in common:
+            b = best(w, word_class[w])
+            moved, word_class[w] = moved or b != word_class[w], b
+    for _ in range(class_lm.WORD_SWEEPS):
+        word_class.update({w: best(w, class_of(w)) for w in choosers})
+
+    kinds = [*range(classes), "unknown", "end", *[("band", k) for k in range(class_lm._BANDS)]]
+    moves, rows_, cols = Counter(), Counter(), Counter()
+    for (a, b), n in pairs.items():
+        moves[left_out(a), left_out(b)] += n
+        rows_[left_out(a)] += n
+        cols[left_out(b)] += n
+    totals = Counter()
+    for w, n in count.items():
+        totals[class_of(w)] += n
+    whole, smooth = sum(moves.values()), class_lm.SMOOTHING
+
+    def step(a, b):
+        x, y = class_of(a), class_of(b)
+        share = (cols[y] + 1) / (whole + len(kinds))
+        out = math.log10((moves[x, y] + smooth * share) / (rows_[x] + smooth))
+        return out + (math.log10(count[b] / totals[y]) if count[b] else 0.0)
+
+    return Counter((d, round(sum(step(a, b) for a, b in zip([b"", *ws], ws)), 4)) for d, ws in texts)
+
+
+def small_corpus(seed=3):
+    """Two kinds of words in turns, of falling frequency, words of exactly 8, rare ones, and texts without words."""
+    rng = np.random.default_rng(seed)
+    weights = 1 / np.arange(1, 15)
+    rows = []
+    for i in range(60):
+        ws = [f"{'ab'[k % 2]}{rng.choice(14, p=weights / weights.sum())}" for k in range(rng.integers(0, 30))]
+        rows.append((i, " ".join(ws + [f"rare{rng.integers(0, 60)}"] * (i % 3 == 0) + ["eight"] * (i in (1, 4, 5, 7)) * 2)))
+    return rows + [(100, None), (101, ""), (None, "a1 b1")]
+
+
+@pytest.mark.parametrize("hot, sent, chunk_tokens", [(1 << 18, 1 << 22, 1 << 21), (12, 1 << 22, 60), (12, 0, 60), (1 << 18, 0, 200)])
+def test_scores_match_brute_force(spark, monkeypatch, hot, sent, chunk_tokens):
+    """From the counts to the score; the same with words whose counts meet in parts, and with answers joined back."""
+    monkeypatch.setattr(class_lm, "HOT_COUNT", hot)
+    monkeypatch.setattr(class_lm, "SENT_WORDS", sent)
+    monkeypatch.setattr(class_lm, "HOT_PARTS", 3)
+    rows = small_corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = class_lm.score_documents(docs, clustered=5, classes=3, chunk_tokens=chunk_tokens).collect()
+    assert counts(got) == brute_base(rows)
+    assert Counter((r["doc_id"], round(r["score"], 4)) for r in got) == brute_scores(rows, 5, 3)
+
+
+def test_whole_words_over_batches():
+    """Rows of a word come together whatever the batches; the sums equal plain ones."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    word = np.sort(rng.integers(0, 9, 60))
+    word[20:45] = word[20]
+    word = np.sort(word)
+    codes = [rng.integers(0, 7, rng.integers(0, 4)).astype(np.uint16) for _ in word]
+    counts_ = [rng.integers(1, 9, len(c)).astype(np.int64) for c in codes]
+    table = pa.table({"word": word, "own": pa.array(word.astype(np.int32)), "codes": pa.array([c.tobytes() for c in codes], pa.binary()), "counts": pa.array([c.tobytes() for c in counts_], pa.binary())})
+    for size in (1, 3, 7, 100):
+        got = {}
+        for held in class_lm._whole_words(iter(table.to_batches(size))):
+            for words_, own, beside in class_lm._dense(held, 7):
+                for w, o, b in zip(words_.tolist(), own.tolist(), beside):
+                    assert w not in got and o == w
+                    got[w] = b
+        for w in np.unique(word):
+            want = np.zeros(7)
+            for i in np.flatnonzero(word == w):
+                np.add.at(want, codes[i], counts_[i])
+            assert (got[w] == want).all()
