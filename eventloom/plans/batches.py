@@ -39,7 +39,7 @@ def row_index(df: DataFrame, order_by: list[str] | str | None = None, name: str
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return frozen.join(F.broadcast(starts), "_pid").withColumn(name, F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
+    return frozen.join(starts, "_pid").withColumn(name, F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
 
 
 def assign_batches(

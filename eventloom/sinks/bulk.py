@@ -6,8 +6,8 @@ each task; nothing is gathered on the driver or in one task.
 
 * :func:`write_bulk_files` writes request bodies as text files, many requests per
   file (``requests_per_file``, through ``maxRecordsPerFile``), accepted and rejected
-  records in one job (``status=loaded`` / ``status=rejected`` folders), in the
-  input's order and without a sort.  A file holds whole requests but for its last;
+  records in one job (``status=loaded`` / ``status=rejected`` folders), each in the
+  input's order, with a sort inside the task and no setting of the session touched.  A file holds whole requests but for its last;
   :func:`file_requests` cuts the lines of one file into its requests again.
 * :func:`push_bulk` hands each request to a caller-supplied ``send(lines)``
   through a Python data source writer.  ``send`` raising fails the task; Spark
@@ -37,7 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.document import bulk_action_json, bulk_source_json
 from ..operators.quarantine import accepted_events
-from ..plans.load import EventLoad
+from ..plans.load import EventLoad, LoadReport
 from ..sources.ranges import check_readable, file_exists, write_file
 
 # The default number of requests in a file: 200,000 records with the default request size.
@@ -51,10 +51,10 @@ def bulk_lines(df: DataFrame) -> DataFrame:
 
 def write_bulk_files(
     load: EventLoad, path: str, batch_size: int = 500, mode: str = "append", requests_per_file: int = REQUESTS_PER_FILE
-) -> None:
-    """K2 as files: ``requests_per_file`` bulk requests a file, rejected records alongside; one job, no shuffle, no sort.
+) -> LoadReport:
+    """K2 as files: ``requests_per_file`` bulk requests a file, rejected records alongside; one job, no shuffle.
 
-    With ``batch_size`` <= 0 a task's records are one request in one file.
+    With ``batch_size`` <= 0 a task's records are one request in one file.  Returns the counts of this very job.
     """
     df = load.observed(load.all)
     rejected_json = F.to_json(F.struct(*[F.col(c) for c in _input_columns(df)], F.col("reason")))
@@ -62,18 +62,13 @@ def write_bulk_files(
         rejected_json
     )
     status = F.when(F.col("reason").isNull(), F.lit("loaded")).otherwise(F.lit("rejected"))
-    out = df.select(value.alias("value"), status.alias("status"))
-    writer = out.write.mode(mode).partitionBy("status")
+    # A task writes one folder after the other; its place in the input keeps the order of either.
+    out = df.select(value.alias("value"), status.alias("status"), F.monotonically_increasing_id().alias("place"))
+    writer = out.sortWithinPartitions("status", "place").drop("place").write.mode(mode).partitionBy("status")
     if batch_size > 0:
         writer = writer.option("maxRecordsPerFile", batch_size * requests_per_file)
-    # Both folders are open at once: a task's records need no sort by status and keep their order.
-    spark, key = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "2")
-    try:
-        writer.text(path)
-    finally:
-        spark.conf.set(key, before)
+    writer.text(path)
+    return load.report
 
 
 def file_requests(lines: Iterable[str], batch_size: int = 500) -> Iterator[list[str]]:

@@ -199,3 +199,17 @@ def test_table_days_share_files(spark):
     append_events(load_events(spark, spark.createDataFrame([(x,) for x in days], "xml string").repartition(20)), name)
     assert len(spark.table(name).inputFiles()) == 9 and spark.table(name).count() == 180
     clear_event_table(spark, name)
+
+
+def test_bulk_files_leave_the_session_alone(spark, tmp_path):
+    """Loads in threads: no setting changes while they write, and the plan holds one sort and no shuffle."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", set()
+    load = load_events(spark, _source(spark, 400, 9).repartition(4))
+    with ThreadPoolExecutor(3) as pool:
+        runs = [pool.submit(write_bulk_files, load_events(spark, _source(spark, 400, 9).repartition(4)), str(tmp_path / f"t{i}"), 50) for i in range(3)]
+        while not all(r.done() for r in runs):
+            seen.add(spark.conf.get(key))
+    assert seen == {"0"} and {r.result().records for r in runs} == {409}
+    assert write_bulk_files(load, str(tmp_path / "one")).loaded == 400
