@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextvars import ContextVar
 from types import ModuleType
 
 import pyarrow as pa
@@ -19,14 +20,53 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+class Scratch:
+    """The tables that :func:`written` makes inside a ``with Scratch() as tables``; at its end they are removed.
+
+    ``keep`` leaves one to the scope around (or, without one, in the scratch folder): what is read later, by the
+    frame that an operator gives back.  ``drop`` removes one at once.
+    """
+
+    _open: ContextVar[Scratch | None] = ContextVar("eventloom-scratch", default=None)
+
+    def __enter__(self) -> Scratch:
+        self._around, self._paths = Scratch._open.get(), {}
+        Scratch._open.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.set(self._around)
+        for df in [df for df, _ in self._paths.values()]:
+            self.drop(df)
+
+    def _add(self, df: DataFrame, path: str) -> None:
+        self._paths[id(df)] = (df, path)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        entry = self._paths.pop(id(df), None)
+        if entry is not None and self._around is not None:
+            self._around._add(*entry)
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        entry = self._paths.pop(id(df), None)
+        if entry is not None:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])  # the file systems that Spark itself writes to
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet into the shared scratch folder and read again.
+    """``df`` written as Parquet into the shared scratch folder and read again; the open :class:`Scratch` removes it.
 
     Cuts the lineage: a lost executor costs a re-read of the files, never the work before them.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (tables := Scratch._open.get()) is not None:
+        tables._add(out, path)
+    return out
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

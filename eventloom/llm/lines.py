@@ -2,7 +2,7 @@
 
 Lines are exploded, normalised and hashed (128 bits in two 64-bit hashes); documents are counted per
 hash with ``count(DISTINCT)``, whose first shuffle is by (hash, document), so a line that a third of
-all documents hold is spread before it meets in one sum.  Only hashes and positions are shuffled for
+all documents hold is spread before it meets in one sum.  Only hashes and positions are written and shuffled for
 the counts; the texts move once, when they meet the list of positions to drop, and are put together
 again by position.  The join of lines with frequent hashes is an inner sort-merge join, whose hot
 partitions adaptive execution splits.
@@ -37,6 +37,8 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     lines = keyed.where(F.length("key") >= min_chars).select(
         "r1", "r2", "doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), F.col("key")).alias("h2")
     )
+    # Written: the counts and the join both read them, and the texts are cut into lines once.
+    lines = written(lines, "lines")
     counts = lines.groupBy("h1", "h2").agg(F.countDistinct("doc").alias("n_docs"), F.max("doc").alias("keeper"))
     # Written, so that the join with it can be split where a line is hot, or broadcast while Spark finds it small.
     return lines, written(counts.where(F.col("n_docs") >= min_docs), "frequent-lines")

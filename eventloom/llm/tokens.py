@@ -93,12 +93,15 @@ class Encoder:
             self._forget()
         known, number = len(self._numbers), self._numbers.__getitem__
         parts, n_parts = texts, np.ones(len(texts), np.int64)
-        if max(map(len, texts), default=0) > _SEGMENT or any(m in t for m in self._marks for t in texts):
+        marked = any(m in t for m in self._marks for t in texts)
+        if marked or max(map(len, texts), default=0) > _SEGMENT:
             cut = list(map(self._parts, texts))
             parts, n_parts = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
         codes, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
         for block in _blocks(parts):
-            pieces = [_PIECE.findall(p) if p not in self._marks else [p] for p in block]
+            pieces = list(map(_PIECE.findall, block))
+            if marked:
+                pieces = [[p] if p in self._marks else found for p, found in zip(block, pieces)]
             counts.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
             codes.append(np.fromiter(map(number, chain.from_iterable(pieces)), np.int64, counts[-1].sum()))
             del pieces  # before new ones are learned

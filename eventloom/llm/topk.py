@@ -122,13 +122,21 @@ def top_k(
     rows = vectors.where(good).select(column(id_col).cast("long").alias("id"), column(vector_col).alias("v"), is_query.alias("q"))
     cands = written(blocks(rows.select("id", "v"), scale, block).withColumn("cell", F.monotonically_increasing_id()), "candidates")
     asked = rows.where("q").select("id", "v")
-    n_cells, n_asked = cands.count(), asked.count()
+    n_asked = asked.count()
+    # Blocks are numbered 0, 1, 2, ... from one count for each task that made them.
+    made, mask = F.shiftright("cell", 33), (1 << 33) - 1
+    counts = cands.select(made.alias("made")).groupBy("made").agg(F.count(F.lit(1)).alias("own"))
+    before = Window.orderBy("made").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(counts.select("made", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start")), "candidate-starts")
+    n_cells = starts.agg(F.sum("own")).first()[0] or 0
+    cands = cands.withColumn("made", made).join(starts.select("made", "start"), "made")
+    cands = cands.withColumn("cell", (F.col("start") + F.col("cell").bitwiseAND(mask)).cast("long")).drop("made", "start")
     # Queries gathered into full blocks: the fewer they are, the fewer times a candidate block is met.
     asked = written(blocks(asked.repartition(max(1, -(-n_asked // (block // 4)))), scale, block).withColumn("query_block", F.monotonically_increasing_id()), "queries")
     cells = max(1, n_cells)
     named = [F.col(c).alias(f"q_{c}") for c in ("n", "ids", "terms", "lengths", "rows", "weights")]
-    spread = asked.select("query_block", *named, F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
-    met = cands.withColumn("cell", F.pmod(F.xxhash64("cell"), F.lit(cells)).cast("int")).join(spread, "cell")
+    spread = asked.select("query_block", *named, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
+    met = cands.join(spread, "cell")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

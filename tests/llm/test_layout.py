@@ -49,6 +49,55 @@ def test_feistel_is_a_permutation(spark, n):
     assert sorted(r["p"] for r in p.collect()) == list(range(n))
 
 
+def plain_hash(*numbers):
+    """Spark's xxhash64 of 64-bit numbers: each hashed with the hash so far as its seed."""
+    import struct
+
+    import xxhash
+
+    seed = 42
+    for x in numbers:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_permuted(x, n, seed=sharding.SEED):
+    """The permutation of 0..n-1 in plain Python: rounds on Z_a x Z_b, and again while the value is n or more."""
+    a = next(a for a in range(1, n + 2) if a * a >= n)
+    b = -(-n // a)
+    while True:
+        left, right = x % a, x // a
+        for i in range(4):
+            if i % 2:
+                right = (right + plain_hash(seed * 1000 + i, left) % b) % b
+            else:
+                left = (left + plain_hash(seed * 1000 + i, right) % a) % a
+        x = right * a + left
+        if x < n:
+            return x
+
+
+def plain_shards(rows, shards):
+    keys = [(d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t, *_ in rows]
+    keys.sort(key=lambda k: (k[0] is not None, k[0] or 0, k[1], k[2]))
+    at = [plain_permuted(i, len(keys)) for i in range(len(keys))]
+    return Counter((*k, p % shards, p // shards) for k, p in zip(keys, at))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
+def test_feistel_equals_plain_python(spark, n):
+    got = [r["p"] for r in spark.range(n).select("id", sharding.permuted(F.col("id"), n).alias("p")).orderBy("id").collect()]
+    assert got == [plain_permuted(i, n) for i in range(n)]
+
+
+def test_shards_and_slots_equal_plain_python(spark):
+    columns = ["doc_id", "size", "text_crc32", "shard", "slot"]
+    got = sharding.shard_documents(edge_docs(spark), shards=7).select(columns).collect()
+    assert Counter(map(tuple, got)) == plain_shards(edge_rows(), 7)
+    got = queries.op4_feistel_shards(spark, SF_SMALL).select(columns).collect()
+    assert Counter(map(tuple, got)) == plain_shards([(d["doc_id"], d["text"]) for d in read_documents(SF_SMALL)], 40)
+
+
 def test_shard_query(spark):
     rows = queries.op4_feistel_shards(spark, SF_SMALL).collect()
     docs = {d["doc_id"]: d["text"] or "" for d in read_documents(SF_SMALL)}

@@ -322,3 +322,30 @@ def test_blocks_have_the_weights(spark):
     for r in got:
         share[r["block"]][r["source"]] += r["n_tokens"]
     assert len(share) == 8 and all(abs(c["a"] - c["b"]) <= 40 for c in share.values())
+
+
+def test_scratch_tables_go(spark):
+    """Of what an operator writes, only what its result reads stays; an outer scope removes that too."""
+    import os
+
+    from eventloom.llm import class_lm
+    from eventloom.llm.common import Scratch, written
+    from eventloom.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    there = lambda: {f for f in os.listdir(base) if os.path.isdir(f"{base}/{f}")}
+    before, docs = there(), edge_docs(spark).cache()
+    for run, left in ((minhash.near_duplicates, 2), (class_lm.score_documents, 1)):
+        with Scratch() as tables:
+            now = there()
+            out = run(docs)
+            assert len(there() - now) == left
+            kept = tables.keep(written(out, "result"))
+        assert len(there() - now) == 1 and kept.count() == len(edge_rows())
+    with Scratch() as tables:
+        first = written(spark.range(3), "one")
+        tables.drop(first)
+        with pytest.raises(ZeroDivisionError), Scratch():
+            written(spark.range(3), "two")
+            raise ZeroDivisionError
+    assert len(there() - before) == 2
