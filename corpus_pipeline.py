@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import written
+from eventloom.llm.common import Scratch, written
 from eventloom.llm.langid import UNKNOWN, language_column, learn_profiles, least_scores, length_class
 from eventloom.llm.lines import without_shared_lines
 from eventloom.llm.minhash import one_of_each
@@ -100,5 +100,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with Scratch() as tables:  # what a stage wrote on its way goes when its rows are written
+            docs = tables.keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
     return STAGES[-1][1](spark, docs, sf_dir)
