@@ -78,7 +78,8 @@ def write_token_files(
     columns are not looked at.
     """
     rows = token_rows(docs, id_col, text_col, vocabulary, end_id)
-    writer = rows.write.option("compression", "zstd").option("parquet.writer.version", "v2")
+    writer = rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", 1)
+    writer = writer.option("parquet.writer.version", "v2")
     writer = writer.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
     writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.dictionary.page.size", 4 << 20)
     for name in ("doc", "part", "start", "n_tokens"):
