@@ -563,8 +563,8 @@ def score_documents(
 
         def bigrams() -> np.ndarray:
             out = np.zeros(n_symbols * n_symbols)
-            counted = symbol_bigrams(texts, naming, n_symbols).toPandas()
-            out[counted["pair"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float64)
+            counted = symbol_bigrams(texts, naming, n_symbols).toArrow()
+            out[counted["pair"].to_numpy()] = counted["n"].to_numpy()
             return out.reshape(n_symbols, n_symbols)
 
         pairs = bigrams()
@@ -578,9 +578,11 @@ def score_documents(
                 sums = sums.union(in_parts(neighbours(texts, naming, own, hot=True), 2 * n + 1))
             choice = written(chosen(sums, table, classes), "lm-choice")
             if choice.count() <= SENT_WORDS:
-                answers = choice.toPandas().sort_values("word")
+                answers = choice.toArrow()
                 if len(answers):
-                    sent = answers["word"].to_numpy(np.int64), answers["class"].to_numpy(np.uint16)
+                    words, chosen_ = answers["word"].to_numpy(), answers["class"].to_numpy().astype(np.uint16)
+                    order = np.argsort(words)
+                    sent = words[order], chosen_[order]
                     naming = Naming(n_base, least_symbol, classes, spark.sparkContext.broadcast(sent))
             else:
                 naming = Naming(n_base, least_symbol, classes)

@@ -310,9 +310,9 @@ def quality_scores(
     n = met.count()
     place = F.pmod(F.xxhash64(F.lit(11), "doc", "at"), F.lit(1 << 32))
     sample = met.where(place < min(1 << 32, (fit_rows << 32) // max(n, 1))).orderBy("doc", "at")
-    got = sample.select("features", "y", (F.pmod(F.xxhash64(F.lit(13), "doc"), F.lit(5)) == 0).alias("held")).toPandas()
-    features = np.array(got["features"].tolist(), np.float32).reshape(len(got), len(FEATURES))
-    model = fit(features, got["y"].to_numpy(np.float64), got["held"].to_numpy(bool))
+    got = sample.select("features", "y", (F.pmod(F.xxhash64(F.lit(13), "doc"), F.lit(5)) == 0).alias("held")).toArrow()
+    features = got["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(got), len(FEATURES))
+    model = fit(features, got["y"].to_numpy(), got["held"].to_numpy())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
