@@ -28,7 +28,7 @@ MAX_LANGUAGES = 2000
 UNKNOWN = "und"
 LEAST_TEXTS = 30  # labelled texts of a language and length whose scores tell what is too low
 _EDGE = 1  # stands for a word's end; no letter has this number
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 
 def _letters() -> np.ndarray:
@@ -143,22 +143,24 @@ def length_class(text: Column) -> Column:
     return F.length(F.bin(F.length(text)))
 
 
-def least_scores(
-    docs: DataFrame, profiles: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE, floor: float = 0.1, spread: float = 4.0
-) -> list[tuple[str, int, float]]:
-    """(language, length class, least score) as the labelled texts' own scores ask for it.
+def least_scores(found: DataFrame, floor: float = 0.1, spread: float = 4.0) -> dict[tuple[str, int], float]:
+    """Least scores by (language, length class), as the labelled texts' own scores ask for them.
 
-    Over all texts whose label the profiles find: the median less ``spread`` times its distance to the score that one
-    text in twenty stays below, so that odd texts among the labelled ones don't lower it; not below ``floor``.  A class with
-    fewer than ``LEAST_TEXTS`` such texts is left out.
+    ``found`` has ``lang``, ``lang_pred``, ``score`` and ``class`` of every text.  Over all texts whose label the profiles
+    find: the median less ``spread`` times its distance to the score that one text in twenty stays below, so that odd
+    texts among the labelled ones don't lower it; not below ``floor``.  A class with fewer than ``LEAST_TEXTS`` such texts
+    takes the limit of the next shorter one, as longer texts score higher; it is left out if there is none.
     """
-    rows = docs.select(column(lang_col).cast("string").alias("lang"), column(text_col).alias("text")).dropna()
-    found = rows.select("lang", length_class(F.col("text")).alias("class"), language_column(profiles, F.col("text"), size).alias("found"))
-    right = found.where(F.col("lang") == F.col("found.lang_pred"))
-    middle, low = (F.percentile_approx("found.score", p, 1000) for p in (0.5, 0.05))
+    right = found.where(F.col("lang") == F.col("lang_pred"))
+    middle, low = (F.percentile_approx("score", p, 1000) for p in (0.5, 0.05))
     sums = right.groupBy("lang", "class").agg(F.count(F.lit(1)).alias("n"), middle.alias("middle"), low.alias("low")).where(F.col("n") >= LEAST_TEXTS)
     # A few dozen length classes for each language.
-    return [(r["lang"], r["class"], max(floor, r["middle"] - spread * (r["middle"] - r["low"]))) for r in sums.collect()]
+    limits = {(r["lang"], r["class"]): max(floor, r["middle"] - spread * (r["middle"] - r["low"])) for r in sums.collect()}
+    for lang in {lang for lang, _ in limits}:
+        for longer in range(1, 33):
+            if (lang, longer - 1) in limits:
+                limits.setdefault((lang, longer), limits[lang, longer - 1])
+    return limits
 
 
 def held_out(doc: Column, folds: int = 3, fold: int = 1) -> Column:
