@@ -37,21 +37,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = written(learn_profiles(docs), "pipeline-profiles")
     if profiles.isEmpty():
         return docs
-    limits = least_scores(docs, profiles, floor=MIN_LANGUAGE_SCORE)
     found = language_column(profiles, F.col("text"))
-    named = docs.select(F.struct("*").alias("row"), found.alias("found"), length_class(F.col("text")).alias("class"))
-    score, lang = F.col("found.score"), F.col("found.lang_pred")
-    # A class too thin to tell takes the limit of the next shorter one: longer texts score higher.
-    known = {(lang_, class_): x for lang_, class_, x in limits}
-    for lang_ in {lang_ for lang_, _ in known}:
-        for class_ in range(1, 33):
-            if (lang_, class_ - 1) in known:
-                known.setdefault((lang_, class_), known[lang_, class_ - 1])
+    # Written: the limits come from all scores, and then every row meets its limit; texts are looked at once.
+    rows = docs.select(F.struct("*").alias("row"), F.col("lang").alias("lang"), found.alias("found"), length_class(F.col("text")).alias("class"))
+    rows = written(rows.select("row", "lang", "found.*", "class"), "pipeline-languages")
     least = F.lit(MIN_LANGUAGE_SCORE)
-    if known:
-        by_class = F.create_map(*[F.lit(x) for (lang_, class_), x in known.items() for x in (f"{class_} {lang_}", x)])
-        least = F.coalesce(by_class[F.concat_ws(" ", "class", lang)], least)
-    return named.where((lang != UNKNOWN) & (score >= least)).select("row.*")
+    if limits := least_scores(rows, floor=MIN_LANGUAGE_SCORE):
+        by_class = F.create_map(*[F.lit(x) for (lang, class_), limit in limits.items() for x in (f"{class_} {lang}", limit)])
+        least = F.coalesce(by_class[F.concat_ws(" ", "class", "lang_pred")], least)
+    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
