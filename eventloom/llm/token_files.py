@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import column, text_slices, written
-from .tokens import END_ID, worker_encoder
+from .tokens import END_ID, forget_encoders, worker_encoder
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -102,6 +102,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 def id_checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces ``ids`` by their CRC-32 as little-endian unsigned 32-bit numbers."""
+    forget_encoders()
     for batch in batches:
         lists = batch.column(batch.schema.get_field_index("ids"))
         values = memoryview(lists.flatten().to_numpy(zero_copy_only=False)).cast("B")

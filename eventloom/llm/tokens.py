@@ -160,6 +160,11 @@ def worker_encoder(vocabulary: str | None) -> Encoder:
     return encoders[vocabulary]
 
 
+def forget_encoders() -> None:
+    """Free what this Python worker remembers for encoding, where it goes on with other work."""
+    worker_store().pop("encoders", None)
+
+
 def _blocks(parts: list[str]) -> Iterator[list[str]]:
     """Runs of parts with about two million characters, whose pieces are held at once."""
     if parts:

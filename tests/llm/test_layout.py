@@ -272,6 +272,20 @@ def test_token_files_edge(spark, tmp_path):
     assert token_files.read_token_files(spark, path + "0").collect() == []
 
 
+def test_workers_free_their_encoders_when_files_are_read():
+    """The memory of pieces is bounded by a setting, and gone when a worker turns to reading."""
+    import pyarrow as pa
+
+    from eventloom.llm import tokens
+    from eventloom.llm.common import worker_store
+
+    assert tokens._REMEMBERED == 1_000_000
+    assert tokens.worker_encoder(None) is tokens.worker_encoder(None) and worker_store()["encoders"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([[5, 6, 0]], pa.list_(pa.int32()))], names=["doc", "ids"])
+    (out,) = token_files.id_checksums(iter([batch]))
+    assert out.to_pylist() == [{"doc": 1, "ids_crc32": zlib.crc32(np.array([5, 6, 0], "<u4").tobytes())}] and "encoders" not in worker_store()
+
+
 def test_token_files_layout(spark, tmp_path):
     import glob
 
