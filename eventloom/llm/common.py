@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 from contextvars import ContextVar
@@ -98,6 +99,15 @@ def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 2 << 20) -> I
         yield batch.slice(lo)
 
 
+def release_memory() -> None:
+    """Give free memory of this Python worker back to the system: what earlier stages used stays with it otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library, which has no such call
+
+
 def worker_store() -> dict:
     """What this Python worker keeps from task to task; functions shipped with a task start anew each time."""
     return sys.modules.setdefault("_eventloom_worker", ModuleType("_eventloom_worker")).__dict__

@@ -18,7 +18,7 @@ from itertools import chain, islice
 
 import numpy as np
 
-from .common import worker_store
+from .common import release_memory, worker_store
 
 END_ID = 0
 _REMEMBERED = 1_000_000
@@ -86,6 +86,7 @@ class Encoder:
         self._ids, after = _gathered(self._ids, self._starts, self._lengths, keep)
         self._lengths, self._met = self._lengths[keep], self._met[keep] // 2
         self._starts = (after - self._lengths).astype(np.int32)
+        release_memory()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
@@ -154,6 +155,7 @@ class Encoder:
 
 def worker_encoder(vocabulary: str | None) -> Encoder:
     """This Python worker's encoder."""
+    release_memory()
     encoders = worker_store().setdefault("encoders", {})
     if vocabulary not in encoders:
         encoders[vocabulary] = Encoder(vocabulary)
@@ -163,6 +165,7 @@ def worker_encoder(vocabulary: str | None) -> Encoder:
 def forget_encoders() -> None:
     """Free what this Python worker remembers for encoding, where it goes on with other work."""
     worker_store().pop("encoders", None)
+    release_memory()
 
 
 def _blocks(parts: list[str]) -> Iterator[list[str]]:
