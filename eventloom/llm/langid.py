@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, worker_store
-from .tokens import segments
+from .tokens import forget_encoders, segments
 
 PROFILE = 300
 # A label set larger than this is no set of languages: an error, as its profiles would not be a small table.
@@ -69,6 +69,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = {}, 0
+        forget_encoders()
 
         def flush():
             for lang, parts in held.items():
@@ -126,6 +127,7 @@ def language_column(profiles: DataFrame, text: Column, size: int = PROFILE) -> C
     @F.pandas_udf("lang_pred string, score double")
     def identify(texts: pd.Series) -> pd.DataFrame:
         out = []
+        forget_encoders()
         for t in texts:
             grams = top_grams(t, size) if t and tables else ()
             if len(grams):

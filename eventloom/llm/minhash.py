@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, written
+from .common import Scratch, column, release_memory, written
 
 WORDS = 5
 SIMILARITY = 85  # hundredths
@@ -90,6 +90,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, words: int, hashe
     """``doc``, ``n_shingles``, ``d1``/``d2`` (128-bit digest of the set), ``sig`` (minima; null for empty sets)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         import xxhash
 
         shingler, (a, b) = Shingler(words), hash_family(hashes, seed)

@@ -29,6 +29,7 @@ from .common import column, text_slices, written
 from .tokens import END_ID, worker_encoder
 
 WINDOW = 1024
+REMEMBERED = 600_000  # pieces of text an encoder remembers, in workers that did other work before
 
 
 class CapacityTree:
@@ -108,7 +109,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, window: int, vocabul
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seen = worker_encoder(vocabulary), TaskContext.get().partitionId(), [0] * (window + 1)
+        encoder, part, seen = worker_encoder(vocabulary, REMEMBERED), TaskContext.get().partitionId(), [0] * (window + 1)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for rows in text_slices(batch, "text"):

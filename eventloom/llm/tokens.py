@@ -58,7 +58,7 @@ class Encoder:
     The string of a special token in a text is that token, as in the library; with ``special_as_text`` it is text.
     """
 
-    def __init__(self, vocabulary: str | None = None, special_as_text: bool = False):
+    def __init__(self, vocabulary: str | None = None, special_as_text: bool = False, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -74,12 +74,13 @@ class Encoder:
         vocab = self._tokenizer.get_vocab(with_added_tokens=True)
         self._n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         self._n_bytes[list(vocab.values())] = [len(t) for t in vocab]
+        self._remembered = remembered or _REMEMBERED
         self._numbers, self._ids = Numbered(), np.zeros(0, np.uint32)
         self._starts = self._lengths = self._met = np.zeros(0, np.int32)
 
     def _forget(self) -> None:
         """Keep the more often met half of what may be remembered."""
-        keep = np.sort(np.argsort(-self._met, kind="stable")[: _REMEMBERED // 2])
+        keep = np.sort(np.argsort(-self._met, kind="stable")[: self._remembered // 2])
         pieces = list(self._numbers)
         self._numbers.clear()
         self._numbers = Numbered((pieces[i], n) for n, i in enumerate(keep.tolist()))
@@ -90,7 +91,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
-        if len(self._numbers) > _REMEMBERED:
+        if len(self._numbers) > self._remembered:
             self._forget()
         known, number = len(self._numbers), self._numbers.__getitem__
         parts, n_parts = texts, np.ones(len(texts), np.int64)
@@ -153,19 +154,20 @@ class Encoder:
             ids.append(got)
 
 
-def worker_encoder(vocabulary: str | None) -> Encoder:
+def worker_encoder(vocabulary: str | None, remembered: int | None = None) -> Encoder:
     """This Python worker's encoder."""
     release_memory()
     encoders = worker_store().setdefault("encoders", {})
-    if vocabulary not in encoders:
-        encoders[vocabulary] = Encoder(vocabulary)
-    return encoders[vocabulary]
+    if (vocabulary, remembered) not in encoders:
+        encoders.clear()
+        encoders[vocabulary, remembered] = Encoder(vocabulary, remembered=remembered)
+    return encoders[vocabulary, remembered]
 
 
 def forget_encoders() -> None:
     """Free what this Python worker remembers for encoding, where it goes on with other work."""
-    worker_store().pop("encoders", None)
-    release_memory()
+    if worker_store().pop("encoders", None):
+        release_memory()
 
 
 def _blocks(parts: list[str]) -> Iterator[list[str]]:
