@@ -106,6 +106,8 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, words: int, hashe
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(sigs, pa.binary())],
                 names=["doc", "n_shingles", "d1", "d2", "sig"],
             )
+        shingler = n = digests = sigs = None
+        release_memory()
 
     rows = docs.select(column(id_col).cast("long").alias("doc"), column(text_col).alias("text"))
     return rows.mapInArrow(sets, "doc long, n_shingles long, d1 long, d2 long, sig binary")
@@ -121,6 +123,8 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             sigs = [signature(s, a, b).tobytes() for s in found]
             cells = [batch.column(0), pa.array(sigs, pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(cells, names=["node", "sig", "set"])
+        shingler = found = sigs = cells = None
+        release_memory()
 
     rows = docs.select(column(id_col).cast("long").alias("node"), column(text_col).alias("text"))
     found = rows.join(wanted, "node", "left_semi").mapInArrow(sets, "node long, sig binary, set binary")
