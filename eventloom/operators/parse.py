@@ -110,15 +110,16 @@ def _normalize_text(e: Column) -> Column:
             .withField("Data", F.transform(ed["Data"], data_item))
         )
 
+    def each(items: Column, one) -> Column:
+        # One element, as nearly always: compiled code, where a transform is interpreted.
+        return F.when(F.size(items) == 1, F.array(one(items[0]))).otherwise(F.transform(items, one))
+
     return F.when(
         e.isNotNull(),
-        e.withField("System", F.transform(e["System"], system)).withField(
-            "EventData", F.transform(e["EventData"], event_data)
-        ),
+        e.withField("System", each(e["System"], system)).withField("EventData", each(e["EventData"], event_data)),
     )
 
 
-
 # The element and attribute names the typed parse reads.
 _TAGS = "|".join(["Event", "System", *[n for n, _, _ in SYSTEM_ELEMENTS], "EventData", "Data", "ComplexData", "Binary"])
 _ATTRIBUTES = "|".join(sorted({"xmlns", "Name", *[a for _, attrs, _ in SYSTEM_ELEMENTS for a in attrs]}))
@@ -139,6 +140,15 @@ UNSEEN_PATTERN = (
     r"|(?:</[^<>]*+|/)>\s*+[^<\s]"
 )
 
+# A record that is surely free of all that, by one pass over it that never turns back: known elements, each with nothing
+# but known attributes, text only right before an end tag, and no mark of XML inside texts and values.
+_INNER = "|".join(_TAGS.split("|")[1:])
+SIMPLE_PATTERN = (
+    r"\A<Event(?:\sxmlns=\"[^\"<>=]*+\")?+>\s*+"
+    rf"(?:<(?:(?:{_INNER})(?:\s(?:{_ATTRIBUTES})=\"[^\"<>=]*+\")*+(?:/>\s*+|>(?:[^<>]*+(?=</)|\s*+))|/(?:{_INNER})>\s*+))*+"
+    r"</Event>\s*+\z"
+)
+
 
 def _seen(e: Column) -> tuple[Column, Column]:
     """How many elements and attributes the typed parse holds (a lost or repeated one makes the text hold more)."""
@@ -170,13 +180,21 @@ def seen_completely(e: Column, xml: Column) -> Column:
     an attribute-like run inside a text only sends the record to the full tree.
     """
     elements, attributes = _seen(e)
-    return F.coalesce(
+    # The marks of a simple record are counted without a pattern: each "<" is a tag's, and a text that holds `="` only
+    # makes it go by the patterns below.
+    removed = lambda mark: F.octet_length(xml) - F.octet_length(F.replace(xml, F.lit(mark)))
+    simple = (
+        (removed("<") == elements + (removed("</") / 2).cast("int"))
+        & ((removed('="') / 2).cast("int") == attributes)
+        & xml.rlike(SIMPLE_PATTERN)
+    )
+    plain = (
         xml.rlike(PLAIN_PATTERN)
         & ~xml.rlike(UNSEEN_PATTERN)
         & (F.regexp_count(xml, F.lit(r"<[A-Za-z]")) == elements)
-        & (F.regexp_count(xml, F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]")) == attributes + F.when(xml.rlike(r"<\?xml\s"), F.regexp_count(F.regexp_extract(xml, r"<\?xml\s[^>]*\?>", 0), F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]"))).otherwise(0)),
-        F.lit(False),
+        & (F.regexp_count(xml, F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]")) == attributes + F.when(xml.rlike(r"<\?xml\s"), F.regexp_count(F.regexp_extract(xml, r"<\?xml\s[^>]*\?>", 0), F.lit(r"\s[A-Za-z]+\s*=\s*[\x22\x27]"))).otherwise(0))
     )
+    return F.coalesce(simple | plain, F.lit(False))
 
 
 def parse_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
@@ -185,8 +203,14 @@ def parse_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     raw = df.select("*", F.explode(F.array(parsed)).alias("_e_raw"))
     # A second Generate: the text clean-up refers to the parse many times, and
     # must only ever see a column reference, never the from_xml call itself.
-    clean = F.explode(F.array(_normalize_text(F.col("_e_raw")))).alias(PARSED)
-    return raw.select("*", clean).drop("_e_raw")
+    # It stands below that Generate: what a Generate holds itself is interpreted, row by row, not compiled.
+    return compiled(raw, _normalize_text(F.col("_e_raw")), PARSED).drop("_e_raw")
+
+
+def compiled(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add ``value`` as ``name`` behind a Generate that only refers to it, so that a projection computes it, once."""
+    staged = f"_staged{name}"
+    return df.withColumn(staged, value).select("*", F.explode(F.array(F.col(staged))).alias(name)).drop(staged)
 
 
 def _size(c: Column) -> Column:
@@ -234,7 +258,7 @@ def classify_events(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     # A record long enough to hold an attribute beyond the typed parse's limit is malformed only if the full tree says so.
     text = F.col(xml_col)
     unseen = F.when(F.when(malformed, F.length(text) > ATTRIBUTE_LIMIT).otherwise(~seen_completely(e, text)), text)
-    staged = df.select("*", F.explode(F.array(unseen)).alias("_tree_xml"))
+    staged = compiled(df, unseen, "_tree_xml")
     # NULL input for records that were seen completely: they cost no Python parse.
     staged = staged.withColumn("_py", F.when(F.col("_tree_xml").isNotNull(), full_records(F.col("_tree_xml")))).drop("_tree_xml")
     py = F.col("_py")

@@ -68,3 +68,19 @@ def test_check_runs_once(spark):
     plan = prepare_events(spark.createDataFrame([("<Event/>",)], "xml string"))._jdf.queryExecution().optimizedPlan().toString()
     for text in (plan, df._jdf.queryExecution().optimizedPlan().toString()):
         assert text.count("<[^<>]*+>") == 1
+
+
+def test_simple_records_hold_nothing_unseen(spark):
+    """The one-pass pattern takes plain records, of any length, and none that the patterns for all records would not take."""
+    from eventloom.operators.parse import PLAIN_PATTERN, SIMPLE_PATTERN
+
+    head = '<Event xmlns="u"><System><EventID>1</EventID><Execution ProcessID="1" ThreadID="2"/></System><EventData>'
+    plain = [head + body + "</EventData></Event>" for body in ("", '<Data Name="a">1 &lt; 2</Data>\n<Data/>', "<Data>x</Data>" * 20_000)]
+    other = ["<data>x</data>", "<Data>x<!-- c --></Data>", "<Data>x</Data>y", "y<Data>x</Data>", '<Data Other="1"/>', "<Data>x<Binary/></Data>"]
+    other += ["<Custom/>", '<Data Name="a b=1"/>', "<Data><![CDATA[x]]></Data>", "<Data/>y", "<Data Name='a'/>"]
+    rows = [(True, x) for x in plain] + [(False, head + body + "</EventData></Event>") for body in other] + [(False, plain[0].removesuffix("</Event>"))]
+    df = spark.createDataFrame(rows, "plain boolean, xml string")
+    taken = F.col("xml").rlike(SIMPLE_PATTERN)
+    known = F.col("xml").rlike(PLAIN_PATTERN) & ~F.col("xml").rlike(UNSEEN_PATTERN)
+    assert [r["xml"] for r in df.where(taken != F.col("plain")).collect()] == []
+    assert [r["xml"] for r in df.where(taken & ~known).collect()] == []

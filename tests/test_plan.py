@@ -99,3 +99,10 @@ def test_outcomes_build_no_document(spark):
     plan = _plan(accepted_events(load).select("document"))
     reject = re.search(r"Filter [^\n]*isnull\([^)]*reason", plan)
     assert reject and reject.start() > plan.index("map_from_entries")  # the tree is printed from the top
+
+
+def test_generates_hold_references_only(spark):
+    """What a Generate holds itself is interpreted for each row; the clean-up and the completeness check stand in projections."""
+    plan = _plan(prepare_events(events_as_xml(spark.read.parquet(f"{SF_SMALL}/events.parquet"))).select("event_id", "time_text"))
+    held = re.findall(r"Generate explode\(([^\n]*)", plan)
+    assert held and not any("RLIKE" in g or "trim" in g for g in held)
