@@ -51,6 +51,7 @@ MAX_RECORD = 128 << 20
 BLOCK = 4 << 20
 # What opening a file counts when small ones are put together, as in Spark's own file sources.
 OPEN_COST = 4 << 20
+RANGES_PER_CORE = 3
 _MARKS = re.compile(rb"<(?:/Event>|Event[\s/>])")
 _MARK_BYTES, _SLASH = 8, ord("/")
 _BATCH_BYTES = 4 << 20
@@ -220,6 +221,14 @@ def cut_runs(files: Iterable[tuple[str, int, int]], split_bytes: int) -> list[Ru
     return out + ([Runs(held)] if held else [])
 
 
+def even_split(size: int, split_bytes: int, cores: int) -> int:
+    """The size of a range when ``size`` bytes are to be read: some ranges for each core, none beyond ``split_bytes``.
+
+    0 cores: ranges of ``split_bytes``, as the caller asked for.
+    """
+    return min(split_bytes, max(OPEN_COST, -(-size // (RANGES_PER_CORE * cores)))) if cores else split_bytes
+
+
 def read_runs(runs: Runs, read: ReadRange, limit: int) -> Iterator[pa.RecordBatch]:
     def found() -> Iterator[tuple[str, int, bytes]]:
         for path, start, stop, length in runs.value:
@@ -237,12 +246,15 @@ def read_runs(runs: Runs, read: ReadRange, limit: int) -> Iterator[pa.RecordBatc
 class EventXmlReader(DataSourceReader):
     """The records of the files that are there when the query is planned."""
 
-    def __init__(self, paths: list[str], split_bytes: int, limit: int, read: ReadRange, listed: ListFiles):
+    def __init__(self, paths: list[str], split_bytes: int, limit: int, read: ReadRange, listed: ListFiles, cores: int = 0):
         self._paths, self._split, self._limit, self._read, self._listed = paths, split_bytes, limit, read, listed
+        self._cores = cores
 
     def partitions(self) -> list[Runs]:
         # At least one, as Spark asks for.
-        return cut_runs(((path, 0, length) for path, length in self._listed(self._paths)), self._split) or [Runs([])]
+        files = [(path, 0, length) for path, length in self._listed(self._paths)]
+        split = even_split(sum(length for _, _, length in files), self._split, self._cores)
+        return cut_runs(files, split) or [Runs([])]
 
     def read(self, partition: Runs) -> Iterator[pa.RecordBatch]:
         return read_runs(partition, self._read, self._limit)
@@ -255,8 +267,9 @@ class EventXmlStreamReader(DataSourceStreamReader):
     are added.  Files that were loaded may be moved away, which also keeps the offset short.
     """
 
-    def __init__(self, paths: list[str], split_bytes: int, limit: int, read: ReadRange, listed: ListFiles):
+    def __init__(self, paths: list[str], split_bytes: int, limit: int, read: ReadRange, listed: ListFiles, cores: int = 0):
         self._paths, self._split, self._limit, self._read, self._listed = paths, split_bytes, limit, read, listed
+        self._cores = cores
 
     def initialOffset(self) -> dict:
         return {}
@@ -268,7 +281,7 @@ class EventXmlStreamReader(DataSourceStreamReader):
         grown = [(path, start.get(path, 0), length) for path, length in sorted(end.items()) if length != start.get(path, 0)]
         # Marked by a negative start: the task looks back for a record that was open where the file ended.
         files = [(path, seen if 0 < seen < length and not _compressed(path) else 0, length) for path, seen, length in grown]
-        out = cut_runs(files, self._split)
+        out = cut_runs(files, even_split(sum(length - seen for _, seen, length in files), self._split, self._cores))
         went_on = {path: seen for path, seen, _ in files if seen}
         return [Runs([(p, -lo if went_on.get(p) == lo else lo, hi, n) for p, lo, hi, n in runs.value]) for runs in out]
 
@@ -280,11 +293,11 @@ class EventXmlStreamReader(DataSourceStreamReader):
         return read_runs(Runs(runs), self._read, self._limit)
 
 
-def record_source(paths: list[str], split_bytes: int, limit: int, read_range: ReadRange | None, listed: ListFiles | None) -> type[DataSource]:
+def record_source(paths: list[str], split_bytes: int, limit: int, read_range: ReadRange | None, listed: ListFiles | None, cores: int = 0) -> type[DataSource]:
     """A data source class of these files, under a name of its own."""
     if read_range is None or listed is None:
         check_readable(paths)
-    how = (paths, split_bytes, limit, read_range or _read_range, listed or _list_files)
+    how = (paths, split_bytes, limit, read_range or _read_range, listed or _list_files, cores)
     source = f"eventloom_xml_{uuid.uuid4().hex[:12]}"
 
     class EventXmlSource(DataSource):
@@ -330,7 +343,8 @@ def scan_event_xml(
     if not check_tails:
         raw = spark.read.option("lineSep", RECORD_END).text(paths)
         return split_records(raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("value")))
-    source = record_source(paths, split_bytes or split_size(spark), max_record, read_range, files)
+    cores = 0 if split_bytes else spark.sparkContext.defaultParallelism
+    source = record_source(paths, split_bytes or split_size(spark), max_record, read_range, files, cores)
     spark.dataSource.register(source)
     return spark.read.format(source.name()).load().select("source_file", *["offset"] * offsets, "xml")
 
@@ -353,7 +367,8 @@ def stream_event_xml(
     if max_files_per_trigger:
         reader = spark.readStream.option("lineSep", RECORD_END).option("maxFilesPerTrigger", str(max_files_per_trigger))
         return split_records(reader.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value")))
-    source = record_source(paths, split_bytes or split_size(spark), max_record, read_range, files)
+    cores = 0 if split_bytes else spark.sparkContext.defaultParallelism
+    source = record_source(paths, split_bytes or split_size(spark), max_record, read_range, files, cores)
     spark.dataSource.register(source)
     return spark.readStream.format(source.name()).load().select("source_file", "xml")
 
