@@ -36,13 +36,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from .ranges import check_readable, list_files as _list_files, read_range as _read_range, shown
+from .xml_records import split_size
 
 OUT_SCHEMA = "source_file string, xml string"
 _BATCH = 10_000
-# Runs have a task each up to this number of tasks; beyond it a task reads several, one after the other.
+# A task reads several runs, one after the other, until it has the size of a file split, so that the number of tasks follows
+# the bytes; while there are fewer tasks than these for a core, runs have a task each.
+TASKS_PER_CORE = 16
 MAX_TASKS = 20_000
 
 
+def task_count(runs: int, size: int, cores: int, split_bytes: int) -> int:
+    """Tasks for ``runs`` runs of ``size`` bytes in all."""
+    return max(1, min(runs, max(TASKS_PER_CORE * cores, -(-size // split_bytes)), MAX_TASKS))
+
+
 def _flush(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["source_file", "xml"])
 
@@ -75,7 +83,8 @@ def scan_event_files(
     n_runs = F.greatest(F.lit(0), F.ceil((F.col("length") - F.lit(header_bytes)) / F.lit(run_bytes))).cast("int")
     files = files.select("path", "length", n_runs.alias("n")).where("n > 0")
     if tasks is None:
-        tasks = min(files.agg(F.sum("n")).first()[0] or 1, MAX_TASKS)
+        n, size = files.agg(F.sum("n"), F.sum("length")).first()
+        tasks = task_count(n or 0, size or 0, spark.sparkContext.defaultParallelism, split_size(spark))
     runs = files.select("path", "length", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("run"))
     # With a number given, adaptive execution does not merge these tiny partitions.
     runs = runs.repartition(tasks)
@@ -127,9 +136,10 @@ class ChunkRuns(InputPartition):
 class EventFileStreamReader(DataSourceStreamReader):
     """Chunks as files are added or grow; the offset is the number of complete chunks of every file that is there."""
 
-    def __init__(self, paths, pattern, decode, header_bytes: int, chunk_bytes: int, per_split: int, tasks: int | None, read, listed):
+    def __init__(self, paths, pattern, decode, header_bytes: int, chunk_bytes: int, per_split: int, tasks: int | None, read, listed, cores: int = 1, split_bytes: int = 128 << 20):
         self._paths, self._pattern, self._decode, self._read, self._listed = paths, pattern, decode, read, listed
         self._header, self._chunk, self._per_split, self._tasks = header_bytes, chunk_bytes, per_split, tasks
+        self._cores, self._split = cores, split_bytes
 
     def initialOffset(self) -> dict:
         return {}
@@ -144,7 +154,8 @@ class EventFileStreamReader(DataSourceStreamReader):
             first = start.get(path, 0)
             first = first if first <= n else 0  # a file that became shorter is a new one
             runs += [(path, lo, min(self._per_split, n - lo)) for lo in range(first, n, self._per_split)]
-        tasks = min(len(runs), self._tasks or MAX_TASKS)
+        size = sum(n for _, _, n in runs) * self._chunk
+        tasks = min(len(runs), self._tasks or task_count(len(runs), size, self._cores, self._split))
         return [ChunkRuns(runs[i::tasks]) for i in range(tasks)]
 
     def read(self, partition: ChunkRuns) -> Iterator[pa.RecordBatch]:
@@ -187,6 +198,7 @@ def stream_event_files(
     if read_range is None or files is None:
         check_readable(paths)
     how = (paths, path_glob_filter, decode, header_bytes, chunk_bytes, chunks_per_split, tasks, read_range or _read_range, files or _list_files)
+    how += (spark.sparkContext.defaultParallelism, split_size(spark))
     source = f"eventloom_chunks_{uuid.uuid4().hex[:12]}"
 
     class EventFileSource(DataSource):
