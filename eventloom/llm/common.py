@@ -5,12 +5,13 @@ from __future__ import annotations
 import ctypes
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from types import ModuleType
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -20,6 +21,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_BYTES = 2 << 20  # of an Arrow batch in small_batches
+_BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 class Scratch:
     """The tables that :func:`written` makes inside a ``with Scratch() as tables``; at its end they are removed.
@@ -70,6 +74,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands rows to Python tasks in Arrow batches of about ``BATCH_BYTES``, or less if the session asks for less.
+
+    Spark's own batches have 10,000 rows, with whole texts tens of MB: an executor allocates each outside its heap, where
+    much of it stays as free memory of the C library, and its Python worker holds it once more.  Rows and results are the
+    same; the session's setting comes back at the end.
+    """
+    before = spark.conf.get(_BATCH_BYTES_KEY, None)
+    if before is None or before.startswith("-") or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) > BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES_KEY, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_BYTES_KEY)
+        else:
+            spark.conf.set(_BATCH_BYTES_KEY, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names made from ``names`` that no column of ``df`` has (compared without case)."""
     taken, out = {c.lower() for c in df.columns}, []

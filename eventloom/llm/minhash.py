@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, release_memory, written
+from .common import Scratch, column, release_memory, small_batches, written
 
 WORDS = 5
 SIMILARITY = 85  # hundredths
@@ -313,7 +313,7 @@ def near_duplicates(
     document with all of their links, and are kept alike.  An empty table gives an empty table; other
     columns are not looked at.  Ids are compared as 64-bit integers.
     """
-    with Scratch() as tables:
+    with Scratch() as tables, small_batches(docs.sparkSession):
         found = tables.keep(written(document_sets(docs, id_col, text_col, words, bands * rows, seed), "sets"))
         named = found.where(F.col("doc").isNotNull() & (F.col("n_shingles") > 0))
         alike = named.groupBy("d1", "d2").agg(F.min("doc").alias("node"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))

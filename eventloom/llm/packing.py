@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, text_slices, written
+from .common import column, small_batches, text_slices, written
 from .tokens import END_ID, worker_encoder
 
 WINDOW = 1024
 REMEMBERED = 600_000  # pieces of text an encoder remembers, in workers that did other work before
+PLAN = ["length", "rank_from", "rank_to", "first", "per", "at"]
 
 
 class CapacityTree:
@@ -147,13 +148,14 @@ def pack_documents(
     looked at.
     """
     spark = docs.sparkSession
-    pieces = written(cut_pieces(docs, id_col, text_col, window, vocabulary, end_id, with_ids), "pieces")
+    with small_batches(spark):
+        pieces = written(cut_pieces(docs, id_col, text_col, window, vocabulary, end_id, with_ids), "pieces")
     per_task = written(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     # At most `window` numbers reach the driver.
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan = spark.createDataFrame(
-        best_fit_plan(counts, window), "length long, rank_from long, rank_to long, first long, per long, at long"
-    )
+    # As an Arrow table: from a list of rows Spark makes an RDD, for which executors keep Python workers of another kind.
+    moves = np.array(best_fit_plan(counts, window), np.int64).reshape(-1, len(PLAN))
+    plan = spark.createDataFrame(pa.table([pa.array(c) for c in moves.T.copy()], names=PLAN))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("rank", F.col("base") + F.col("place"))

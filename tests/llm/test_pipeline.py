@@ -128,3 +128,43 @@ def test_language_stage_without_labels_keeps_all(spark):
     assert pipeline.language_id(spark, docs, SF_SMALL).count() == docs.count()
     awkward = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
     assert pipeline.language_id(spark, awkward, SF_SMALL).count() == len(edge_rows())
+
+
+def test_python_tasks_get_small_batches(spark, monkeypatch):
+    """Whole texts go to Python tasks about 2 MB at a time, in every stage that has such tasks; the session's setting comes back."""
+    from eventloom.llm import common, minhash, packing
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [b.nbytes], "n": [b.num_rows]})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    for own, least, most in ((None, 5, 2 << 20), ("64m", 5, 2 << 20), ("200k", 100, 200 << 10)):
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+        with common.small_batches(spark):
+            got = rows.mapInArrow(sizes, "bytes long, n long").collect()
+        assert spark.conf.get(key, None) == own
+        assert sum(r["n"] for r in got) == 4000 and len(got) >= least and max(r["bytes"] for r in got) <= 1.5 * most
+    spark.conf.unset(key)
+
+    seen = {}
+    for module in (pipeline, minhash, packing):
+        def record(df, name, write=module.written):
+            seen[name] = spark.conf.get(key, None)
+            return write(df, name)
+
+        monkeypatch.setattr(module, "written", record)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for _, stage in pipeline.STAGES:
+        stage(spark, docs, SF_SMALL)
+    names = ["pipeline-profiles", "pipeline-languages", "sets", "cells-inside", "sets-inside", "links-inside", "pieces"]
+    assert {n: seen[n] for n in names} == dict.fromkeys(names, str(common.BATCH_BYTES)) and spark.conf.get(key, None) is None
+
+
+def test_packing_plan_needs_no_python_rdd(spark):
+    """An RDD of Python rows makes executors start, and keep, a second set of Python workers."""
+    plan = pipeline.packing(spark, spark.read.parquet(f"{SF_SMALL}/documents.parquet"), SF_SMALL)._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan
