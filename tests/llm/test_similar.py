@@ -145,6 +145,43 @@ def test_top_k_few_rows_and_none(spark):
         topk.top_k(spark.createDataFrame([(0, [1e16]), (1, [1e16])], schema), F.col("vec_id") % 50 == 0).collect()
 
 
+def test_top_k_sends_no_blocks_to_the_driver(spark):
+    """What a job may send to the driver is held at 1 MB: before, queries came there once for each candidate block."""
+    v = np.random.default_rng(6).normal(size=(4000, 64))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    conf, key = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    conf.set(key, "1m")
+    try:
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, block=16).collect()
+    finally:
+        conf.remove(key)
+    w = np.floor(256 * v).astype(np.int64)
+    scores = w[::50] @ w.T
+    scores[np.arange(80), np.arange(0, 4000, 50)] = -(2**62)
+    want = [(50 * q, r + 1, int(i), int(scores[q, i])) for q in range(80) for r, i in enumerate(np.lexsort((np.arange(4000), -scores[q]))[:5])]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+@pytest.mark.parametrize("size", [1.0, 300.0, 1e5, 1e6])  # scores in 32-bit and 64-bit floats and in integers
+def test_top_k_in_groups(spark, monkeypatch, size):
+    monkeypatch.setattr(topk, "HELD", 100)  # many groups of queries, each meets runs of two blocks
+    monkeypatch.setattr(topk, "RUN", 2)
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) * size for x in rng.normal(size=6) * (rng.random(6) < 0.3)]) for i in range(400)]
+    rows += [(i, [size * 0.5] * 6) for i in range(1000, 1100)] + [(i, [size] + [0.0] * (i % 6)) for i in range(1100, 1130)] + [(1200, [float(2**18)] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=7, block=16).collect()
+    assert Counter(map(tuple, got)) == brute_top(rows, k=7, every=5)
+
+
+def test_top_k_ids_in_several_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i % 40, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, block=32).collect()
+    assert Counter(map(tuple, got)) == brute_top(rows, every=10)
+
+
 # ---------------------------------------------------------------- language ID
 
 
