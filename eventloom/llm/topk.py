@@ -30,10 +30,10 @@ from .common import Scratch, column, small_batches, written
 SCALE = 256
 BLOCK = 4096
 TILE = 1 << 17  # scores added up at a time: few enough for a core's cache
-HELD = 1 << 21  # query weights that a task holds
+HELD = 1 << 22  # query weights that a task holds
 RUN = 32  # candidate blocks that meet one copy of the queries, at most
 _CELLS = ("n", "ids", "terms", "lengths", "rows", "weights")
-_BLOCK = "n int, ids binary, terms binary, lengths binary, rows binary, weights binary"
+_BLOCK = "n int, ids binary, terms binary, lengths binary, rows binary, weights binary"  # rows: the steps from each to the next
 _INT64 = np.iinfo(np.int64)
 _NONE = _INT64.min  # below every score
 
@@ -44,6 +44,15 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(finite(x.cast("double")), F.lit(False)))
 
 
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """In the smallest signed integers that hold them."""
+    return numbers.astype(np.min_scalar_type(-1 - int(np.abs(numbers).max(initial=0))))
+
+
+def _read(cell: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(cell, f"i{len(cell) // n}") if n else np.zeros(0, np.int8)
+
+
 def _postings(ids: np.ndarray, lengths: np.ndarray, values: np.ndarray, scale: int) -> pa.RecordBatch:
     row = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
     term = (np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
@@ -55,7 +64,8 @@ def _postings(ids: np.ndarray, lengths: np.ndarray, values: np.ndarray, scale: i
     order = np.argsort(term[keep], kind="stable")
     row, term, weight = row[keep][order], term[keep][order], weight[keep][order]
     terms, counts = np.unique(term, return_counts=True)
-    cells = [len(ids), ids.astype(np.int64), terms.astype(np.int32), counts.astype(np.int64), row, weight]
+    steps = np.diff(np.repeat(np.arange(len(terms)) * len(ids), counts) + row, prepend=-1)
+    cells = [len(ids), ids.astype(np.int64), terms.astype(np.int32), counts.astype(np.int64), _small(steps), _small(weight)]
     cells = [pa.array([cells[0]], pa.int32()), *[pa.array([c.tobytes()], pa.binary()) for c in cells[1:]]]
     return pa.RecordBatch.from_arrays(cells, names=list(_CELLS))
 
@@ -86,9 +96,10 @@ def blocks(vectors: DataFrame, scale: int, size: int) -> DataFrame:
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Ids, terms, and for each term the rows with a weight there and the weights."""
-    rows, weights = np.frombuffer(row["rows"], np.int32), np.frombuffer(row["weights"], np.int64)
-    ends = np.cumsum(np.frombuffer(row["lengths"], np.int64))[:-1]
-    terms = np.frombuffer(row["terms"], np.int32)
+    terms, lengths = np.frombuffer(row["terms"], np.int32), np.frombuffer(row["lengths"], np.int64)
+    ends = np.cumsum(lengths)[:-1]
+    steps, weights = (_read(row[name], int(lengths.sum())) for name in ("rows", "weights"))
+    rows = (np.cumsum(steps, dtype=np.int64) - 1 - np.repeat(np.arange(len(terms)) * row["n"], lengths)).astype(np.int32)
     lists = list(zip(np.split(rows, ends), np.split(weights, ends))) if len(terms) else []
     return np.frombuffer(row["ids"], np.int64), terms, lists
 
